@@ -29,7 +29,7 @@ def document_terms(
     grams = (
         spread(df.select(*keep, text))
         .select(*keep, drop_words(tokens(text, pattern), stopwords).alias("_tokens"))
-        .select(*keep, F.array_sort(ngram_range(F.col("_tokens"), low, high)).alias("_grams"))
+        .select(*keep, F.sort_array(ngram_range(F.col("_tokens"), low, high)).alias("_grams"))
     )
     g = F.col("_grams")
     starts = grams.select(
@@ -52,9 +52,13 @@ def document_terms(
 
 
 def long_terms(terms: DataFrame) -> DataFrame:
-    """One row per document and n-gram."""
+    """One row per document and n-gram.
+
+    The outer form keeps the optimizer from inferring a non-empty filter on `terms`, which it would push below
+    the staged columns and so repeat the whole text expression inside itself.
+    """
     keys = [c for c in terms.columns if c != "terms"]
-    return terms.select(*keys, F.inline("terms"))
+    return terms.select(*keys, F.inline_outer("terms")).where(F.col("ngram").isNotNull())
 
 
 def ngram_counts(terms: DataFrame) -> DataFrame:
@@ -72,9 +76,10 @@ def tfidf(
 ) -> DataFrame:
     """TF-IDF weights in long form: raw counts times ln((1+N)/(1+df)) + 1, each document scaled to length 1.
 
-    With `by`, a separate fit per group of those columns (which `terms` must carry). The join on the n-gram is
-    left to the planner: broadcast when the counts are small, otherwise a shuffle join in which adaptive
-    execution splits the partitions of very frequent n-grams.
+    With `by`, a separate fit per group of those columns (which `terms` must carry). With `max_features` the
+    n-gram table has a fixed size and is broadcast. Otherwise the join is a hinted shuffle join: size estimates
+    do not see how far exploding grows the rows. Its build side has one row per n-gram, so it spreads evenly,
+    and adaptive execution splits the row partitions of very frequent n-grams.
     """
     by = list(by)
     keys = [c for c in terms.columns if c != "terms"]
@@ -89,6 +94,7 @@ def tfidf(
     else:
         docs = terms.agg(F.count("*").alias("n")).select("n").scalar()
     idf = counts.select(*by, "ngram", (F.log((docs + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
+    idf = F.broadcast(idf) if max_features is not None and not by else idf.hint("shuffle_hash")
     weighted = rows.join(idf, [*by, "ngram"]).withColumn("_w", F.col("tf") * F.col("_idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*by, key)))
     return weighted.select(*keys, "ngram", "tf", (F.col("_w") / length).alias("weight"))
