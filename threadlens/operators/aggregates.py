@@ -92,7 +92,7 @@ def pivot_count(
     df: DataFrame, key: str, column: str, values: Sequence | None = None, prefix: str = "subreddit_",
 ) -> DataFrame:
     """Rows per key and category, one prefixed column per category (one-hot encoding summed)."""
-    return _pivot(df, key, column, [F.count("*")], values, prefix, 0)
+    return _pivot(df, key, column, [F.count(F.lit(1))], values, prefix, 0)
 
 
 def _pivot(df, key, column, aggs, values, prefix, fill) -> DataFrame:
@@ -105,7 +105,7 @@ def _pivot(df, key, column, aggs, values, prefix, fill) -> DataFrame:
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     """Counts of two categories, the second across; rows missing either are left out."""
     both = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
-    return _pivot(both, row, column, [F.count("*")], values, "", 0)
+    return _pivot(both, row, column, [F.count(F.lit(1))], values, "", 0)
 
 
 def prefixed_user_totals(df: DataFrame, author: str = "author", prefix: str = "subreddit_", skip: Sequence[str] = ("subreddit_id",)) -> DataFrame:

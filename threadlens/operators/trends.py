@@ -40,9 +40,9 @@ def label_events(df: DataFrame, milestones: DataFrame, window: int = 2, week: st
         .agg(F.min_by("event", "place").alias("_event"))
         .withColumnRenamed("week", week)
     )
-    # A handful of milestones times 2*window+1 weeks: the row count is fixed by the milestone table.
+    # One row per week near a milestone; the planner broadcasts it by its size.
     return (
-        df.join(F.broadcast(first), week, "left")
+        df.join(first, week, "left")
         .withColumn(label, F.coalesce("_event", F.lit(NO_EVENT)))
         .drop("_event")
     )

@@ -11,7 +11,7 @@ Build = Callable[[SparkSession, str], DataFrame]
 
 _BUILDS: dict[str, Build] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("ingest",)
+_MODULES = ("text", "relational", "hypothesis")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
