@@ -18,6 +18,7 @@ from threadlens.session import spread
 
 # Fixed value: damping constant of the compound score (Hutto & Gilbert 2014).
 COMPOUND_ALPHA = 15.0
+MAX_BROADCAST_WORDS = 1_000_000
 POSITIVE = "POSITIVE"
 NEGATIVE = "NEGATIVE"
 
@@ -56,7 +57,8 @@ def lexicon_polarity(
     """Add the lexicon polarity of the text; NULL text gives NULL.
 
     Small lexicons are evaluated inside the row. Larger ones (or `inline=False`) explode the tokens, join the
-    lexicon by word, sum per row before the shuffle and join the sums back on the key.
+    lexicon by word (broadcast up to a checked number of words, a shuffle join beyond), sum per row before the
+    shuffle and join the sums back on the key.
     """
     if inline is not False:
         entries = lexicon.select("word", "valence").limit(MAX_INLINE_ENTRIES + 1).collect()
@@ -65,10 +67,12 @@ def lexicon_polarity(
             return spread(df).withColumn(name, compound(valence_sum(text, pairs)))
         if inline:
             raise ValueError(f"lexicon has more than {MAX_INLINE_ENTRIES} entries")
+    words = lexicon.select("word", "valence")
+    words = F.broadcast(words) if words.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS else words.hint("shuffle_hash")
     sums = (
         spread(df.select(key, text)).where(F.col(text).isNotNull())
         .select(key, F.explode(tokens(text)).alias("word"))
-        .join(lexicon.select("word", "valence"), "word")
+        .join(words, "word")
         .groupBy(key)
         .agg(F.sum("valence").alias("_valence"))
     )

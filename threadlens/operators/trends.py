@@ -7,18 +7,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.functions.times import weeks_between, weeks_to
 from threadlens.operators.aggregates import group_sizes
+from threadlens.session import local_table
 
 NO_EVENT = "No Event"
+MILESTONE_WEEKS = T.StructType(
+    [T.StructField("place", T.IntegerType()), T.StructField("event", T.StringType()), T.StructField("event_week", T.LongType())]
+)
 
 
 def milestone_weeks(spark: SparkSession, anchor: dt.date, milestones: Sequence[tuple[str, dt.date]]) -> DataFrame:
     """Milestones in date order with their week before the anchor: (place, event, event_week)."""
     ordered = sorted(milestones, key=lambda m: m[1])
     rows = [(i, name, weeks_between(anchor, day)) for i, (name, day) in enumerate(ordered)]
-    return spark.createDataFrame(rows, "place int, event string, event_week bigint")
+    return local_table(spark, rows, MILESTONE_WEEKS)
 
 
 def with_week(df: DataFrame, anchor: dt.date, created: str = "created_ts", week: str = "week") -> DataFrame:

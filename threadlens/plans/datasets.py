@@ -11,7 +11,7 @@ from threadlens import schemas
 from threadlens.functions.buckets import clamp
 from threadlens.operators.sentiment import given_label
 from threadlens.operators.trends import milestone_weeks
-from threadlens.session import configure
+from threadlens.session import configure, local_table
 
 ANCHOR = dt.date(2024, 1, 20)
 MILESTONES = (("C", dt.date(2024, 1, 20)), ("A", dt.date(2024, 1, 5)), ("B", dt.date(2024, 1, 12)))
@@ -111,19 +111,19 @@ MILESTONE_ROWS = "(VALUES (0, 'A', 2), (1, 'B', 1), (2, 'C', 0)) AS m(place, eve
 
 
 def entity_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ENTITIES), schemas.ENTITY_LEXICON)
+    return local_table(spark, ENTITIES, schemas.ENTITY_LEXICON)
 
 
 def phrase_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PHRASES), schemas.PHRASE_LEXICON)
+    return local_table(spark, PHRASES, schemas.PHRASE_LEXICON)
 
 
 def synonym_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SYNONYMS), schemas.SYNONYMS)
+    return local_table(spark, SYNONYMS, schemas.SYNONYMS)
 
 
 def valence_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(VALENCES), schemas.VALENCE_LEXICON)
+    return local_table(spark, VALENCES, schemas.VALENCE_LEXICON)
 
 
 def sql_values(rows) -> str:
@@ -131,3 +131,13 @@ def sql_values(rows) -> str:
         return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v!r}::DOUBLE" if isinstance(v, float) else str(v)
 
     return "(VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows) + ")"
+
+
+def timed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the time and centred value of an event, as activity with text.
+
+    There are ten events per document, so document n takes event 10n and the times cover the whole month.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("created_ts"), (F.col("value") - 50).alias("score"))
+    documents = labelled_documents(spark, sf_dir).drop("score")
+    return documents.join(events, F.col("id") * 10 == F.col("event_id")).drop("event_id")

@@ -11,7 +11,7 @@ Build = Callable[[SparkSession, str], DataFrame]
 
 _BUILDS: dict[str, Build] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("text", "relational", "hypothesis")
+_MODULES = ("ingest", "relational", "trend", "text", "stance", "hypothesis", "model")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:

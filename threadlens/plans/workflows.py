@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadlens.functions.buckets import leaning
-from threadlens.operators import aggregates, ingest
+from threadlens import schemas
+from threadlens.functions.buckets import leaning, score_code
+from threadlens.operators import aggregates, filters, ingest, sampling, trends
+from threadlens.operators.models import classification
+from threadlens.operators.models.features import MixedFeatures
+from threadlens.operators.ranking import head_and_rest
 from threadlens.plans import datasets as ds
+from threadlens.session import written
+from threadlens.sources import write_parquet
+
+MAX_SCORE = 500
+
+
+def extract_activity(
+    spark: SparkSession, submissions: str, comments: str, output: str, communities: Sequence[str] = ingest.ELECTION_COMMUNITIES,
+    year: int = 2016, cap: int = ingest.ROWS_PER_COMMUNITY, files: int = 8,
+) -> None:
+    """Raw JSON dumps to one capped activity table (at most 2 * cap * communities rows, hence few files)."""
+    posts = ingest.load_filtered(spark, submissions, schemas.SUBMISSIONS, communities, year, cap)
+    replies = ingest.load_filtered(spark, comments, schemas.COMMENTS, communities, year, cap)
+    write_parquet(ingest.combine_activity(replies, posts), output, files=files)
 
 
 def engagement_by_leaning(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,3 +36,86 @@ def engagement_by_leaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     capped = ingest.stratified_cap(ingest.drop_author(ds.scored_events(spark, sf_dir)))
     authors = aggregates.group_means(capped, ["author", "subreddit"], ["shifted", "score"])
     return aggregates.score_summary(authors.withColumn("political_leaning", leaning("shifted")), "political_leaning")
+
+
+def event_classification(
+    rows: DataFrame, anchor: dt.date, milestones: Sequence[tuple[str, dt.date]], window: int = 2, size: int = 1000,
+    components: int = 100, stopwords: Sequence[str] = (), fit_on_all: bool = False, trees: int = 100, depth: int = 6,
+) -> DataFrame:
+    """Predict the milestone window of each post; one row per measure: train, test and majority accuracy.
+
+    `fit_on_all` fits the text features on all rows, test rows included; by default on the training rows only.
+    """
+    spark = rows.sparkSession
+    weekly = trends.with_week(rows, anchor)
+    labelled = trends.label_events(weekly, trends.milestone_weeks(spark, anchor, milestones), window)
+    labelled = written(aggregates.activity_level(labelled), "labelled")
+    train, test = sampling.train_test_split(labelled, 0.3)
+    features = classification.EventFeatures(labelled if fit_on_all else train, size=size, components=components, stopwords=stopwords)
+    train, test = (written(features.transform(p).select("id", "event", "features"), "vectors") for p in (train, test))
+    model = classification.LabelledModel(train, "event", lambda inputs, classes: classification.random_forest(trees, depth))
+    majority = classification.majority_share(labelled, "event").first()[0]
+    measures = [("train", model.accuracy(train)), ("test", model.accuracy(test)), ("majority", float(majority))]
+    return spark.createDataFrame(measures, "measure string, accuracy double")
+
+
+class ScorePrediction:
+    """Predict a post's score class from community, words, time and sentiment.
+
+    Posts above the score limit are left out; the first `unlabelled` by key get predictions only. The others
+    may lose some communities and be sampled (in total, or per community) before the train/validation split.
+    `scale` brings all features to unit deviation, which the network needs: unix seconds saturate it otherwise.
+    """
+
+    def __init__(
+        self, rows: DataFrame, key: str = "id", unlabelled: int = 200, exclude: Sequence[str] = (), sample: int | None = None,
+        per_community: int | None = None, stopwords: Sequence[str] = (), words: int = 100, seed: int = 42,
+        scale: bool = False,
+    ):
+        self.spark, self.seed = rows.sparkSession, seed
+        capped = rows.where(F.col("score") < MAX_SCORE).withColumn("score_category", score_code("score"))
+        head, rest = head_and_rest(capped, key, unlabelled)
+        if exclude:
+            rest = rest.where(~ingest.in_set("subreddit", exclude))
+        if sample is not None:
+            rest = sampling.exact_sample(rest, sample, key, seed)
+        if per_community is not None:
+            rest = sampling.sample_per_group(rest, "subreddit", per_community, key, seed)
+        train, valid = sampling.train_test_split(rest, 0.25, key, seed)
+        self.mixed = MixedFeatures(train, stopwords=stopwords, size=words, scale=scale)
+        # The fits pass over the vectors many times; text features are computed once.
+        self.train, self.valid = (
+            written(self.mixed.transform(p).select(key, "score_category", "features"), "vectors") for p in (train, valid)
+        )
+        self.unlabelled = self.mixed.transform(head.drop("score_category"))
+
+    def fit(self, kind: str, **options) -> classification.LabelledModel:
+        makers = {
+            "forest": lambda i, c: classification.random_forest(min_leaf=20, seed=self.seed, **options),
+            "boosting": lambda i, c: classification.boosted_trees(seed=self.seed, **options),
+            "network": lambda i, c: classification.neural_network(i, c, seed=self.seed, **options),
+        }
+        return classification.LabelledModel(self.train, "score_category", makers[kind])
+
+    def accuracies(self, kinds: Sequence[str] = ("forest", "boosting", "network")) -> DataFrame:
+        """Train, validation and majority-class accuracy per model."""
+        majority = float(classification.majority_share(self.valid, "score_category").first()[0])
+        rows = []
+        for kind in kinds:
+            model = self.fit(kind)
+            rows.append((kind, model.accuracy(self.train), model.accuracy(self.valid), majority))
+        return self.spark.createDataFrame(rows, "model string, train double, validation double, majority double")
+
+    def predictions(self, kind: str = "boosting", **options) -> DataFrame:
+        """Predicted class of every unlabelled post."""
+        return self.fit(kind, **options).predict(self.unlabelled).select("id", F.col("predicted").alias("prediction"))
+
+    def misclassified(self, kind: str = "forest") -> DataFrame:
+        scored = self.fit(kind).predict(self.valid)
+        return filters.misclassified(
+            scored.select("id", F.col("score_category").cast("string").alias("truth"), F.col("predicted").alias("prediction"))
+        )
+
+    def importances(self) -> DataFrame:
+        """Impurity importance of every feature of the forest, largest first."""
+        return self.fit("forest").importances(self.mixed.names, self.spark)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,6 +70,13 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A table from driver-side rows whose size the planner knows, so that joins to it broadcast on that size."""
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], arrow.field(i).type) for i in range(len(schema))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Redistribute rows when the scan has fewer partitions than cores; a no-op on many-file input."""
     wanted = df.sparkSession.sparkContext.defaultParallelism
