@@ -137,10 +137,18 @@ def test_label_providers(spark):
     assert {r.id: r.label for r in made.collect()} == {1: "POSITIVE", 2: None, 3: "NEGATIVE"}
 
 
-def test_early_exit_gives_defaults_to_the_rest(spark):
-    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, hope boolean")
-    out = sentiment.score_hopeful(df, lambda d: d.withColumn("s", F.lit(0.7)), F.col("hope"), {"s": F.lit(0.0)})
-    assert {r.id: r.s for r in out.collect()} == {1: 0.7, 2: 0.0, 3: 0.0}
+def test_early_exit_keeps_hopeless_texts_from_the_model(spark):
+    df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", None)], "id int, body string, hope boolean")
+
+    def build():
+        def model(texts):
+            assert list(texts) == ["a"] or not len(texts)
+            return ["POSITIVE"] * len(texts)
+
+        return model
+
+    out = sentiment.score_hopeful(df, lambda d: sentiment.udf_label(d, build), F.col("hope"), {"label": F.lit("none")})
+    assert {r.id: (r.body, r.label) for r in out.collect()} == {1: ("a", "POSITIVE"), 2: ("b", "none"), 3: ("c", "none")}
 
 
 def test_synonyms_expand_with_spaces(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.text import TOKEN_PATTERN, drop_words, ngram_range, tokens
 from threadlens.operators.ranking import top_per_group
-from threadlens.session import spread, written
+from threadlens.session import written
 
 
 def document_terms(
@@ -27,8 +27,7 @@ def document_terms(
     is needed to get from text to term frequencies.
     """
     grams = (
-        spread(df.select(*keep, text))
-        .select(*keep, drop_words(tokens(text, pattern), stopwords).alias("_tokens"))
+        df.select(*keep, drop_words(tokens(text, pattern), stopwords).alias("_tokens"))
         .select(*keep, F.sort_array(ngram_range(F.col("_tokens"), low, high)).alias("_grams"))
     )
     g = F.col("_grams")

@@ -14,7 +14,6 @@ from threadlens.functions.text import TOKEN_PATTERN, _col, tokens
 from threadlens.operators.lexicons import (
     MAX_INLINE_ENTRIES, Phrase, first_entity_group, first_phrase, haystack, holds, phrase_shift, with_fuzzy_phrase,
 )
-from threadlens.session import spread
 
 # Fixed value: damping constant of the compound score (Hutto & Gilbert 2014).
 COMPOUND_ALPHA = 15.0
@@ -64,13 +63,13 @@ def lexicon_polarity(
         entries = lexicon.select("word", "valence").limit(MAX_INLINE_ENTRIES + 1).collect()
         if len(entries) <= MAX_INLINE_ENTRIES:
             pairs = [(r.word, r.valence) for r in entries]
-            return spread(df).withColumn(name, compound(valence_sum(text, pairs)))
+            return df.withColumn(name, compound(valence_sum(text, pairs)))
         if inline:
             raise ValueError(f"lexicon has more than {MAX_INLINE_ENTRIES} entries")
     words = lexicon.select("word", "valence")
     words = F.broadcast(words) if words.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS else words.hint("shuffle_hash")
     sums = (
-        spread(df.select(key, text)).where(F.col(text).isNotNull())
+        df.where(F.col(text).isNotNull())
         .select(key, F.explode(tokens(text)).alias("word"))
         .join(words, "word")
         .groupBy(key)
@@ -147,8 +146,7 @@ def entity_stance(
         )
     turned = F.when(F.col("mentioned_group") == groups[1], F.lit(0.0) - F.col(score)).otherwise(F.col(score))
     return (
-        spread(df)
-        .withColumn("_hay", haystack(text, boundary))
+        df.withColumn("_hay", haystack(text, boundary))
         .withColumn("mentioned_group", group)
         .withColumn("politician_mentioned", F.col("mentioned_group").isNotNull())
         .withColumn("stance", turned)
@@ -163,7 +161,7 @@ def mention_flags(df: DataFrame, entities: Sequence, phrases: Sequence[Phrase],
     shifting phrase needs similarity above 80.
     """
     groups = list(dict.fromkeys(e.grp for e in entities))
-    hits = spread(df).withColumn("_hay", haystack(text)).withColumns(
+    hits = df.withColumn("_hay", haystack(text)).withColumns(
         {
             "politician_mentioned": first_entity_group("_hay", entities, groups).isNotNull(),
             "_phrase": first_phrase("_hay", phrases),
@@ -194,9 +192,18 @@ def shift_cases(
 
 
 def score_hopeful(
-    df: DataFrame, scorer: Callable[[DataFrame], DataFrame], hopeful: Column, defaults: dict[str, Column]
+    df: DataFrame, scorer: Callable[[DataFrame], DataFrame], hopeful: Column, defaults: dict[str, Column], text: str = "body"
 ) -> DataFrame:
-    """Run a costly scorer only on rows that can get a non-zero result; the others take the defaults."""
-    scored = scorer(df.where(hopeful))
-    rest = df.where(~F.coalesce(hopeful, F.lit(False))).withColumns(defaults)
-    return scored.unionByName(rest.select(*scored.columns))
+    """Run a costly scorer on rows that can get a non-zero result only; the others take the defaults.
+
+    The scorer sees NULL for the text of hopeless rows, which label providers and polarity skip, so the rows
+    stay in one pass instead of being split and read twice. It must keep the columns it is given.
+    """
+    masked = (
+        df.withColumn("_hopeful", F.coalesce(hopeful, F.lit(False)))
+        .withColumn("_text", F.col(text))
+        .withColumn(text, F.when(F.col("_hopeful"), F.col(text)))
+    )
+    out = scorer(masked).withColumn(text, F.col("_text"))
+    out = out.withColumns({c: F.when(F.col("_hopeful"), F.col(c)).otherwise(v) for c, v in defaults.items()})
+    return out.drop("_hopeful", "_text")

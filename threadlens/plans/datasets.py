@@ -11,7 +11,7 @@ from threadlens import schemas
 from threadlens.functions.buckets import clamp
 from threadlens.operators.sentiment import given_label
 from threadlens.operators.trends import milestone_weeks
-from threadlens.session import configure, local_table
+from threadlens.session import configure, local_table, spread
 
 ANCHOR = dt.date(2024, 1, 20)
 MILESTONES = (("C", dt.date(2024, 1, 20)), ("A", dt.date(2024, 1, 5)), ("B", dt.date(2024, 1, 12)))
@@ -27,9 +27,12 @@ VALENCES = (
 )
 
 
+TEXT_TABLES = ("documents", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in TEXT_TABLES else scan
 
 
 def event_activity(spark: SparkSession, sf_dir: str) -> DataFrame:

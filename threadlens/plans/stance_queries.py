@@ -155,7 +155,7 @@ _FUZZY = f"""sim AS (SELECT win, ordinal, phrase, 100.0::DOUBLE * (1.0::DOUBLE -
     LEFT JOIN strict s ON s.id = d.doc_id LEFT JOIN loose l ON l.id = d.doc_id""",
 )
 def fuzzy_policy_match(spark, sf_dir):
-    rows = sentiment.spread(ds.document_activity(spark, sf_dir))
+    rows = ds.document_activity(spark, sf_dir)
     rows = lexicons.with_fuzzy_phrase(rows, _phrases(spark), name="strict_phrase", strict=True)
     rows = lexicons.with_fuzzy_phrase(rows, _phrases(spark), name="loose_phrase", strict=False)
     return rows.select("id", "strict_phrase", "loose_phrase")
@@ -188,7 +188,7 @@ def early_exit_scores(spark, sf_dir):
     def scorer(rows):
         scored = sentiment.lexicon_polarity(rows, ds.valence_lexicon(spark))
         scored = scored.withColumn("sentiment", sentiment.combined_sentiment("polarity", "label"))
-        return sentiment.shift_cases(scored, phrases).select("id", "politician_mentioned", "sentiment", "shifted")
+        return sentiment.shift_cases(scored, phrases)
 
     hopeful = F.col("politician_mentioned") | F.col("similar_phrase").isNotNull()
     out = sentiment.score_hopeful(flagged, scorer, hopeful, {"sentiment": F.lit(0.0), "shifted": F.lit(0.0)})

@@ -77,7 +77,11 @@ def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows when the scan has fewer partitions than cores; a no-op on many-file input."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Redistribute the rows of a plain file scan that has fewer partitions than cores; else leave it as it is.
+
+    For text-heavy tables that arrive as a few unsplittable files. Call it on the scan itself: asking a frame
+    with shuffles for its partition count would run them.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
