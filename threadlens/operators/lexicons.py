@@ -116,9 +116,13 @@ def with_fuzzy_phrase(
     threshold: float = MIN_SIMILARITY,
     strict: bool = True,
     blocked: bool = True,
+    loose_name: str | None = None,
 ) -> DataFrame:
     """Add the first phrase in lexicon order that some run of the text's words resembles, else NULL.
 
+    Similarity must exceed the threshold, or reach it when not `strict`; `loose_name` adds a second column for
+    the latter from the same windows.
+
     Windows have the phrase's own word count. A phrase is only compared when the text holds one of its pieces
     unchanged: a window within k edits must contain at least one of any k+1 pieces, so nothing is lost
     (`blocked=False` compares every window, for checks). Distances stop early at k edits. A text without a
@@ -143,12 +147,16 @@ def with_fuzzy_phrase(
             for n in sizes
         }
     )
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for p, target, k, hint in zip(phrases, targets, edits, hints):
-        out = out.when(
-            hint & F.exists(F.col(f"_windows_{len(target.split())}"), _close(target, k, threshold, strict)), p.phrase
-        )
-    return staged.withColumn(name, out).drop("_words", "_joined", *[f"_windows_{n}" for n in sizes])
+
+    def first(strictly: bool) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for p, target, k, hint in zip(phrases, targets, edits, hints):
+            windows = F.col(f"_windows_{len(target.split())}")
+            out = out.when(hint & F.exists(windows, _close(target, k, threshold, strictly)), p.phrase)
+        return out
+
+    found = {name: first(strict)} | ({loose_name: first(False)} if loose_name else {})
+    return staged.withColumns(found).drop("_words", "_joined", *[f"_windows_{n}" for n in sizes])
 
 
 def _close(target: str, edits: int, threshold: float, strict: bool):

@@ -114,9 +114,13 @@ def top_ngrams(totals: DataFrame, n: int = 10, by: Sequence[str] = ()) -> DataFr
 
 
 def ngram_profile(weights: DataFrame, key: str, n: int = 10) -> DataFrame:
-    """Weight per key and n-gram for the corpus-wide top n, in long form."""
-    top = top_ngrams(ngram_totals(weights), n).select("ngram")
-    return ngram_totals(weights.join(F.broadcast(top), "ngram", "left_semi"), [key])
+    """Weight per key and n-gram for the corpus-wide top n, in long form.
+
+    The totals per key are written once; the corpus ranking sums them, so the weights are computed in one pass.
+    """
+    per_key = written(ngram_totals(weights, [key]), "profile")
+    top = top_ngrams(ngram_totals(per_key), n).select("ngram")
+    return per_key.join(F.broadcast(top), "ngram", "left_semi")
 
 
 def profile_matrix(profile: DataFrame, key: str, ngrams: Sequence[str], keys: DataFrame | None = None) -> DataFrame:

@@ -167,8 +167,7 @@ def mention_flags(df: DataFrame, entities: Sequence, phrases: Sequence[Phrase],
             "_phrase": first_phrase("_hay", phrases),
         }
     )
-    hits = with_fuzzy_phrase(hits, phrases, text, "shifting_phrase", strict=True)
-    hits = with_fuzzy_phrase(hits, phrases, text, "_loose", strict=False)
+    hits = with_fuzzy_phrase(hits, phrases, text, "shifting_phrase", loose_name="_loose")
     return hits.withColumn("similar_phrase", F.coalesce("_phrase", "_loose")).drop("_hay", "_phrase", "_loose")
 
 

@@ -156,8 +156,7 @@ _FUZZY = f"""sim AS (SELECT win, ordinal, phrase, 100.0::DOUBLE * (1.0::DOUBLE -
 )
 def fuzzy_policy_match(spark, sf_dir):
     rows = ds.document_activity(spark, sf_dir)
-    rows = lexicons.with_fuzzy_phrase(rows, _phrases(spark), name="strict_phrase", strict=True)
-    rows = lexicons.with_fuzzy_phrase(rows, _phrases(spark), name="loose_phrase", strict=False)
+    rows = lexicons.with_fuzzy_phrase(rows, _phrases(spark), name="strict_phrase", loose_name="loose_phrase")
     return rows.select("id", "strict_phrase", "loose_phrase")
 
 

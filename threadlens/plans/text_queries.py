@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.operators import aggregates, ngrams
 from threadlens.plans import datasets as ds
 from threadlens.plans.registry import query
+from threadlens.session import written
 
 _STOP = ", ".join(f"'{w}'" for w in ds.STOPWORDS)
 
@@ -136,9 +137,8 @@ def tfidf_profile_by_author(spark, sf_dir):
 
 def author_features(spark, sf_dir):
     """N-gram profile, sentiment, usual hour, mean scores and counts in one row per author of a comment."""
-    weights = ngrams.tfidf(author_terms(spark, sf_dir))
-    top = [r.ngram for r in ngrams.top_ngrams(ngrams.ngram_totals(weights), 10).collect()]
-    profile = ngrams.ngram_totals(weights.where(F.col("ngram").isin(top)), ["author"])
+    profile = written(ngrams.ngram_profile(ngrams.tfidf(author_terms(spark, sf_dir)), "author", 10), "profile")
+    top = [r.ngram for r in ngrams.top_ngrams(ngrams.ngram_totals(profile), 10).collect()]
     wide = ngrams.profile_matrix(profile, "author", top, ds.comments(spark, sf_dir))
     wide = aggregates.rename(wide, {g: f"ngram_{i + 1}" for i, g in enumerate(top)})
     numbers = aggregates.author_numbers(ds.scored_events(spark, sf_dir), ds.EVENT_TYPES)
