@@ -33,7 +33,7 @@ def _skewed(spark):
     return rows, spark.createDataFrame(rows, "subreddit string, x double")
 
 
-@pytest.mark.parametrize("rounds,bins", [(0, 4), (1, 8), (2, 2048)])
+@pytest.mark.parametrize("rounds,bins", [(None, 2048), (0, 4), (1, 8), (2, 2048)])
 def test_quantiles_match_sorting(spark, rounds, bins):
     rows, df = _skewed(spark)
     probs = [0.0, 0.25, 0.5, 0.75, 0.97, 1.0]

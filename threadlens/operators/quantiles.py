@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from threadlens.session import written
 
 BINS = 2048
+ROUNDS = 2
+# Up to this many distinct values over all groups are ranked directly.
+DIRECT_VALUES = 200_000
 
 
 def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: Sequence[float], rounds: int = 2, bins: int = BINS
+    df: DataFrame, group: str, value: str, probs: Sequence[float], rounds: int | None = None, bins: int = BINS
 ) -> DataFrame:
     """Linearly interpolated quantiles per group: (group, prob, quantile).
 
@@ -21,6 +24,7 @@ def exact_quantiles(
     equal bins, the bin holding the rank is found from bin counts, and only its values go on; after `rounds`
     such steps the few values left are ranked. Every step is a combinable aggregation, so a group holding most
     of the rows, or one value repeated without end, costs no more than its distinct values spread over tasks.
+    Unless `rounds` is given, a few distinct values (counted from the written table) are ranked without narrowing.
     """
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     counted = written(
@@ -40,6 +44,8 @@ def exact_quantiles(
     )
     # One target per distinct rank of a group; `before` counts the group's rows below `low`.
     target = wanted.select("g", "rank", "low", "high", F.lit(0).cast("bigint").alias("before")).distinct()
+    if rounds is None:
+        rounds = 0 if counted.count() <= DIRECT_VALUES else ROUNDS
     for step in range(rounds):
         target = written(_narrow(counted, target, bins), f"bins{step}")
     inside = counted.join(target, "g").where(F.col("x").between(F.col("low"), F.col("high")))
