@@ -160,7 +160,11 @@ def learned_label(spark, sf_dir):
     return out.select("id", "label")
 
 
-@query("user_label")
+@query(
+    "user_label",
+    """SELECT doc_id AS id, CASE WHEN (length(text) - length(regexp_replace(text, '[aeiou]', '', 'g'))) % 2 = 0 THEN 'POSITIVE'
+    ELSE 'NEGATIVE' END AS label FROM documents""",
+)
 def user_label(spark, sf_dir):
     """Labels from a text function of the caller, here the parity of vowels, run in batches."""
 
