@@ -16,7 +16,9 @@ KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _STATES = len(ALPHABET) + 1
 _CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
-_ORDINARY = r"[A-Za-z0-9+/_=-]{12,}"
+_STRING = r"[A-Za-z0-9+/_=-]{12,}"
+#: Words of two letters or more, joined by signs or capitals, and up to three digits at the end.
+_ORDINARY = r"^(?:[+/_=-]*[A-Z]?[a-z]{2,})+[+/_=-]*[0-9]{0,3}$"
 
 
 def _pairs(token: Column) -> Column:
@@ -29,12 +31,14 @@ def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def train_model(docs: DataFrame, prior: float = 1.0) -> np.ndarray:
+def train_model(docs: DataFrame, prior: float = 8.0) -> np.ndarray:
     """Log-likelihood ratio, random against ordinary, of each transition; a flat array of states x states.
 
     Labelled samples are taken from all documents: values, access keys and hex strings that the fixed patterns find are
-    random, other strings of 12 or more of the same characters are ordinary. Only counts of transitions are gathered (as
-    many as there are pairs of characters). Without samples both models are uniform and the ratio is 0.
+    random; other strings of 12 or more of the same characters are ordinary if they are made of words (`_ORDINARY`), and
+    unlabelled if not. Only counts of transitions are gathered (as
+    many as there are pairs of characters). A transition's chance leans on its character's own frequency as `prior` counts
+    would, so that rare starting characters tell something too. Without samples both models are uniform and the ratio is 0.
     """
     text = texts(docs).select("text")
     is_secret = F.lit("|".join((ASSIGN, ACCESS, HEX)))
@@ -43,13 +47,14 @@ def train_model(docs: DataFrame, prior: float = 1.0) -> np.ndarray:
     ))
     rest = F.when(F.size("values") > 0, F.regexp_replace("text", is_secret, F.lit(" "))).otherwise(F.col("text"))
     samples = marked.select(F.explode(F.array(
-        F.struct(F.lit(1).alias("secret"), F.col("values").alias("tokens")), F.struct(F.lit(0).alias("secret"), _found(rest, _ORDINARY).alias("tokens"))
+        F.struct(F.lit(1).alias("secret"), F.col("values").alias("tokens")), F.struct(F.lit(0).alias("secret"), F.filter(_found(rest, _STRING), lambda t: t.rlike(_ORDINARY)).alias("tokens"))
     )).alias("s")).select("s.secret", F.explode("s.tokens").alias("token"))
     counted = samples.select("secret", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("secret", "pair").count().collect()
     counts = np.full((2, _STATES, _STATES), 0.0)
     for row in counted:
         counts[row["secret"], row["pair"] // _STATES, row["pair"] % _STATES] += row["count"]
-    chances = np.log((counts + prior) / (counts.sum(axis=2, keepdims=True) + prior * _STATES))
+    alone = counts.sum(axis=1, keepdims=True) + 1
+    chances = np.log((counts + prior * alone / alone.sum(axis=2, keepdims=True)) / (counts.sum(axis=2, keepdims=True) + prior))
     return (chances[1] - chances[0]).ravel()
 
 
