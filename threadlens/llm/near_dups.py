@@ -16,6 +16,8 @@ from threadlens.session import written
 
 WORDS, SIMILARITY = 5, 0.8
 _SLOTS, _ROWS = 128, 4
+#: Bands of up to so many texts are compared in full in the end.
+SMALL_BAND = 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,35 +155,61 @@ def components(links: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b, similarity) that join all different texts of `similarity` or more that share a band.
 
-    Each band's smallest text is compared with the band's other texts. Two texts linked to it are in one class already and
-    need no comparison. A text that is not linked to it is compared with every text of the band which is in another class
-    after the first step, if the triangle inequality of the distance 1 - similarity and the bag sizes allow `similarity`
-    and the two share a second band (which a pair at 0.8 misses once in a million).
+    Each band's smallest text, its first head, is compared with the band's other texts. Texts linked to one head are in one
+    class and need no comparison. As long as bands hold texts of several classes and a turn finds new links, the text next
+    nearest to the first head (in a group of edited copies, the next least edited) heads the band and is compared with the
+    texts of other classes. Pairs that the triangle inequality of the distance 1 - similarity or their sizes rule out are
+    not compared. In bands of up to SMALL_BAND texts all pairs of different classes are compared at the end. So the number
+    of comparisons stays in proportion to the texts, however large a group of near copies is.
     """
     nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.explode("bands").alias("band"))
-    heads = keyed.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    members = written(keyed.join(heads, "band").select("band", "head", "node"), "bands")
+    heads = keyed.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
+    members = written(keyed.join(heads, "band").select("band", "head", "n", "node"), "bands")
     pairs = written(members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     bag = written(bags(docs, members.select("node").distinct()), "bags")
     first = written(_similarity(pairs, bag), "links")
-    linked = first.where(F.col("similarity") >= similarity)
-    roots = components(linked)
-    known = (
-        members.join(first.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left")
-        .join(roots, "node", "left").join(bag.select("node", "size"), "node")
-        .select("band", "node", F.coalesce("root", "node").alias("root"), "size", (1 - F.coalesce("similarity", F.when(F.col("node") == F.col("head"), 1.0))).alias("d"))
+    links = first.where(F.col("similarity") >= similarity)
+    gap = 1 - similarity + 1e-9
+    distant = written(
+        members.join(first.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left").join(bag.select("node", "size"), "node")
+        .select("band", "n", F.struct((1 - F.coalesce("similarity", F.lit(1.0))).alias("d"), "node", "size").alias("x")),
+        "distances",
     )
+    used = heads.select("band", F.struct(F.lit(-1.0).alias("d"), F.col("head").alias("node"), F.lit(0).alias("size")).alias("last"))
+    while True:
+        open_ = _open_bands(distant, links)
+        turn = written(open_.join(used, "band").where("x > last").groupBy("band").agg(F.min("x").alias("last")), "heads")
+        x, h = F.col("x"), F.col("last")
+        head_roots = open_.join(turn, "band").where(x["node"] == h["node"]).select("band", F.col("root").alias("head_root"))
+        new = open_.join(turn, "band").join(head_roots, "band").where((F.col("root") != F.col("head_root")) & _within(x, h, similarity, gap))
+        found = written(_similarity(_ordered(new.select(x["node"].alias("a"), h["node"].alias("b"))), bag).where(F.col("similarity") >= similarity), "links")
+        if found.isEmpty():
+            break
+        links, used = written(links.select("a", "b", "similarity").unionByName(found.select("a", "b", "similarity")), "links"), turn
+    rest = _open_bands(distant.where(F.col("n") <= SMALL_BAND), links)
+    other = rest.select("band", F.col("x").alias("y"), F.col("root").alias("other_root"))
+    x, y = F.col("x"), F.col("y")
+    cross = rest.join(other, "band").where((x["node"] < y["node"]) & (F.col("root") != F.col("other_root")) & _within(x, y, similarity, gap))
+    last = _similarity(written(_ordered(cross.select(x["node"].alias("a"), y["node"].alias("b"))), "pairs"), bag).where(F.col("similarity") >= similarity)
+    return written(links.select("a", "b", "similarity").unionByName(last.select("a", "b", "similarity")), "links")
+
+
+def _within(x: Column, y: Column, similarity: float, gap: float) -> Column:
+    """Whether the distances of two texts to their first head, and their sizes, allow `similarity`."""
+    return (F.abs(x["d"] - y["d"]) <= gap) & (F.least(x["size"], y["size"]) >= similarity * F.greatest(x["size"], y["size"]))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _open_bands(distant: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of bands that hold texts of more than one class, with the class (root)."""
+    roots = written(components(links), "roots")
+    known = distant.join(roots.withColumnRenamed("node", "_node"), F.col("x.node") == F.col("_node"), "left").select("band", "n", "x", F.coalesce("root", "x.node").alias("root"))
     mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    open_bands = written(known.join(mixed, "band"), "open_bands")
-    gap = 1 - similarity
-    mine = open_bands.where(F.col("d") > gap).select("band", F.explode(F.array(*[F.floor(F.col("d") / gap) + k for k in (-1, 0, 1)])).alias("ring"), F.struct("node", "root", "size", "d").alias("u"))
-    theirs = open_bands.select("band", F.floor(F.col("d") / gap).alias("ring"), F.struct("node", "root", "size", "d").alias("v"))
-    u, v = F.col("u"), F.col("v")
-    possible = (u["root"] != v["root"]) & (F.abs(u["d"] - v["d"]) <= gap + 1e-9) & (F.least(u["size"], v["size"]) >= similarity * F.greatest(u["size"], v["size"])) & ((v["d"] <= gap) | (u["node"] < v["node"]))
-    more = mine.join(theirs, ["band", "ring"]).where(possible).groupBy(F.least(u["node"], v["node"]).alias("a"), F.greatest(u["node"], v["node"]).alias("b")).count().where("count > 1")
-    second = _similarity(written(more.select("a", "b"), "pairs"), bag).where(F.col("similarity") >= similarity)
-    return written(linked.select("a", "b", "similarity").unionByName(second.select("a", "b", "similarity")), "links")
+    return written(known.join(mixed, "band"), "open_bands")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
