@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import partitions, texts
+from threadlens.session import written
 
 #: Up to five words, ended early by a full stop, question or exclamation mark; every character is in one piece.
 _PIECE = r"(?:[^.!?\s]+\s*){1,5}[.!?]*\s*|[.!?]+\s*|\s+"
@@ -60,7 +61,7 @@ def with_next(docs: DataFrame, *carried: str) -> DataFrame:
     keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(low - 1))).withColumn("_range", F.expr(f"(_key - {low - 1}L) div {width}L"))
     first = keyed.groupBy("_range").agg(F.min("_key").alias("_key"))
     after = Window.orderBy("_range")
-    lead_in = first.select("_key", F.coalesce(F.lag("_range").over(after), F.max("_range").over(Window.partitionBy())).alias("_to"))
+    lead_in = written(first.select("_key", F.coalesce(F.lag("_range").over(after), F.max("_range").over(Window.partitionBy())).alias("_to")), "range_starts")
     columns = ["doc_id", "text", *carried]
     borrowed = (
         keyed.join(lead_in, "_key").groupBy("_to", "_key").agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("r"))
