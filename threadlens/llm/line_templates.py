@@ -12,54 +12,60 @@ _DIGITS = r"[^ ]*[0-9][^ ]*"
 
 
 def _masked(line: Column) -> Column:
-    """The line's tokens, one space apart, with those that hold a digit as <*>."""
-    plain = F.trim(F.regexp_replace(line, r"[ \t-\r]+", " "))
+    """The trimmed line with the tokens (between spaces) that hold a digit as <*>."""
+    plain = F.trim(line)
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, _DIGITS, "<*>")).otherwise(plain)
 
 
-def _tokens(masked: Column) -> Column:
-    return F.when(masked == "", 0).otherwise(F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1)
+def _lines(text: Column, depth: int, min_tokens: int) -> Column:
+    """Each line's text, masked, leaf (digest of token count and `depth` leading tokens), and line (digest of the masked line), null where shorter."""
+    masked = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("text"), _masked(x).alias("masked")))
+    counted = F.transform(masked, lambda x: F.struct(x["text"].alias("text"), x["masked"].alias("masked"), (F.length(x["masked"]) - F.length(F.replace(x["masked"], F.lit(" "), F.lit(""))) + 1).alias("n")))
+    return F.transform(counted, lambda x: F.struct(
+        x["text"].alias("text"), x["masked"].alias("masked"),
+        F.when(x["n"] >= min_tokens, F.xxhash64(x["n"], F.substring_index(x["masked"], " ", depth))).alias("leaf"),
+        F.when(x["n"] >= min_tokens, F.xxhash64(x["masked"])).alias("line"),
+    ))
 
 
 def with_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """Adds `lines`: text, leaf (digest of token count and `depth` leading tokens), and line (digest of the masked line), null where shorter."""
-    masked = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: F.struct(x.alias("text"), _masked(x).alias("masked")))
-    long_enough = lambda m: _tokens(m) >= min_tokens
-    return docs.withColumn("_masked", masked).withColumn("lines", F.transform("_masked", lambda x: F.struct(
-        x["text"].alias("text"), x["masked"].alias("masked"),
-        F.when(long_enough(x["masked"]), F.xxhash64(_tokens(x["masked"]), F.substring_index(x["masked"], " ", depth))).alias("leaf"),
-        F.when(long_enough(x["masked"]), F.xxhash64(x["masked"])).alias("line"),
-    ))).drop("_masked")
+    return docs.withColumn("lines", _lines(F.coalesce(F.col("text"), F.lit("")), depth, min_tokens))
 
 
 def _occurrences(lines: DataFrame, *more: str) -> DataFrame:
-    """One row for each distinct line of a document: leaf, line, and the company it keeps.
+    """Adds `seen`, the distinct lines of a document (leaf, line and `more`), and `two`, its two smallest leaf digests.
 
-    `company` is the smallest leaf digest among the document's other lines. Copies of a document share it, whole or near,
-    while a line that recurs in unrelated documents keeps many companies.
+    A line's company is the smallest leaf digest among the document's other lines. Copies of a document share it, whole or
+    near, while a line that recurs in unrelated documents keeps many companies.
     """
     eligible = F.filter("lines", lambda x: x["leaf"].isNotNull())
     two = F.slice(F.sort_array(F.array_distinct(F.transform(F.col("lines"), lambda x: F.coalesce(x["leaf"], F.xxhash64(x["masked"]))))), 1, 2)
-    each = lines.select(F.explode(F.array_distinct(F.transform(eligible, lambda x: F.struct(x["leaf"].alias("leaf"), x["line"].alias("line"), *[x[m].alias(m) for m in more])))).alias("x"), two.alias("two"))
+    seen = F.array_distinct(F.transform(eligible, lambda x: F.struct(x["leaf"].alias("leaf"), x["line"].alias("line"), *[x[m].alias(m) for m in more])))
+    return lines.withColumn("seen", seen).withColumn("two", two)
+
+
+def _exploded(seen: DataFrame) -> DataFrame:
+    each = seen.select(F.explode("seen").alias("x"), "two")
     return each.select("x.*", F.when(F.get("two", F.lit(0)) == F.col("x.leaf"), F.get("two", F.lit(1))).otherwise(F.get("two", F.lit(0))).alias("company"))
 
 
-def recurring_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, min_documents: int = 3, spread: float = 0.3, alike: float = 0.6) -> DataFrame:
+def recurring_lines(docs: DataFrame, digested: DataFrame, depth: int = 3, min_tokens: int = 5, min_documents: int = 3, spread: float = 0.3, alike: float = 0.6) -> DataFrame:
     """`line` digests of the templates that recur in `min_documents` or more documents of different company.
 
+    `digested` has `seen` and `two` of each of `docs`, whose texts are read again only for the variants of a leaf.
+
     A line is parsed down a tree of fixed depth: token count, then `depth` leading tokens. Lines equal once variable fields
     are masked are one template. Within a leaf, positions where four fifths of the lines agree are constants; if at least
     `alike` of all positions are, the lines that fit the constants are one template with the other positions generalised.
     A template is dropped if its documents keep `min_documents` companies or more, and `spread` as many as documents, so
     that lines of many copies of one document do not count as recurring.
     """
-    lines = with_lines(docs.select("text"), depth, min_tokens)
-    seen = written(_occurrences(lines).groupBy("leaf", "line", "company").agg(F.count("*").alias("n")), "lines")
+    seen = written(_exploded(digested).groupBy("leaf", "line", "company").agg(F.count("*").alias("n")), "lines")
     recurs = (F.col("companies") >= min_documents) & (F.col("companies") >= spread * F.col("documents"))
     per_line = seen.groupBy("leaf", "line").agg(F.count("*").alias("companies"), F.sum("n").alias("documents"))
     exact = per_line.where(recurs).select("line")
     leaves = per_line.groupBy("leaf").agg(F.count("*").alias("variants"), F.sum("companies").alias("companies")).where(F.col("companies") >= min_documents).where("variants > 1").select("leaf")
-    crowded = _occurrences(lines, "masked").join(written(leaves, "leaves"), "leaf")
+    crowded = _exploded(_occurrences(with_lines(docs.select("text"), depth, min_tokens), "masked")).join(written(leaves, "leaves"), "leaf")
     variants = written(crowded.groupBy("leaf", "line", "company").agg(F.count("*").alias("n"), F.first("masked").alias("masked")), "variants")
     positions = variants.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     votes = positions.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n")).groupBy("leaf", "at").agg(F.max_by("token", F.struct("n", "token")).alias("token"), F.max("n").alias("most"), F.sum("n").alias("n"))
@@ -78,15 +84,16 @@ def drop_recurring_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, m
     All other columns stay. A document with nothing to cut keeps its text, null included; one whose lines all go keeps an
     empty text. Only digests of lines are joined with the recurring ones; then each document meets the digests it loses.
     """
-    recurring = written(recurring_lines(docs, depth, min_tokens, min_documents), "recurring")
     keyed = docs.withColumn("_row", identity("doc_id", "text"))
-    digests = with_lines(keyed.select("_row", "text"), depth, min_tokens).select("_row", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    lost = digests.join(recurring, "line").groupBy("_row").agg(F.collect_set("line").alias("_lost"))
-    lines = with_lines(keyed.join(lost, "_row", "left"), depth, min_tokens)
-    left = F.filter("lines", lambda x: x["line"].isNull() | ~F.array_contains("_lost", x["line"]))
+    digested = written(_occurrences(with_lines(keyed.select("_row", "text"), depth, min_tokens)).select("_row", "seen", "two"), "digested")
+    recurring = written(recurring_lines(docs, digested, depth, min_tokens, min_documents), "recurring")
+    lost = digested.select("_row", F.explode("seen.line").alias("line")).join(recurring, "line").groupBy("_row").agg(F.collect_set("line").alias("_lost"))
+    joined = keyed.join(lost, "_row", "left")
     cut = F.col("_lost").isNotNull()
+    lines = joined.withColumn("_lines", F.when(cut, _lines(F.col("text"), depth, min_tokens)))
+    left = lines.withColumn("_left", F.filter("_lines", lambda x: x["line"].isNull() | ~F.array_contains("_lost", x["line"])))
     return (
-        lines.withColumn("n_dropped", F.when(cut, F.size("lines") - F.size(left)).otherwise(0).cast("long"))
-        .withColumn("text", F.when(cut, F.array_join(F.transform(left, lambda x: x["text"]), "\n")).otherwise(F.col("text")))
-        .drop("lines", "_row", "_lost")
+        left.withColumn("n_dropped", F.when(cut, F.size("_lines") - F.size("_left")).otherwise(0).cast("long"))
+        .withColumn("text", F.when(cut, F.array_join(F.transform("_left", lambda x: x["text"]), "\n")).otherwise(F.col("text")))
+        .drop("_lines", "_left", "_row", "_lost")
     )
