@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from threadlens.llm.chunks import Memo, slices
 from threadlens.llm.common import fold, texts
+from threadlens.session import written
 
 #: Labelled rows that the classifier is fitted on, at most; taken in hash order of the id.
 MAX_EXAMPLES = 20_000
@@ -156,11 +157,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     A document with two labels counts as toxic if one says so. Terms are words and their beginnings that at least five
     examples have and that are commoner among toxic ones by six standard errors; of more than MAX_TERMS, the clearest.
     """
-    chosen = (
+    chosen = written(
         labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 0)
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples), "chosen"
     )
-    examples = texts(docs).join(chosen, "doc_id")
+    examples = written(texts(docs).join(chosen, "doc_id").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text"), "examples")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Memo(terms_of, 200_000)
@@ -172,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
             keys = list(counts)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())], ["term", "toxic", "n"])
 
-    counted = examples.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(spread, "term string, toxic int, n bigint")
+    counted = examples.mapInArrow(spread, "term string, toxic int, n bigint")
     sizes = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, total = sizes.get(1, 0), sum(sizes.values())
     if not 0 < toxic < total:
@@ -195,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
                 pa.array([sorted(found[i].items()) for i in keep], pa.map_(pa.int32(), pa.int32())),
             ], ["doc_id", "toxic", "terms"])
 
-    vectors = examples.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(matched, "doc_id bigint, toxic int, terms map<int,int>")
+    vectors = examples.mapInArrow(matched, "doc_id bigint, toxic int, terms map<int,int>")
     names = [term for term, _ in terms]
     return ToxicityModel(terms, [(r["doc_id"], {names[t]: n for t, n in r["terms"].items()}, r["toxic"]) for r in vectors.collect()], total, toxic)
 
