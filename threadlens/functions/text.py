@@ -28,7 +28,7 @@ def concat_lenient(title: Column | str, body: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove whitespace of any kind at both ends (`trim` removes spaces only)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
 def normalise_author(c: Column | str) -> Column:
@@ -43,7 +43,7 @@ def truncate(c: Column | str, length: int = 512) -> Column:
 def word_count(c: Column | str) -> Column:
     """Number of whitespace-separated words; 0 for blank text."""
     text = strip(c)
-    return F.when(text == "", 0).otherwise(F.size(F.split(text, r"\s+")))
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, r"[\s\p{Z}]+")))
 
 
 def spaced(c: Column | str) -> Column:
@@ -53,7 +53,7 @@ def spaced(c: Column | str) -> Column:
 
 def alternation(terms: Sequence[str]) -> str:
     """Case-insensitive regex that matches any of the terms literally."""
-    return "(?i)" + "|".join(_quote(t) for t in terms)
+    return "(?iu)" + "|".join(_quote(t) for t in terms)
 
 
 def _quote(term: str) -> str:

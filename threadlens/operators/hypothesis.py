@@ -36,9 +36,12 @@ def _anova_parts(moments: DataFrame) -> DataFrame:
 
 
 def anova(df: DataFrame, group: str, value: str, p_value: bool = True) -> DataFrame:
-    """One-way analysis of variance: f_stat, df_between, df_within and p_value."""
+    """One-way analysis of variance: f_stat, df_between, df_within and p_value.
+
+    f_stat and p_value are NULL without variance within the groups, or with one group only.
+    """
     parts = _anova_parts(written(group_moments(df, group, value), "moments"))
-    f = (F.col("ss_between") / F.col("df_between")) / (F.col("ss_within") / F.col("df_within"))
+    f = F.try_divide(F.try_divide("ss_between", "df_between"), F.try_divide("ss_within", "df_within"))
     out = parts.select(f.alias("f_stat"), "df_between", "df_within")
     return out.withColumn("p_value", f_p_value(F.col("f_stat"), F.col("df_between"), F.col("df_within"))) if p_value else out
 
@@ -50,7 +53,7 @@ def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05, p_valu
     """
     moments = written(group_moments(df, group, value), "moments")
     parts = _anova_parts(moments)
-    error, dof = parts.select(F.col("ss_within") / F.col("df_within")).scalar(), parts.select("df_within").scalar()
+    error, dof = parts.select(F.try_divide("ss_within", "df_within")).scalar(), parts.select("df_within").scalar()
     placed = moments.withColumn("place", F.row_number().over(Window.orderBy("grp")))
     count = placed.agg(F.count("*").alias("k")).select("k").scalar()
     left = placed.withColumn("k", count).where(F.col("place") < F.col("k"))
@@ -61,7 +64,7 @@ def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05, p_valu
     spread_ = F.sqrt(error / 2 * (1 / F.col("n") + 1 / F.col("n2")))
     pairs = left.join(right, "other").select(
         F.col("grp").alias("group1"), "group2", (F.col("mean2") - F.col("mean")).alias("meandiff"),
-        (F.abs(F.col("mean2") - F.col("mean")) / spread_).alias("q_stat"), spread_.alias("_spread"), "k",
+        F.try_divide(F.abs(F.col("mean2") - F.col("mean")), spread_).alias("q_stat"), spread_.alias("_spread"), "k",
         dof.alias("_dof"),
     )
     if not p_value:
@@ -95,10 +98,11 @@ def welch(df: DataFrame, group: str, value: str, first: str, second: str, p_valu
         return F.count(x).alias(f"n{name}"), F.avg(x).alias(f"m{name}"), F.var_samp(x).alias(f"v{name}")
 
     stats = rows.agg(*side(is_first, 1), *side(is_second, 2))
-    a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
+    a, b = F.try_divide("v1", "n1"), F.try_divide("v2", "n2")
+    part = lambda x, n: F.try_divide(x * x, F.col(n) - 1)
     out = stats.select(
-        ((F.col("m1") - F.col("m2")) / F.sqrt(a + b)).alias("t_stat"),
-        ((a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))).alias("dof"),
+        F.try_divide(F.col("m1") - F.col("m2"), F.sqrt(a + b)).alias("t_stat"),
+        F.try_divide((a + b) * (a + b), part(a, "n1") + part(b, "n2")).alias("dof"),
     )
     return out.withColumn("p_value", t_p_value(F.col("t_stat"), F.col("dof"))) if p_value else out
 

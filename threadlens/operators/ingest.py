@@ -60,10 +60,10 @@ def load_filtered(
     schema: T.StructType,
     communities: Sequence[str] = ELECTION_COMMUNITIES,
     year: int = 2016,
-    cap: int | None = ROWS_PER_COMMUNITY,
+    cap: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """JSON scan, community and year filter, removal filter, then the cap (None keeps all rows)."""
+    """JSON scan, community and year filter, removal filter, then the cap, if one is named."""
     rows = drop_removed(
         read_json(spark, path, schema).where(in_set("subreddit", communities) & (F.col("year") == year))
     )

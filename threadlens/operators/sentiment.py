@@ -14,10 +14,10 @@ from threadlens.functions.text import TOKEN_PATTERN, _col, tokens
 from threadlens.operators.lexicons import (
     MAX_INLINE_ENTRIES, Phrase, first_entity_group, first_phrase, haystack, holds, phrase_shift, with_fuzzy_phrase,
 )
+from threadlens.session import written
 
 # Fixed value: damping constant of the compound score (Hutto & Gilbert 2014).
 COMPOUND_ALPHA = 15.0
-MAX_BROADCAST_WORDS = 1_000_000
 POSITIVE = "POSITIVE"
 NEGATIVE = "NEGATIVE"
 
@@ -55,10 +55,11 @@ def lexicon_polarity(
 ) -> DataFrame:
     """Add the lexicon polarity of the text; NULL text gives NULL.
 
-    Small lexicons are evaluated inside the row. Larger ones (or `inline=False`) explode the tokens, join the
-    lexicon by word (broadcast up to a checked number of words, a shuffle join beyond), sum per row before the
-    shuffle and join the sums back on the key.
+    Valences of a word listed twice are added up and entries without word or valence are left out, at any size. Small
+    lexicons are evaluated inside the row. Larger ones (or `inline=False`) are written, so that the planner knows their
+    size; tokens are exploded, joined by word, summed per row and joined back on the key.
     """
+    lexicon = lexicon.select("word", "valence").dropna().groupBy("word").agg(F.sum("valence").alias("valence"))
     if inline is not False:
         entries = lexicon.select("word", "valence").limit(MAX_INLINE_ENTRIES + 1).collect()
         if len(entries) <= MAX_INLINE_ENTRIES:
@@ -66,8 +67,7 @@ def lexicon_polarity(
             return df.withColumn(name, compound(valence_sum(text, pairs)))
         if inline:
             raise ValueError(f"lexicon has more than {MAX_INLINE_ENTRIES} entries")
-    words = lexicon.select("word", "valence")
-    words = F.broadcast(words) if words.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS else words.hint("shuffle_hash")
+    words = written(lexicon, "lexicon")
     sums = (
         df.where(F.col(text).isNotNull())
         .select(key, F.explode(tokens(text)).alias("word"))

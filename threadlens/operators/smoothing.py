@@ -12,6 +12,7 @@ def _smooth(x: np.ndarray, y: np.ndarray, frac: float, passes: int) -> np.ndarra
     k = min(n, max(int(frac * n + 1e-10), 2))
     robust = np.ones(n)
     fit = y.copy()
+    exact = 1e-9 * max(1.0, float(np.abs(y).max(initial=0.0)))  # residuals up to this are rounding
     for step in range(passes + 1):
         for i in range(n):
             gap = np.abs(x - x[i])
@@ -25,8 +26,11 @@ def _smooth(x: np.ndarray, y: np.ndarray, frac: float, passes: int) -> np.ndarra
             spread = w @ (x - mx) ** 2
             slope = (w @ ((x - mx) * (y - my))) / spread if spread > 1e-12 else 0.0
             fit[i] = my + slope * (x[i] - mx)
-        scale = np.median(np.abs(y - fit))
-        if step == passes or scale <= 0:
+        apart = np.abs(y - fit)
+        scale = np.median(apart)
+        if scale <= exact and (apart > exact).any():  # most points lie on the curve: the others set the scale
+            scale = np.median(apart[apart > exact])
+        if step == passes or scale <= exact:
             break
         robust = np.clip(1 - ((y - fit) / (6 * scale)) ** 2, 0, None) ** 2
     return fit

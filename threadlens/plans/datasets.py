@@ -139,8 +139,9 @@ def sql_values(rows) -> str:
 def timed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the time and centred value of an event, as activity with text.
 
-    There are ten events per document, so document n takes event 10n and the times cover the whole month.
+    Document n takes event 10n, modulo the number of events, so that every document has one and the times cover the month.
     """
     events = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("created_ts"), (F.col("value") - 50).alias("score"))
     documents = labelled_documents(spark, sf_dir).drop("score")
-    return documents.join(events, F.col("id") * 10 == F.col("event_id")).drop("event_id")
+    count = events.count()
+    return documents.join(events, F.pmod(F.col("id") * 10, F.lit(count)) == F.col("event_id")).drop("event_id")

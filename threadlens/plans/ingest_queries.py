@@ -110,11 +110,11 @@ def csv_headerless_roundtrip(spark, sf_dir):
     "engagement_csv",
     f"""SELECT CASE WHEN shifted > 0 THEN 'Republican' WHEN shifted < 0 THEN 'Democratic' ELSE 'Neutral' END AS political_leaning,
     round(avg(score), 6) AS score_mean, round(sum(score), 4) AS score_sum, max(score) AS score_max
-    FROM (SELECT author, subreddit, avg(shifted) AS shifted, avg(score) AS score FROM ({ds.SCORED_EVENTS}) GROUP BY ALL) GROUP BY 1""",
+    FROM (SELECT author, avg(shifted) AS shifted, avg(score) AS score FROM ({ds.SCORED_EVENTS}) GROUP BY ALL) GROUP BY 1""",
 )
 def engagement_csv(spark, sf_dir):
     """Author means by leaning, written and read back as one flat-header CSV."""
-    authors = aggregates.group_means(ds.scored_events(spark, sf_dir), ["author", "subreddit"], ["shifted", "score"])
+    authors = aggregates.group_means(ds.scored_events(spark, sf_dir), ["author"], ["shifted", "score"])
     summary = aggregates.score_summary(authors.withColumn("political_leaning", leaning("shifted")), "political_leaning")
     path = shared_path(spark, "engagement-csv")
     write_csv(summary, path, files=1)

@@ -23,18 +23,18 @@ MAX_SCORE = 500
 
 def extract_activity(
     spark: SparkSession, submissions: str, comments: str, output: str, communities: Sequence[str] = ingest.ELECTION_COMMUNITIES,
-    year: int = 2016, cap: int = ingest.ROWS_PER_COMMUNITY, files: int = 8,
+    year: int = 2016, cap: int | None = None, files: int | None = None,
 ) -> None:
-    """Raw JSON dumps to one capped activity table (at most 2 * cap * communities rows, hence few files)."""
+    """Raw JSON dumps to one activity table; with `cap`, at most 2 * cap * communities rows, for which `files` may be few."""
     posts = ingest.load_filtered(spark, submissions, schemas.SUBMISSIONS, communities, year, cap)
     replies = ingest.load_filtered(spark, comments, schemas.COMMENTS, communities, year, cap)
     write_parquet(ingest.combine_activity(replies, posts), output, files=files)
 
 
 def engagement_by_leaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cap the activity per community, average per author, and summarise scores by the authors' leaning."""
-    capped = ingest.stratified_cap(ingest.drop_author(ds.scored_events(spark, sf_dir)))
-    authors = aggregates.group_means(capped, ["author", "subreddit"], ["shifted", "score"])
+    """Average all activity per author, and summarise scores by the authors' leaning."""
+    rows = ingest.drop_author(ds.scored_events(spark, sf_dir))
+    authors = aggregates.group_means(rows, ["author"], ["shifted", "score"])
     return aggregates.score_summary(authors.withColumn("political_leaning", leaning("shifted")), "political_leaning")
 
 
