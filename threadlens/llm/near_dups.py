@@ -177,8 +177,9 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
         "distances",
     )
     used = heads.select("band", F.struct(F.lit(-1.0).alias("d"), F.col("head").alias("node"), F.lit(0).alias("size")).alias("last"))
+    roots = written(components(links), "roots")
     while True:
-        open_ = _open_bands(distant, links)
+        open_ = _open_bands(distant, roots)
         turn = written(open_.join(used, "band").where("x > last").groupBy("band").agg(F.min("x").alias("last")), "heads")
         x, h = F.col("x"), F.col("last")
         head_roots = open_.join(turn, "band").where(x["node"] == h["node"]).select("band", F.col("root").alias("head_root"))
@@ -186,8 +187,8 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
         found = written(_similarity(_ordered(new.select(x["node"].alias("a"), h["node"].alias("b"))), bag).where(F.col("similarity") >= similarity), "links")
         if found.isEmpty():
             break
-        links, used = written(links.select("a", "b", "similarity").unionByName(found.select("a", "b", "similarity")), "links"), turn
-    rest = _open_bands(distant.where(F.col("n") <= SMALL_BAND), links)
+        links, used, roots = links.select("a", "b", "similarity").unionByName(found.select("a", "b", "similarity")), turn, _merged(roots, found)
+    rest = _open_bands(distant.where(F.col("n") <= SMALL_BAND), roots)
     other = rest.select("band", F.col("x").alias("y"), F.col("root").alias("other_root"))
     x, y = F.col("x"), F.col("y")
     cross = rest.join(other, "band").where((x["node"] < y["node"]) & (F.col("root") != F.col("other_root")) & _within(x, y, similarity, gap))
@@ -204,9 +205,18 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _open_bands(distant: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """`roots` after the links `found`: only the roots that these join are labelled anew."""
+    ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    every = written(roots.unionByName(ends.join(roots, "node", "left_anti").withColumn("root", F.col("node"))), "roots")
+    a, b = (every.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+    joined = components(found.select("a", "b").join(a, "a").join(b, "b").where("root_a <> root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    renamed = joined.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    return written(every.join(renamed, "root", "left").select("node", F.coalesce("new_root", "root").alias("root")), "roots")
+
+
+def _open_bands(distant: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of bands that hold texts of more than one class, with the class (root)."""
-    roots = written(components(links), "roots")
     known = distant.join(roots.withColumnRenamed("node", "_node"), F.col("x.node") == F.col("_node"), "left").select("band", "n", "x", F.coalesce("root", "x.node").alias("root"))
     mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
     return written(known.join(mixed, "band"), "open_bands")
