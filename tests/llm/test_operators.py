@@ -266,6 +266,25 @@ def bag_of(text):
     return Counter([tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))] if words else [])
 
 
+def plain_classes(texts):
+    """Smallest id of each text's class, by comparing all pairs."""
+    bags = [bag_of(t or "") for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(bags):
+        for j, b in enumerate(bags[:i]):
+            common = (a & b).total()
+            if a == b or common and common / (a.total() + b.total() - common) >= 0.8:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
 def test_near_classes_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     rows = []
@@ -278,23 +297,28 @@ def test_near_classes_equal_brute_force(spark):
             rows.append((len(rows), " ".join(edited)))
     rows += [(len(rows) + k, t) for k, t in enumerate([None, "", "a b", "a b", "x " * 500, "x " * 520])]
     docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string").withColumn("node", F.lit(1))
-    bags = [(i, bag_of(t or "")) for i, t in rows]
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i, a in bags:
-        for j, b in bags[:i]:
-            if a == b or (a | b).total() and (a & b).total() / (a | b).total() >= 0.8:
-                x, y = sorted((find(i), find(j)))
-                root[y] = x
+    want = plain_classes([t for _, t in rows])
     out = rows_of(near_dups.near_classes(docs))
-    assert len(out) == len(rows) + 1 and all(r["class_id"] == find(r["doc_id"]) for r in out)
+    assert len(out) == len(rows) + 1 and all(r["class_id"] == want[r["doc_id"]] for r in out)
     kept = near_dups.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in rows_of(kept)) == sorted({find(i) for i, _ in rows})
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in rows_of(kept)) == sorted(set(want))
+
+
+def test_a_large_group_of_edited_copies_keeps_its_links(spark):
+    """Most copies are too far from the centre and linked, if at all, through copies edited in the same place."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(3):
+        words = [f"g{g}w{x}" for x in range(110)]
+        for _ in range(130):
+            edited = list(words)
+            for at in 13 * rng.integers(0, 8, rng.integers(1, 5)):
+                edited[at] = f"e{rng.integers(0, 3)}"
+            rows.append((len(rows), " ".join(edited)))
+    want = plain_classes([t for _, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert 3 < len(set(want)) and {r["doc_id"]: r["class_id"] for r in rows_of(near_dups.near_classes(docs))} == dict(enumerate(want))
+    assert sorted(r["doc_id"] for r in rows_of(near_dups.keep_one(docs))) == sorted(set(want))
 
 
 def test_signatures_estimate_weighted_similarity():

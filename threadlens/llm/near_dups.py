@@ -155,45 +155,81 @@ def components(links: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b, similarity) that join all different texts of `similarity` or more that share a band.
 
-    Each band's smallest text, its first head, is compared with the band's other texts. Texts linked to one head are in one
-    class and need no comparison. As long as bands hold texts of several classes and a turn finds new links, the text next
-    nearest to the first head (in a group of edited copies, the next least edited) heads the band and is compared with the
-    texts of other classes. Pairs that the triangle inequality of the distance 1 - similarity or their sizes rule out are
-    not compared. In bands of up to SMALL_BAND texts all pairs of different classes are compared at the end. So the number
-    of comparisons stays in proportion to the texts, however large a group of near copies is.
+    Each band's head is the text whose bands hold the most texts, so the centre of a group of edited copies. It is compared
+    with the band's other texts; texts linked to one head are in one class and need no comparison. Texts of different
+    classes are compared in full in bands of up to SMALL_BAND texts, and by what tells them from the head in larger ones
+    (`_across`), which loses no link either. Pairs of one class are left out, so not all links inside a class are listed.
     """
     nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.explode("bands").alias("band"))
-    heads = keyed.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    members = written(keyed.join(heads, "band").select("band", "head", "n", "node"), "bands")
+    sizes = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(keyed.join(sizes, "band").select("band", "n", "node"), "bands")
+    central = shared.groupBy("node").agg(F.sum("n").alias("central"))
+    heads = shared.join(central, "node").groupBy("band").agg(F.max(F.struct("central", "node")).alias("h")).select("band", F.col("h.node").alias("head"))
+    members = written(shared.join(heads, "band"), "members")
     pairs = written(members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     bag = written(bags(docs, members.select("node").distinct()), "bags")
     first = written(_similarity(pairs, bag), "links")
-    links = first.where(F.col("similarity") >= similarity)
+    links = first.where(F.col("similarity") >= similarity).select("a", "b", "similarity")
+    roots = written(components(links), "roots")
     gap = 1 - similarity + 1e-9
-    distant = written(
-        members.join(first.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left").join(bag.select("node", "size"), "node")
-        .select("band", "n", F.struct((1 - F.coalesce("similarity", F.lit(1.0))).alias("d"), "node", "size").alias("x")),
-        "distances",
+    distant = (
+        members.where(F.col("n") <= SMALL_BAND).join(first.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left").join(bag.select("node", "size"), "node")
+        .select("band", F.struct((1 - F.coalesce("similarity", F.lit(1.0))).alias("d"), "node", "size").alias("x"))
     )
-    used = heads.select("band", F.struct(F.lit(-1.0).alias("d"), F.col("head").alias("node"), F.lit(0).alias("size")).alias("last"))
-    roots = written(components(links), "roots")
-    while True:
-        open_ = _open_bands(distant, roots)
-        turn = written(open_.join(used, "band").where("x > last").groupBy("band").agg(F.min("x").alias("last")), "heads")
-        x, h = F.col("x"), F.col("last")
-        head_roots = open_.join(turn, "band").where(x["node"] == h["node"]).select("band", F.col("root").alias("head_root"))
-        new = open_.join(turn, "band").join(head_roots, "band").where((F.col("root") != F.col("head_root")) & _within(x, h, similarity, gap))
-        found = written(_similarity(_ordered(new.select(x["node"].alias("a"), h["node"].alias("b"))), bag).where(F.col("similarity") >= similarity), "links")
-        if found.isEmpty():
-            break
-        links, used, roots = links.select("a", "b", "similarity").unionByName(found.select("a", "b", "similarity")), turn, _merged(roots, found)
-    rest = _open_bands(distant.where(F.col("n") <= SMALL_BAND), roots)
+    rest = _open_bands(distant, roots)
     other = rest.select("band", F.col("x").alias("y"), F.col("root").alias("other_root"))
     x, y = F.col("x"), F.col("y")
     cross = rest.join(other, "band").where((x["node"] < y["node"]) & (F.col("root") != F.col("other_root")) & _within(x, y, similarity, gap))
-    last = _similarity(written(_ordered(cross.select(x["node"].alias("a"), y["node"].alias("b"))), "pairs"), bag).where(F.col("similarity") >= similarity)
-    return written(links.select("a", "b", "similarity").unionByName(last.select("a", "b", "similarity")), "links")
+    small = _similarity(written(_ordered(cross.select(x["node"].alias("a"), y["node"].alias("b"))), "pairs"), bag)
+    wide = members.where(F.col("n") > SMALL_BAND).select("head", "node").distinct()
+    found = small.select("a", "b", "similarity").unionByName(_across(wide, roots, bag, similarity)).where(F.col("similarity") >= similarity)
+    return written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").unionByName(found).distinct(), "links")
+
+
+def _across(wide: DataFrame, roots: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, similarity) of texts of different classes under one head; has all of `similarity` or more.
+
+    `wide` has head and node. A text is kept as what it and its head do not share, its difference. Texts x and y are alike
+    enough if at most r = (1 - s) / (1 + s) of their items together are not shared. If x is not linked to the head, so if
+    its difference is larger than r times their items, it follows that x and y have in common more than s / (1 + s) of y's
+    difference, and at least (difference of x - r * items of x and head) / (1 + r) of x's. So with differences ordered
+    from rare items to common ones, the beginnings that leave out less than that must share an item: pairs meet on these.
+    Two texts linked to the head are of one class, so one text of each pair is not linked to it.
+    """
+    r, share = (1 - similarity) / (1 + similarity), similarity / (1 + similarity)
+    rooted = wide.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("head")
+    heads = bag.select(F.col("node").alias("head"), F.col("bag").alias("head_bag"))
+    diffs = written(
+        rooted.join(mixed, "head").join(bag, "node").join(heads, "head")
+        .withColumn("diff", F.concat(F.array_except("bag", "head_bag"), F.array_except("head_bag", "bag"))).withColumn("apart", F.size("diff"))
+        .withColumn("over", F.col("apart") - r * (F.col("size") + F.size("head_bag"))).drop("bag", "head_bag"),
+        "differences",
+    )
+    items = diffs.select("head", "node", F.explode("diff").alias("item"))
+    common = items.groupBy("head", "item").agg(F.count("*").alias("n")).where("n > 1")
+    kept = items.join(common, ["head", "item"]).groupBy("head", "node").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("kept"))
+    alone = F.col("apart") - F.size("kept")  # items of no other text come first and meet nothing
+    short = F.col("apart") - F.floor(share * F.col("apart") - 1e-9) - alone
+    long = F.when(F.col("over") > 1e-9, F.least(F.col("apart"), F.col("apart") - F.ceil(F.col("over") / (1 + r) - 1e-9) + 1) - alone).otherwise(0)
+    begun = diffs.drop("diff").join(kept, ["head", "node"]).withColumn("short", short).withColumn("kept", F.slice("kept", F.lit(1), F.greatest(short, long, F.lit(0)).cast("int")))
+    keys = written(begun.select("head", "node", "root", "size", "apart", "over", "short", F.posexplode("kept").alias("at", "k")).select(
+        "head", F.col("k.item").alias("item"), F.struct("node", "root", "size", "apart", (F.col("over") <= 1e-9).alias("linked"), (F.col("at") < F.col("short")).alias("early")).alias("x")
+    ), "beginnings")
+    x, y = F.col("x"), F.col("y")
+    meets = (
+        (x["root"] != y["root"]) & (y["linked"] | (x["early"] & (x["node"] < y["node"])))
+        & (F.abs(x["apart"] - y["apart"]) <= r * (x["size"] + y["size"]) + 1e-9) & (F.least(x["size"], y["size"]) >= similarity * F.greatest(x["size"], y["size"]))
+    )
+    met = keys.where("not x.linked").join(keys.where("x.early").withColumnRenamed("x", "y"), ["head", "item"]).where(meets)
+    pairs = written(met.groupBy(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).agg(F.min("head").alias("head")), "pairs")
+    left, right = (diffs.select("head", F.col("node").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("size", "apart", "diff")]) for c in "ab")
+    both = F.size(F.array_intersect("diff_a", "diff_b"))
+    shared = (F.col("size_a") + F.col("size_b") - F.col("apart_a") - F.col("apart_b")) / 2 + both
+    return pairs.join(left, ["head", "a"]).join(right, ["head", "b"]).withColumn("shared", shared).select(
+        "a", "b", (F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("similarity")
+    )
 
 
 def _within(x: Column, y: Column, similarity: float, gap: float) -> Column:
@@ -205,19 +241,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
-    """`roots` after the links `found`: only the roots that these join are labelled anew."""
-    ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    every = written(roots.unionByName(ends.join(roots, "node", "left_anti").withColumn("root", F.col("node"))), "roots")
-    a, b = (every.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    joined = components(found.select("a", "b").join(a, "a").join(b, "b").where("root_a <> root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-    renamed = joined.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
-    return written(every.join(renamed, "root", "left").select("node", F.coalesce("new_root", "root").alias("root")), "roots")
-
-
 def _open_bands(distant: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of bands that hold texts of more than one class, with the class (root)."""
-    known = distant.join(roots.withColumnRenamed("node", "_node"), F.col("x.node") == F.col("_node"), "left").select("band", "n", "x", F.coalesce("root", "x.node").alias("root"))
+    known = distant.join(roots.withColumnRenamed("node", "_node"), F.col("x.node") == F.col("_node"), "left").select("band", "x", F.coalesce("root", "x.node").alias("root"))
     mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
     return written(known.join(mixed, "band"), "open_bands")
 
