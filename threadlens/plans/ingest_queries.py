@@ -70,7 +70,7 @@ def parquet_many_files(spark, sf_dir):
 @query("parquet_roundtrip", f"SELECT id, author, subreddit, year, month, score FROM ({ds.EVENT_ACTIVITY})")
 def parquet_roundtrip(spark, sf_dir):
     path = shared_path(spark, "activity")
-    write_parquet(ds.event_activity(spark, sf_dir), path, files=8)
+    write_parquet(ds.event_activity(spark, sf_dir), path)
     return read_parquet(spark, path).select("id", "author", "subreddit", "year", "month", "score")
 
 
