@@ -4,6 +4,7 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from threadlens.functions import probability as pr
 from threadlens.operators import distributions, hypothesis, quantiles
@@ -104,3 +105,30 @@ def test_density_integrates_to_one(spark):
     pts = distributions.density(df, "g", "x", cut=4.0).orderBy("point").collect()
     area = sum((b.x - a.x) * (a.density + b.density) / 2 for a, b in zip(pts, pts[1:]))
     assert len(pts) == 100 and area == pytest.approx(1.0, abs=0.01)
+
+
+def test_quantiles_end_on_values_of_three_scales(spark):
+    part = F.when(F.col("id") % 3 == 0, F.col("id") * 1e9).when(F.col("id") % 3 == 1, F.col("id") * 10.0).otherwise(F.col("id") / 60_000)
+    df = spark.range(60_000).select(F.lit("all").alias("g"), part.alias("x"))
+    values = np.array([r.x for r in df.select("x").collect()])
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.prob: r.quantile for r in quantiles.exact_quantiles(df, "g", "x", probs).collect()}
+    assert got == pytest.approx({p: float(np.quantile(values, p)) for p in probs})
+
+
+def test_chi_squared_visits_observed_cells_only(spark):
+    cells = [("a", "x", 8), ("a", "y", 2), ("b", "y", 5), ("b", "z", 7), ("c", "x", 1)]
+    df = spark.createDataFrame([(r, c) for r, c, n in cells for _ in range(n)], "r string, c string")
+    grid = np.array([[8, 2, 0], [0, 5, 7], [1, 0, 0]], float)
+    expected = grid.sum(1, keepdims=True) * grid.sum(0) / grid.sum()
+    row = hypothesis.chi_squared(df, "r", "c", p_value=False).first()
+    assert (row.chi2_stat, row.dof) == (pytest.approx(((grid - expected) ** 2 / expected).sum()), 4)
+    assert hypothesis.expected_counts(df, "r", "c").count() == 9
+
+
+def test_chi_squared_corrects_two_by_two_with_an_empty_cell(spark):
+    df = spark.createDataFrame([("a", "x")] * 6 + [("b", "x")] * 2 + [("b", "y")] * 4, "r string, c string")
+    grid = np.array([[6, 0], [2, 4]], float)
+    expected = grid.sum(1, keepdims=True) * grid.sum(0) / grid.sum()
+    row = hypothesis.chi_squared(df, "r", "c", p_value=False).first()
+    assert (row.chi2_stat, row.dof) == (pytest.approx(((abs(grid - expected) - 0.5) ** 2 / expected).sum()), 1)

@@ -161,3 +161,11 @@ def test_oversized_lexicon_is_refused(spark):
     table = spark.range(lexicons.MAX_INLINE_ENTRIES + 1).select(F.col("id").alias("ordinal"))
     with pytest.raises(ValueError, match="more than"):
         lexicons.lexicon_rows(table)
+
+
+def test_large_lexicons_are_joined_by_runs_of_words(spark):
+    terms = spark.createDataFrame([(2, "tax", "tax cut"), (1, "law", "new law"), (1, "law", "Law"), (3, "gun", "gun control act")], "ordinal int, phrase string, term string")
+    texts = [(1, "A Tax-cut for all"), (2, "tax cut, then a LAW"), (3, "lawful"), (4, None), (5, ""), (6, "gun control act"), (7, "tax\ncut tax cut")]
+    df = spark.createDataFrame(texts, "id int, body string")
+    got = {r.id: r.phrase for r in lexicons.with_first_term(df, terms, (1, 2)).collect()}
+    assert got == {1: "tax", 2: "law", 3: None, 4: None, 5: None, 6: None, 7: "tax"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.probability import chi2_p_value, f_p_value, t_p_value, tukey_critical, tukey_p_value
@@ -107,17 +107,29 @@ def welch(df: DataFrame, group: str, value: str, first: str, second: str, p_valu
     return out.withColumn("p_value", t_p_value(F.col("t_stat"), F.col("dof"))) if p_value else out
 
 
-def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Observed and expected counts of every cell of the contingency table, empty cells included."""
-    cells = written(
-        df.where(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(row, column).agg(F.count("*").alias("observed")),
-        "cells",
-    )
-    total = cells.agg(F.sum("observed").alias("n")).select("n").scalar()
+#: Column classes that meet a row class in one task of the contingency table.
+_CLASSES = 1000
+
+
+def _margins(df: DataFrame, row: str, column: str) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
+    """Observed cells, row and column sums, and the number of rows."""
+    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    cells = written(known.groupBy(row, column).agg(F.count("*").alias("observed")), "cells")
     rows = cells.groupBy(row).agg(F.sum("observed").alias("_r"))
     columns = cells.groupBy(column).agg(F.sum("observed").alias("_c"))
-    across = columns.agg(F.collect_list(F.struct(column, "_c")).alias("cs"))
-    grid = rows.withColumn("_cs", across.select("cs").scalar()).select(row, "_r", F.inline("_cs"))
+    return cells, rows, columns, cells.agg(F.sum("observed").alias("n")).scalar()
+
+
+def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Observed and expected counts of every cell of the contingency table, empty cells included.
+
+    The whole table is the result, so every row class meets every column class: by equality of the column's block, of
+    about a thousand columns each, so that no task holds all classes.
+    """
+    cells, rows, columns, total = _margins(df, row, column)
+    blocks = F.greatest(F.ceil(columns.agg(F.count("*").alias("k")).scalar() / _CLASSES), F.lit(1)).cast("bigint")
+    spread_rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    grid = spread_rows.join(columns.withColumn("_block", F.pmod(F.xxhash64(column), blocks)), "_block").drop("_block")
     return grid.join(cells, [row, column], "left").select(
         row, column, F.coalesce("observed", F.lit(0)).alias("observed"),
         (F.col("_r") * F.col("_c") / total).alias("expected"),
@@ -125,11 +137,21 @@ def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
 
 
 def chi_squared(df: DataFrame, row: str, column: str, p_value: bool = True) -> DataFrame:
-    """Independence test: chi2_stat, dof and p_value; continuity correction at one degree of freedom."""
-    cells = expected_counts(df, row, column)
-    sizes = cells.agg(((F.count_distinct(row) - 1) * (F.count_distinct(column) - 1)).alias("dof"))
-    dof = sizes.select("dof").scalar()
+    """Independence test: chi2_stat, dof and p_value; continuity correction at one degree of freedom.
+
+    Only observed cells are visited: an empty cell adds its expected count, and all empty ones together what the observed
+    cells' expected counts leave of the rows. In a table of two by two all four gaps are equal, so one of them and the
+    sums of inverse margins give the corrected value.
+    """
+    cells, rows, columns, total = _margins(df, row, column)
+    across, down = (m.agg(F.count("*").alias("k")).scalar() for m in (columns, rows))
+    inverse = rows.agg(F.sum(1 / F.col("_r")).alias("s")).scalar() * columns.agg(F.sum(1 / F.col("_c")).alias("s")).scalar()
+    placed = cells.join(rows, row).join(columns, column).withColumn("expected", F.col("_r") * F.col("_c") / total)
     gap = F.abs(F.col("observed") - F.col("expected"))
-    gap = F.when(dof == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
-    out = cells.agg(F.sum(gap * gap / F.col("expected")).alias("chi2_stat")).withColumn("dof", dof)
+    sums = placed.agg(
+        F.sum(gap * gap / F.col("expected")).alias("seen"), F.sum("expected").alias("covered"), F.count("*").alias("cells"), F.max(gap).alias("gap")
+    ).withColumns({"dof": (down - 1) * (across - 1), "full": down * across})
+    plain = F.col("seen") + F.when(F.col("cells") < F.col("full"), total - F.col("covered")).otherwise(0.0)
+    corrected = F.pow(F.col("gap") - F.least(F.lit(0.5), F.col("gap")), 2) * total * inverse
+    out = sums.select(F.when(F.col("dof") == 1, corrected).otherwise(plain).alias("chi2_stat"), "dof")
     return out.withColumn("p_value", chi2_p_value(F.col("chi2_stat"), F.col("dof"))) if p_value else out

@@ -1,7 +1,8 @@
 """Matching of texts against ordered lexicon tables.
 
 Entity and phrase lexicons hold tens to hundreds of entries. They are read once (their size is checked) and
-become literal arrays inside the row expression, so matching needs no shuffle and keeps the entry order.
+become literal arrays inside the row expression, so matching needs no shuffle and keeps the entry order. For larger ones
+`with_first_term` joins the texts' runs of words with the lexicon.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import WORD_PATTERN, _col, ngrams, tokens
+from threadlens.session import written
 
 MAX_INLINE_ENTRIES = 5000
 MIN_SIMILARITY = 80.0
@@ -87,6 +89,23 @@ def first_phrase(hay: Column | str, phrases: Sequence[Phrase]) -> Column:
     return first_hit(hay, [([p.phrase, *p.synonyms], p.phrase) for p in phrases])
 
 
+def with_first_term(
+    df: DataFrame, terms: DataFrame, sizes: Sequence[int], key: str = "id", text: str = "body", name: str = "phrase"
+) -> DataFrame:
+    """Add the phrase of the first term, by ordinal, that the text holds as whole words, else NULL.
+
+    `terms` has (ordinal, phrase, term), as from `expand_synonyms`, and may be of any size: the distinct runs of words of
+    each text, of the word counts in `sizes`, are joined with the terms. Terms of other word counts never match. `key`
+    names a row; rows that share it share the result. Case does not matter.
+    """
+    words = tokens(text, WORD_PATTERN)
+    runs = F.array_distinct(F.flatten(F.array(*[ngrams(F.col("_words"), n) for n in sizes])))
+    spoken = terms.select("ordinal", "phrase", F.array_join(tokens("term", WORD_PATTERN), " ").alias("_run"))
+    met = df.select(key, words.alias("_words")).select(key, F.explode(runs).alias("_run")).join(spoken, "_run")
+    first = met.groupBy(key).agg(F.min_by("phrase", F.struct("ordinal", "phrase")).alias(name))
+    return df.drop(name).join(written(first, "terms"), key, "left")
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Edit similarity 0 to 100: one minus the edit distance over the longer length."""
     longer = F.greatest(F.length(a), F.length(b))

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from threadlens.session import written
 
 BINS = 2048
-ROUNDS = 2
-# Up to this many distinct values over all groups are ranked directly.
-DIRECT_VALUES = 200_000
 
 
 def exact_quantiles(
@@ -21,11 +18,14 @@ def exact_quantiles(
     """Linearly interpolated quantiles per group: (group, prob, quantile).
 
     Equal values are merged into counts first. Then, per group and wanted rank, the range of values is cut into
-    equal bins, the bin holding the rank is found from bin counts, and only its values go on; after `rounds`
-    such steps the few values left are ranked. Every step is a combinable aggregation, so a group holding most
-    of the rows, or one value repeated without end, costs no more than its distinct values spread over tasks.
-    Unless `rounds` is given, a few distinct values (counted from the written table) are ranked without narrowing.
+    equal bins, the bin holding the rank is found from bin counts, and only its values go on. Steps repeat until no
+    range holds more than BINS distinct values (at least `rounds` times, for tests), which are ranked; so the last step
+    is bounded however the values are spread. The lowest and the highest value of a range never share a bin, so every step
+    leaves fewer. Every step is a combinable aggregation, so a group holding most of the rows, or one value repeated
+    without end, costs no more than its distinct values spread over tasks. Steps are jobs: the number of them depends
+    on the values.
     """
+    bins = max(2, bins)
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     counted = written(
         df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
@@ -36,19 +36,19 @@ def exact_quantiles(
     spot = F.col("prob") * (F.col("rows") - 1)
     wanted = written(
         counted.groupBy("g")
-        .agg(F.sum("n").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .agg(F.sum("n").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("values"))
         .withColumn("prob", F.explode(probs_col))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(spot), F.ceil(spot)))))
-        .select("g", "prob", "rows", F.col("rank").cast("bigint").alias("rank"), "low", "high"),
+        .select("g", "prob", "rows", F.col("rank").cast("bigint").alias("rank"), "low", "high", "values"),
         "ranks",
     )
     # One target per distinct rank of a group; `before` counts the group's rows below `low`.
-    target = wanted.select("g", "rank", "low", "high", F.lit(0).cast("bigint").alias("before")).distinct()
-    if rounds is None:
-        rounds = 0 if counted.count() <= DIRECT_VALUES else ROUNDS
-    for step in range(rounds):
+    target = wanted.select("g", "rank", "low", "high", "values", F.lit(0).cast("bigint").alias("before")).distinct()
+    step = 0
+    while step < (rounds or 0) or not target.where(F.col("values") > BINS).isEmpty():
         target = written(_narrow(counted, target, bins), f"bins{step}")
-    inside = counted.join(target, "g").where(F.col("x").between(F.col("low"), F.col("high")))
+        step += 1
+    inside = counted.join(target.drop("values"), "g").where(F.col("x").between(F.col("low"), F.col("high")))
     picked = _holding(inside.withColumn("at", F.col("x")), F.col("at")).select("g", "rank", "x")
     ends = wanted.join(picked, ["g", "rank"])
     return (
@@ -67,14 +67,15 @@ def _fraction(x: Column) -> Column:
 
 def _narrow(counted: DataFrame, target: DataFrame, bins: int) -> DataFrame:
     """For each (group, rank) the bin of its current range that holds the rank, as the new range."""
-    inside = counted.join(target, "g").where(F.col("x").between(F.col("low"), F.col("high")))
-    width = (F.col("high") - F.col("low")) / bins
-    place = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(bins - 1))).otherwise(0)
-    hist = inside.groupBy("g", "rank", "before", place.alias("at")).agg(
-        F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+    inside = counted.join(target.drop("values"), "g").where(F.col("x").between(F.col("low"), F.col("high")))
+    width = F.col("high") / bins - F.col("low") / bins
+    even = F.least(F.floor(F.col("x") / width - F.col("low") / width), F.lit(bins - 1))
+    place = F.when(F.col("x") == F.col("high"), bins - 1).when(F.col("x") == F.col("low"), 0).when(width > 0, F.greatest(even, F.lit(0))).otherwise(0)
+    hist = inside.groupBy("g", "rank", "before", place.cast("bigint").alias("at")).agg(
+        F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("values")
     )
     held = _holding(hist, F.col("at"))
-    return held.select("g", "rank", "low", "high", F.col("below").alias("before"))
+    return held.select("g", "rank", "low", "high", "values", F.col("below").alias("before"))
 
 
 def _holding(rows: DataFrame, order: Column) -> DataFrame:

@@ -90,12 +90,16 @@ def chi2_p(spark, sf_dir):
     return out.select(F.round("chi2_stat", 6).alias("chi2_stat"), "dof", F.round("p_value", 9).alias("p_value"))
 
 
-def _anova_sql(rows: str, stat: str) -> str:
-    """Plain two-pass form over the rows g, x."""
+def _anova_sql(rows: str, stat: str, p_value: str = "") -> str:
+    """Plain two-pass form over the rows g, x; `p_value` is a further column over f and dfw."""
     return f"""d AS ({rows}), m AS (SELECT g, avg(x) AS gm, count(*) AS n FROM d GROUP BY 1), t AS (SELECT avg(x) AS grand FROM d),
     b AS (SELECT sum(n * (gm - grand) ** 2) AS ssb, count(*) - 1 AS dfb FROM m, t),
     w AS (SELECT sum((x - gm) ** 2) AS ssw, count(*) - (SELECT count(*) FROM m) AS dfw FROM d JOIN m USING (g))
-    SELECT round((ssb / dfb) / (ssw / dfw), 6) AS {stat}, dfb AS df_between, dfw AS df_within FROM b, w"""
+    SELECT round(f, 6) AS {stat}, dfb AS df_between, dfw AS df_within{p_value} FROM (SELECT *, (ssb / dfb) / (ssw / dfw) AS f FROM b, w)"""
+
+
+#: Tail of the F distribution with four degrees of freedom above, so for five groups.
+_TAIL4 = """, round(pow(dfw / (dfw + 4 * f), dfw / 2::DOUBLE) * (1 + dfw / 2::DOUBLE * (1 - dfw / (dfw + 4 * f))), 8) AS p_value"""
 
 
 _SHIFTS = f"SELECT subreddit AS g, shifted AS x FROM ({ds.SCORED_EVENTS})"
@@ -106,9 +110,10 @@ def anova_f(spark, sf_dir):
     return _rounded(hypothesis.anova(_scores(spark, sf_dir), "subreddit", "shifted", p_value=False))
 
 
-@query("anova_p")
+@query("anova_p", f"WITH {_anova_sql(_SHIFTS.replace('shifted', 'score'), 'f_stat', _TAIL4)}")
 def anova_p(spark, sf_dir):
-    return hypothesis.anova(_scores(spark, sf_dir), "subreddit", "score")
+    out = hypothesis.anova(_scores(spark, sf_dir), "subreddit", "score")
+    return out.withColumns({"f_stat": F.round("f_stat", 6), "p_value": F.round("p_value", 8)})
 
 
 @query(
@@ -137,9 +142,10 @@ def levene_w(spark, sf_dir):
     return _rounded(hypothesis.levene(_scores(spark, sf_dir), "subreddit", "score", p_value=False))
 
 
-@query("levene_p")
+@query("levene_p", f"WITH {_anova_sql(_GAPS, 'w_stat', _TAIL4)}")
 def levene_p(spark, sf_dir):
-    return hypothesis.levene(_scores(spark, sf_dir).where(F.col("subreddit").isin("click", "purchase")), "subreddit", "score")
+    out = hypothesis.levene(_scores(spark, sf_dir), "subreddit", "score")
+    return out.withColumns({"w_stat": F.round("w_stat", 6), "p_value": F.round("p_value", 8)})
 
 
 @query(
@@ -153,9 +159,20 @@ def welch_t(spark, sf_dir):
     return out.select(F.round("t_stat", 6).alias("t_stat"), F.round("dof", 4).alias("dof"))
 
 
-@query("welch_p")
+@query(
+    "welch_p",
+    f"""WITH s AS (SELECT subreddit AS g, avg(score) AS m, var_samp(score) / count(*) AS v, count(*) AS n FROM ({ds.SCORED_EVENTS})
+    WHERE {_SIDES} GROUP BY 1), w AS (SELECT (a.m - b.m) / sqrt(a.v + b.v) AS t,
+      (a.v + b.v) ** 2 / (a.v ** 2 / (a.n - 1) + b.v ** 2 / (b.n - 1)) AS d FROM s a, s b WHERE a.g = 'click' AND b.g = 'purchase'),
+    i AS (SELECT t, d, k, exp(lgamma((d + 1) / 2) - lgamma(d / 2)) / sqrt(d * pi()) * pow(1 + (abs(t) * k / 2000) ** 2 / d, 0 - (d + 1) / 2) AS y
+      FROM w, range(0, 2001) AS r(k))
+    SELECT round(t, 6) AS t_stat, round(d, 4) AS dof,
+      round(1 - 2 * abs(t) / 6000 * sum(y * CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END), 8) AS p_value FROM i GROUP BY t, d""",
+)
 def welch_p(spark, sf_dir):
-    return hypothesis.welch(_scores(spark, sf_dir), "subreddit", "score", "click", "purchase")
+    """The twin integrates the density by Simpson's rule."""
+    out = hypothesis.welch(_scores(spark, sf_dir), "subreddit", "score", "click", "purchase")
+    return out.select(F.round("t_stat", 6).alias("t_stat"), F.round("dof", 4).alias("dof"), F.round("p_value", 8).alias("p_value"))
 
 
 # --- distributions -----------------------------------------------------------------------------------------------------

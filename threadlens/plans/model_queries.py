@@ -109,11 +109,11 @@ def cluster_score_crosstab(spark, sf_dir):
 
 @query("text_components")
 def text_components(spark, sf_dir):
-    """Whole texts projected to 100 components of their TF-IDF over 1000 n-grams; the first three shown."""
+    """Whole texts projected to 100 components of their TF-IDF over 1000 n-grams, one row per text and component."""
     rows = ds.document_activity(spark, sf_dir)
     xs = vector_to_array("text_pca")
     made = reduced_text(rows, stopwords=ds.STOPWORDS)(rows)
-    return made.select("id", *[xs[i].alias(f"pc{i + 1}") for i in range(3)], F.size(xs).alias("components"))
+    return made.select("id", F.posexplode(xs).alias("component", "value"))
 
 
 @query("rf_event_classifier")

@@ -128,9 +128,10 @@ def synonym_expansion(spark, sf_dir):
     return terms.join(counted, "term").select("ordinal", "phrase", "term", "documents")
 
 
-def _first_phrase_sql() -> str:
+def _first_phrase_sql(hay: str = "lower(body)", boundary: bool = False) -> str:
+    edge = " " if boundary else ""
     tests = " ".join(
-        f"WHEN {' OR '.join(f'''contains(lower(body), '{t}')''' for o2, _, t in _TERMS if o2 == o)} THEN '{p}'" for o, p, _ in ds.PHRASES
+        f"WHEN {' OR '.join(f'''contains({hay}, '{edge}{t}{edge}')''' for o2, _, t in _TERMS if o2 == o)} THEN '{p}'" for o, p, _ in ds.PHRASES
     )
     return f"CASE {tests} END"
 
@@ -141,6 +142,13 @@ def synonym_policy_match(spark, sf_dir):
     return rows.select("id", lexicons.first_phrase("_hay", _phrases(spark)).alias("phrase"))
 
 
+@query("synonym_match_joined", f"SELECT id, {_first_phrase_sql(_PADDED, True)} AS phrase FROM ({ds.DOCUMENT_ACTIVITY})")
+def synonym_match_joined(spark, sf_dir):
+    """The form for lexicons of any size: runs of words joined with the terms."""
+    terms = lexicons.expand_synonyms(ds.phrase_lexicon(spark), ds.synonym_table(spark))
+    return lexicons.with_first_term(ds.document_activity(spark, sf_dir), terms, (2,)).select("id", "phrase")
+
+
 _WINDOWS = r"""win AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS win
     FROM (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents))"""
 _FUZZY = f"""sim AS (SELECT win, ordinal, phrase, 100.0::DOUBLE * (1.0::DOUBLE - levenshtein(win, phrase)::DOUBLE / greatest(length(win), length(phrase))) AS score
