@@ -87,7 +87,7 @@ def blocks_of(html: str) -> list[tuple[str, bool]]:
         stack.append((tag, parent[1] or furniture, parent[2] or tag in _MAIN))
         silent, main = stack[-1][1], stack[-1][2]
     flush()
-    return [b for b in out if b[1]] if any(b[1] for b in out) else out
+    return out
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
@@ -149,16 +149,22 @@ def _near(a: str, b: str) -> int:
     return n
 
 
+def _outside_copies(lines: list[dict], places: list[int]) -> list[int]:
+    """`places` without those in the article if they hold over half of its text: then it is a copy of the other page's."""
+    inside = sum(lines[i]["n"] for i in places if lines[i]["main"])
+    return [i for i in places if not lines[i]["main"]] if 2 * inside > sum(x["n"] for x in lines if x["main"]) else places
+
+
 def shared_lines(parsed: DataFrame) -> DataFrame:
     """_page and _shared, the places of the lines that each page shares with the one whose URL is nearest.
 
     Pages are sorted by host, path and digest over ranges; of the pages before and after on the same host, the one with the
-    longer common path beginning is nearest, at a tie the one before. Only digests and lengths of lines outside articles
-    travel. Lines are aligned by a longest common subsequence. Pages that share over half of their text are copies, not
-    layout, and lose nothing.
+    longer common path beginning is nearest, at a tie the one before. Only digests and lengths of lines travel. Lines are
+    aligned by a longest common subsequence, inside articles too. Pages that share over half of their text are copies, not
+    layout, and lose nothing; nor does an article that shares over half of its own text.
     """
-    digests = F.transform("blocks", lambda x: F.when(~x["main"], F.struct(F.xxhash64(x["line"]).alias("d"), F.length(x["line"]).alias("n"))))
-    lines = parsed.where(F.exists("blocks", lambda x: ~x["main"])).select("host", "path", "_page", F.filter(digests, lambda x: x.isNotNull()).alias("lines"))
+    digests = F.transform("blocks", lambda x: F.struct(F.xxhash64(x["line"]).alias("d"), F.length(x["line"]).alias("n"), x["main"].alias("main")))
+    lines = parsed.where(F.size("blocks") > 0).select("host", "path", "_page", digests.alias("lines"))
     order = ("host", "path", "_page")
     ranged = written(lines.dropDuplicates(["_page"]).repartitionByRange(partitions(parsed.sparkSession), *order).withColumn("_part", F.spark_partition_id()), "page_lines")
     row, place = F.struct(*order, "lines"), F.struct(*order)
@@ -178,7 +184,10 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
                 near = {side: _near(r["path"], r[f"{side}_path"]) for side in ("before", "after") if r[f"{side}_host"] == r["host"]}
                 other = r[f"{max(near, key=near.get)}_lines"]
                 places = common_lines([x["d"] for x in r["lines"]], [x["d"] for x in other])
-                if places and 2 * sum(r["lines"][i]["n"] for i in places) <= sum(x["n"] for x in r["lines"]):
+                if 2 * sum(r["lines"][i]["n"] for i in places) > sum(x["n"] for x in r["lines"]):
+                    continue
+                places = _outside_copies(r["lines"], places)
+                if places:
                     pages.append(r["_page"])
                     shared.append(places)
             yield pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(shared, pa.list_(pa.int32()))], ["_page", "_shared"])
@@ -187,15 +196,15 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page: its article's blocks, joined by line ends.
+    """page_id, url, text and n_chars of every page: its blocks of text, joined by line ends.
 
-    Markup decides first: what stands in an <article> or <main> is the text where a page has one. Elsewhere blocks are what
-    is no furniture by tag, class, id or role, less the lines that the page shares with its nearest URL's (`shared_lines`).
+    Blocks are what is no furniture by tag, class, id or role, inside and outside of <article> and <main>, less the lines
+    that the page shares with its nearest URL's (`shared_lines`).
     Null and empty pages have empty text; repeated rows stay, each with the same result.
     """
     parsed = _parsed(pages)
     shared = written(shared_lines(parsed), "shared_lines")
     joined = parsed.join(shared, "_page", "left")
-    own = F.filter("blocks", lambda x, i: F.col("_shared").isNull() | x["main"] | ~F.array_contains("_shared", i))
+    own = F.filter("blocks", lambda x, i: F.col("_shared").isNull() | ~F.array_contains("_shared", i))
     text = F.array_join(F.transform(own, lambda x: x["line"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
