@@ -21,3 +21,18 @@ def test_copied_articles_stay(spark):
     page = "<div>Layout of {i} pages</div><p>Own words {i}, which are longer than what this page shares with others</p><article><p>The same story</p></article>"
     got = main_texts(spark, [(i, f"http://s.x/p/{i}", page.format(i=i)) for i in range(4)])
     assert all("The same story" in t for t in got.values())
+
+
+def test_large_layout_goes_and_copies_are_passed_over(spark):
+    """Layout of most of the page goes, whatever stands beside the page: copies by other query strings, or many of them."""
+    menu = "".join(f"<div>Entry {k} of the long list on every page</div>" for k in range(9))
+    rows = [(10 * i + k, f"http://s.x/p/{i}?from={k}", f"{menu}<p>Story {i}</p>") for i in range(5) for k in range(40 if i == 2 else 3)]
+    assert main_texts(spark, rows) == {p: f"Story {html[-5]}" for p, _, html in rows}
+    assert main_texts(spark, rows[:1] + rows[3:4]) == {0: "Story 0", 10: "Story 1"}
+
+
+def test_an_edited_copy_is_no_layout(spark):
+    body = "<p>Site name</p>" + "".join(f"<p>Sentence {k} of the first story, which has a copy</p>" for k in range(9))
+    rows = [(1, "http://s.x/a/1", f"{body}<p>Printed today</p>"), (2, "http://s.x/a/1?v=2", f"{body}<p>Printed yesterday</p>"), (3, "http://s.x/b", "<p>Site name</p><p>Another story</p>"), (4, "http://s.x/A", "<p>Site name</p><p>An early story</p>")]
+    got = main_texts(spark, rows)
+    assert got[3] == "Another story" and got[4] == "An early story" and all(got[i].startswith("Sentence 0") and got[i].count("\n") == 9 for i in (1, 2))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.llm.chunks import slices
@@ -149,8 +149,12 @@ def _near(a: str, b: str) -> int:
     return n
 
 
-def _outside_copies(lines: list[dict], places: list[int]) -> list[int]:
-    """`places` without those in the article if they hold over half of its text: then it is a copy of the other page's."""
+def layout_lines(lines: list[dict], others: list[list[int]]) -> list[int]:
+    """Places of the lines (d, n, main) of a page that are layout by the digests of the pages beside it, nearest first."""
+    places = common_lines([x["d"] for x in lines], others[0])
+    if len(others) > 1 and 2 * sum(lines[i]["n"] for i in places) > sum(x["n"] for x in lines):
+        both = set(common_lines([x["d"] for x in lines], others[1]))
+        places = [i for i in places if i in both]
     inside = sum(lines[i]["n"] for i in places if lines[i]["main"])
     return [i for i in places if not lines[i]["main"]] if 2 * inside > sum(x["n"] for x in lines if x["main"]) else places
 
@@ -158,41 +162,65 @@ def _outside_copies(lines: list[dict], places: list[int]) -> list[int]:
 def shared_lines(parsed: DataFrame) -> DataFrame:
     """_page and _shared, the places of the lines that each page shares with the one whose URL is nearest.
 
-    Pages are sorted by host, path and digest over ranges; of the pages before and after on the same host, the one with the
-    longer common path beginning is nearest, at a tie the one before. Only digests and lengths of lines travel. Lines are
-    aligned by a longest common subsequence, inside articles too. Pages that share over half of their text are copies, not
-    layout, and lose nothing; nor does an article that shares over half of its own text.
+    Pages are sorted by host, path, lines and digest over ranges; of the closest pages before and after with other lines on
+    the same host, the one with the longer common path beginning is nearest, at a tie the one before. Equal pages are passed
+    over however many there are. Only digests and lengths of lines travel. Lines are aligned by a longest common
+    subsequence, inside articles too. All shared lines go. Where they hold over half of the page's text and there is a page
+    on the other side as well, those go that it shares too, so that an edited copy beside a page is not taken for layout.
+    An article that would still lose over half of its own text keeps it.
     """
     digests = F.transform("blocks", lambda x: F.struct(F.xxhash64(x["line"]).alias("d"), F.length(x["line"]).alias("n"), x["main"].alias("main")))
-    lines = parsed.where(F.size("blocks") > 0).select("host", "path", "_page", digests.alias("lines"))
-    order = ("host", "path", "_page")
-    ranged = written(lines.dropDuplicates(["_page"]).repartitionByRange(partitions(parsed.sparkSession), *order).withColumn("_part", F.spark_partition_id()), "page_lines")
+    lines = parsed.where(F.size("blocks") > 0).select("host", "path", "_page", digests.alias("lines")).withColumn("sig", F.xxhash64(F.transform("lines", lambda x: x["d"])))
+    order = ("host", "path", "sig", "_page")
     row, place = F.struct(*order, "lines"), F.struct(*order)
-    edges = ranged.groupBy("_part").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last"))
-    by_part = Window.orderBy("_part")
-    beside = edges.select("_part", F.lag("last").over(by_part).alias("a"), F.lead("first").over(by_part).alias("b"))
-    beyond = beside.select("_part", F.explode(F.array_compact(F.array("a", "b"))).alias("r")).select("r.*", "_part", F.lit(True).alias("_guest"))
-    within = Window.partitionBy("_part").orderBy(*order)
-    around = ranged.withColumn("_guest", F.lit(False)).unionByName(beyond).select(
-        "_page", "_guest", "host", "path", "lines", *[f(c).over(within).alias(f"{side}_{c}") for side, f in (("before", F.lag), ("after", F.lead)) for c in ("host", "path", "lines")]
-    ).where("not _guest and (coalesce(before_host = host, false) or coalesce(after_host = host, false))")
+    ranged = written(lines.dropDuplicates(["_page"]).repartitionByRange(partitions(parsed.sparkSession), *order).withColumn("_part", F.spark_partition_id()), "page_lines")
+    edges = _range_edges(ranged, row, place)
+    guests = edges.select("_part", F.explode(F.array_compact(F.array("a", "b"))).alias("r")).select("r.*", "_part", F.lit(True).alias("_guest"))
+    around = ranged.withColumn("_guest", F.lit(False)).unionByName(guests)
+    for side, ways in (("before", [F.col(c).asc() for c in order]), ("after", [F.col(c).desc() for c in order])):
+        within = Window.partitionBy("_part").orderBy(*ways)
+        beside = F.lag(F.struct("host", "path", "sig", "lines")).over(within)
+        around = around.withColumn("_beside", beside).withColumn(
+            side, F.last(F.when(F.col("_beside.sig") != F.col("sig"), F.col("_beside")), ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+        ).drop("_beside")
+    sides = [F.when(F.col(f"{side}.host") == F.col("host"), F.col(f"{side}.{c}")).alias(f"{side}_{c}") for side in ("before", "after") for c in ("path", "lines")]
+    paired = around.where("not _guest").select("_page", "path", "lines", *sides).where("before_lines is not null or after_lines is not null")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages, shared = [], []
             for r in batch.to_pylist():
-                near = {side: _near(r["path"], r[f"{side}_path"]) for side in ("before", "after") if r[f"{side}_host"] == r["host"]}
-                other = r[f"{max(near, key=near.get)}_lines"]
-                places = common_lines([x["d"] for x in r["lines"]], [x["d"] for x in other])
-                if 2 * sum(r["lines"][i]["n"] for i in places) > sum(x["n"] for x in r["lines"]):
-                    continue
-                places = _outside_copies(r["lines"], places)
+                near = {side: _near(r["path"], r[f"{side}_path"]) for side in ("before", "after") if r[f"{side}_lines"] is not None}
+                others = [[x["d"] for x in r[f"{side}_lines"]] for side in sorted(near, key=near.get, reverse=True)]
+                places = layout_lines(r["lines"], others)
                 if places:
                     pages.append(r["_page"])
                     shared.append(places)
             yield pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(shared, pa.list_(pa.int32()))], ["_page", "_shared"])
 
-    return around.drop("_guest").mapInArrow(work, "_page string, _shared array<int>")
+    return paired.mapInArrow(work, "_page string, _shared array<int>")
+
+
+def _range_edges(ranged: DataFrame, row: Column, place: Column) -> DataFrame:
+    """_part of each range, and the closest rows before (a) and after it (b) whose lines differ from its first and last row's.
+
+    A range whose rows all have the same lines passes on what lies beyond it.
+    """
+    ends = ranged.groupBy("_part").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last"))
+    borders = ends.select("_part", F.col("first.sig").alias("low"), F.col("last.sig").alias("high"))
+    runs = ranged.join(F.broadcast(borders), "_part")
+    inner = runs.groupBy("_part").agg(
+        F.max_by(F.when(F.col("sig") != F.col("high"), row), F.when(F.col("sig") != F.col("high"), place)).alias("before_last"),
+        F.min_by(F.when(F.col("sig") != F.col("low"), row), F.when(F.col("sig") != F.col("low"), place)).alias("after_first"),
+    )
+    edges = ends.join(inner, "_part")
+    for out, ways, near, far, inside in (("a", F.col("_part").asc(), "first", "last", "before_last"), ("b", F.col("_part").desc(), "last", "first", "after_first")):
+        over = Window.orderBy(ways)
+        beside = F.lag(far).over(over)
+        edges = edges.withColumn("_beside", F.when(beside["sig"] != F.col(near)["sig"], beside))
+        edges = edges.withColumn("_beyond", F.last(F.coalesce(inside, "_beside"), ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+        edges = edges.withColumn(out, F.coalesce("_beside", F.lag("_beyond").over(over))).drop("_beside", "_beyond")
+    return edges.select("_part", "a", "b")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
