@@ -1,9 +1,8 @@
 """Cases in which the operators once did less than the whole job."""
 
-import pytest
-from pyspark.sql import functions as F
+import hashlib
 
-from threadlens.llm import html_text
+from threadlens.llm import html_text, line_templates
 
 
 def main_texts(spark, rows):
@@ -36,3 +35,17 @@ def test_an_edited_copy_is_no_layout(spark):
     rows = [(1, "http://s.x/a/1", f"{body}<p>Printed today</p>"), (2, "http://s.x/a/1?v=2", f"{body}<p>Printed yesterday</p>"), (3, "http://s.x/b", "<p>Site name</p><p>Another story</p>"), (4, "http://s.x/A", "<p>Site name</p><p>An early story</p>")]
     got = main_texts(spark, rows)
     assert got[3] == "Another story" and got[4] == "An early story" and all(got[i].startswith("Sentence 0") and got[i].count("\n") == 9 for i in (1, 2))
+
+
+def words(*seed):
+    return " ".join(hashlib.md5(f"{seed}-{k}".encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))[:7] for k in range(9))
+
+
+def test_a_passage_of_several_lines_goes_and_near_copies_stay(spark):
+    """Notices of eight lines in documents of four, and a story of thirty lines copied with one line edited in each copy."""
+    notice = [words("notice", k) for k in range(8)]
+    story = [words("story", k) for k in range(30)]
+    own = {i: [words("own", i, k) for k in range(4)] for i in range(60)}
+    rows = [(i, "\n".join(lines[:2] + notice + lines[2:])) for i, lines in own.items()] + [(100 + i, "\n".join(story[:i] + [words("edit", i)] + story[i + 1 :])) for i in range(20)]
+    out = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {i: "\n".join(own[i]) if i < 100 else t for i, t in rows}

@@ -9,6 +9,8 @@ from threadlens.llm.common import identity
 from threadlens.session import written
 
 _DIGITS = r"[^ ]*[0-9][^ ]*"
+#: Least share of a document's text that is its own; documents that share more are near copies (0.8 alike, as in `near_dups`).
+OWN = 0.2
 
 
 def _masked(line: Column) -> Column:
@@ -33,26 +35,37 @@ def with_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
 
 
 def _occurrences(lines: DataFrame, *more: str) -> DataFrame:
-    """Adds `seen`, the distinct lines of a document (leaf, line and `more`), and `two`, its two smallest leaf digests.
-
-    A line's company is the smallest leaf digest among the document's other lines. Copies of a document share it, whole or
-    near, while a line that recurs in unrelated documents keeps many companies.
-    """
+    """Adds `seen`, the distinct lines of a document (leaf, line and `more`), and `parts`, key (leaf) and length of all that are not blank."""
     eligible = F.filter("lines", lambda x: x["leaf"].isNotNull())
-    two = F.slice(F.sort_array(F.array_distinct(F.transform(F.col("lines"), lambda x: F.coalesce(x["leaf"], F.xxhash64(x["masked"]))))), 1, 2)
+    parts = F.transform(F.filter("lines", lambda x: x["masked"] != ""), lambda x: F.struct(F.coalesce(x["leaf"], F.xxhash64(x["masked"])).alias("key"), F.length(x["masked"]).alias("n")))
     seen = F.array_distinct(F.transform(eligible, lambda x: F.struct(x["leaf"].alias("leaf"), x["line"].alias("line"), *[x[m].alias(m) for m in more])))
-    return lines.withColumn("seen", seen).withColumn("two", two)
+    return lines.withColumn("seen", seen).withColumn("parts", F.array_distinct(parts))
+
+
+def with_company(digested: DataFrame, min_documents: int = 3) -> DataFrame:
+    """_row, seen and company, the digest that stands for what a document is about.
+
+    It is the smallest leaf among those that fewer than `min_documents` documents have, so that a passage that recurs never
+    stands for its documents. Where these lines hold less than OWN of the text, the document is a near copy of others: then
+    it is the leaf that the fewest documents have among those that recur, which near copies share.
+    """
+    keys = F.transform("parts", lambda x: x["key"])
+    common = written(digested.select(F.explode(F.array_distinct(keys)).alias("key")).groupBy("key").agg(F.count("*").alias("documents")).where(F.col("documents") >= min_documents), "common")
+    held = digested.select("_row", F.explode("parts").alias("x")).select("_row", "x.*").join(common, "key").groupBy("_row").agg(F.collect_set(F.struct("documents", "key", "n")).alias("held"))
+    total = lambda parts: F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    rest = F.array_except(keys, F.transform("held", lambda x: x["key"]))
+    company = F.when(F.col("held").isNull(), F.array_min(keys)).when(total(F.col("parts")) - total(F.col("held")) >= OWN * total(F.col("parts")), F.array_min(rest)).otherwise(F.array_min("held")["key"])
+    return digested.join(held, "_row", "left").select("_row", "seen", company.alias("company"))
 
 
 def _exploded(seen: DataFrame) -> DataFrame:
-    each = seen.select(F.explode("seen").alias("x"), "two")
-    return each.select("x.*", F.when(F.get("two", F.lit(0)) == F.col("x.leaf"), F.get("two", F.lit(1))).otherwise(F.get("two", F.lit(0))).alias("company"))
+    return seen.select(F.explode("seen").alias("x"), "company").select("x.*", "company")
 
 
 def recurring_lines(docs: DataFrame, digested: DataFrame, depth: int = 3, min_tokens: int = 5, min_documents: int = 3, spread: float = 0.3, alike: float = 0.6) -> DataFrame:
     """`line` digests of the templates that recur in `min_documents` or more documents of different company.
 
-    `digested` has `seen` and `two` of each of `docs`, whose texts are read again only for the variants of a leaf.
+    `digested` has _row, `seen` and `company` of each of `docs` (with _row), whose texts are read again only for the variants of a leaf.
 
     A line is parsed down a tree of fixed depth: token count, then `depth` leading tokens. Lines equal once variable fields
     are masked are one template. Within a leaf, positions where four fifths of the lines agree are constants; if at least
@@ -65,7 +78,8 @@ def recurring_lines(docs: DataFrame, digested: DataFrame, depth: int = 3, min_to
     per_line = seen.groupBy("leaf", "line").agg(F.count("*").alias("companies"), F.sum("n").alias("documents"))
     exact = per_line.where(recurs).select("line")
     leaves = per_line.groupBy("leaf").agg(F.count("*").alias("variants"), F.sum("companies").alias("companies")).where(F.col("companies") >= min_documents).where("variants > 1").select("leaf")
-    crowded = _exploded(_occurrences(with_lines(docs.select("text"), depth, min_tokens), "masked")).join(written(leaves, "leaves"), "leaf")
+    parsed = _occurrences(with_lines(docs.select("_row", "text"), depth, min_tokens), "masked").select("_row", F.explode("seen").alias("x")).select("_row", "x.*")
+    crowded = parsed.join(written(leaves, "leaves"), "leaf").join(digested.select("_row", "company").dropDuplicates(["_row"]), "_row")
     variants = written(crowded.groupBy("leaf", "line", "company").agg(F.count("*").alias("n"), F.first("masked").alias("masked")), "variants")
     positions = variants.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     votes = positions.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n")).groupBy("leaf", "at").agg(F.max_by("token", F.struct("n", "token")).alias("token"), F.max("n").alias("most"), F.sum("n").alias("n"))
@@ -85,8 +99,9 @@ def drop_recurring_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, m
     empty text. Only digests of lines are joined with the recurring ones; then each document meets the digests it loses.
     """
     keyed = docs.withColumn("_row", identity("doc_id", "text"))
-    digested = written(_occurrences(with_lines(keyed.select("_row", "text"), depth, min_tokens)).select("_row", "seen", "two"), "digested")
-    recurring = written(recurring_lines(docs, digested, depth, min_tokens, min_documents), "recurring")
+    parsed = written(_occurrences(with_lines(keyed.select("_row", "text"), depth, min_tokens)).select("_row", "seen", "parts"), "parsed")
+    digested = written(with_company(parsed, min_documents), "digested")
+    recurring = written(recurring_lines(keyed, digested, depth, min_tokens, min_documents), "recurring")
     lost = digested.select("_row", F.explode("seen.line").alias("line")).join(recurring, "line").groupBy("_row").agg(F.collect_set("line").alias("_lost"))
     joined = keyed.join(lost, "_row", "left")
     cut = F.col("_lost").isNotNull()
