@@ -3,6 +3,8 @@
 import hashlib
 
 from threadlens.llm import html_text, line_templates
+from threadlens.operators.models import classification
+from threadlens.plans import model_queries, workflows
 
 
 def main_texts(spark, rows):
@@ -49,3 +51,14 @@ def test_a_passage_of_several_lines_goes_and_near_copies_stay(spark):
     rows = [(i, "\n".join(lines[:2] + notice + lines[2:])) for i, lines in own.items()] + [(100 + i, "\n".join(story[:i] + [words("edit", i)] + story[i + 1 :])) for i in range(20)]
     out = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == {i: "\n".join(own[i]) if i < 100 else t for i, t in rows}
+
+
+def test_boosting_runs_all_rounds(spark, monkeypatch):
+    rounds = []
+    boosted = classification.boosted_trees
+    monkeypatch.setattr(classification, "boosted_trees", lambda **options: rounds.append((model := boosted(**options)).getClassifier().getMaxIter()) or model)
+    monkeypatch.setattr(classification, "LabelledModel", lambda train, label, make: make(1, 2))
+    monkeypatch.setattr(model_queries, "_score_model", lambda *_: (model := object.__new__(workflows.ScorePrediction)).__dict__.update(seed=1, train=None) or model)
+    monkeypatch.setattr(workflows.ScorePrediction, "predictions", lambda self, kind="boosting", **options: self.fit(kind, **options))
+    model_queries.gbt_ovr_score(spark, "")
+    assert rounds == [100]

@@ -133,8 +133,8 @@ def rf_score(spark, sf_dir):
 
 @query("gbt_ovr_score")
 def gbt_ovr_score(spark, sf_dir):
-    """Labels for the unlabelled posts from boosted trees, one model per class (ten rounds each here)."""
-    return _score_model(spark, sf_dir).predictions("boosting", rounds=10)
+    """Labels for the unlabelled posts from boosted trees, one model per class (100 rounds each)."""
+    return _score_model(spark, sf_dir).predictions("boosting")
 
 
 @query("mlp_score")
