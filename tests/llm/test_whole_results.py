@@ -2,7 +2,11 @@
 
 import hashlib
 
-from threadlens.llm import html_text, line_templates
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from threadlens.llm import html_text, line_templates, toxicity
 from threadlens.operators.models import classification
 from threadlens.plans import model_queries, workflows
 
@@ -62,3 +66,25 @@ def test_boosting_runs_all_rounds(spark, monkeypatch):
     monkeypatch.setattr(workflows.ScorePrediction, "predictions", lambda self, kind="boosting", **options: self.fit(kind, **options))
     model_queries.gbt_ovr_score(spark, "")
     assert rounds == [100]
+
+
+def test_texts_without_telling_terms_are_compared(spark):
+    """Words of single examples count: a copy of a toxic example has it as evidence, and scores above other texts."""
+    rows = [(i, " ".join(words("text", i, k) for k in range(3))) for i in range(400)]
+    docs = spark.createDataFrame([*rows, *[(1000 + i, t) for i, t in rows]], "doc_id long, text string")
+    labels = docs.where("doc_id < 400").select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
+    out = {r["doc_id"]: r for r in toxicity.score_documents(docs, labels).collect()}
+    fitted = [i for i, _ in rows if not out[i]["held_out"]]
+    assert all(out[1000 + i]["evidence"][0] == i for i in fitted)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_pruned_search_is_exact(seed):
+    rng = np.random.default_rng(seed)
+    often = rng.random(300) ** 4
+    vectors = (rng.random((900, 300)) < often) * rng.random(300) ** 3 * 9 + 1e-3 * (np.arange(900)[:, None] % 300 == np.arange(300))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = toxicity.BlockMaxIndex([[(int(t), float(v[t])) for t in np.flatnonzero(v)] for v in vectors], 300)
+    for q in vectors[:40]:
+        near = index.nearest([(int(t), float(q[t])) for t in np.flatnonzero(q)], np.ones(900), 30)
+        assert np.allclose([s for s, _ in near], np.sort(vectors @ q)[::-1][:30], atol=1e-6)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm.chunks import Memo, slices
-from threadlens.llm.common import fold, texts
+from threadlens.llm.common import fold, partitions, texts
 from threadlens.session import written
 
 #: Labelled rows that the classifier is fitted on, at most; taken in hash order of the id.
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 512
 _PREFIXES = range(4, 9)
 _WORD = re.compile(r"[^\W_]+")
 _BLOCK = 64
@@ -34,103 +33,187 @@ def terms_of(chunk: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def number_of(term: str) -> int:
+    """64 bits of the term's digest, which stand for it in vectors; odd for a beginning, even for a word."""
+    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) & -2 | term.endswith("-")
+
+
+def numbers_of(chunk: str) -> np.ndarray:
+    return np.array([number_of(t) for t in terms_of(chunk)], np.int64)
+
+
+def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the distinct terms of a text, rising, and how often each stands there."""
+    chunks = [known[c] for c in text.split()]
+    return np.unique(np.concatenate(chunks), return_counts=True) if chunks else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 class BlockMaxIndex:
-    """Postings of weighted examples in blocks of neighbouring ids, each block with its largest weight per term."""
+    """Postings of weighted examples, in blocks of neighbouring ids; frequent terms have their largest weight per block."""
 
     def __init__(self, rows: list[list[tuple[int, float]]], n_terms: int):
-        self.blocks = -(-len(rows) // _BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for i, row in enumerate(rows):
-            for term, weight in row:
-                postings[term].append((i, weight))
-        self.largest = np.zeros((n_terms, self.blocks))
-        self.ids, self.weights, self.cuts = [], [], []
-        for term, found in enumerate(postings):
-            ids, weights = np.array([i for i, _ in found], np.int64), np.array([w for _, w in found])
-            np.maximum.at(self.largest[term], ids // _BLOCK, weights)
-            self.ids.append(ids)
-            self.weights.append(weights)
-            self.cuts.append(np.searchsorted(ids, np.arange(self.blocks + 1) * _BLOCK))
-
-    def nearest(self, query: list[tuple[int, float]], votes: np.ndarray, enough: float, skip: int = -1) -> list[tuple[float, int]]:
-        """(cosine, example) from the nearest on until their votes reach `enough`; ties by example.
-
-        Blocks are visited by falling upper bound and the rest is skipped once no block can hold anything nearer.
+        flat = [x for row in rows for x in row]
+        self.build(np.cumsum([0, *map(len, rows)]), np.array([t for t, _ in flat], np.int64), np.array([w for _, w in flat], float), n_terms)
+
+    @classmethod
+    def of(cls, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> BlockMaxIndex:
+        index = cls.__new__(cls)
+        index.build(starts, terms, weights, n_terms)
+        return index
+
+    def build(self, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> None:
+        self.n, self.blocks = len(starts) - 1, -(-(len(starts) - 1) // _BLOCK)
+        self.starts, self.row_terms, self.row_weights = starts, terms.astype(np.int32), weights.astype(np.float32)
+        by_term = np.argsort(self.row_terms, kind="stable")
+        self.ids = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(starts))[by_term]
+        self.weights = self.row_weights[by_term]
+        sizes = np.bincount(self.row_terms, minlength=n_terms)
+        self.cuts = np.concatenate([[0], np.cumsum(sizes)])
+        self.most = np.zeros(n_terms)
+        if len(terms):
+            self.most[sizes > 0] = np.maximum.reduceat(self.weights, self.cuts[:-1][sizes > 0])
+        frequent = np.flatnonzero(sizes >= max(_BLOCK, self.blocks))
+        self.slot = np.full(n_terms, -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        self.largest = np.zeros((len(frequent), self.blocks), np.float32)
+        for k, t in enumerate(frequent):
+            np.maximum.at(self.largest[k], self.ids[self.cuts[t] : self.cuts[t + 1]] // _BLOCK, self.weights[self.cuts[t] : self.cuts[t + 1]])
+
+    def nearest(self, query: list[tuple[int, float]], votes: np.ndarray, enough: float) -> list[tuple[float, int]]:
+        """(cosine, example) from the nearest on until their votes reach `enough`; ties by example."""
+        return self.closest(np.array([t for t, _ in query], np.int64), np.array([w for _, w in query], float), votes, enough)
+
+    def closest(self, terms: np.ndarray, weights: np.ndarray, votes: np.ndarray, enough: float) -> list[tuple[float, int]]:
+        """`nearest`, for arrays. At most one example may have less than one vote.
+
+        Terms are added up by falling bound. Once the blocks' bounds of the terms left cannot lift more than an eighth of the
+        examples over those found, these alone are scored from their own vectors.
         """
-        bound = sum(w * self.largest[t] for t, w in query)
-        best: list[tuple[float, int]] = []
-        limit = 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or bound[block] < limit:
-                break
-            score = np.zeros(_BLOCK)
-            for term, weight in query:
-                a, b = self.cuts[term][block : block + 2]
-                score[self.ids[term][a:b] - block * _BLOCK] += weight * self.weights[term][a:b]
-            best += [(-float(score[i]), int(block) * _BLOCK + int(i)) for i in np.flatnonzero(score) if block * _BLOCK + i != skip]
-            best.sort()
-            total = 0.0
-            for k, (_, i) in enumerate(best):
-                total += votes[i]
-                if total >= enough:
-                    del best[k + 1 :]
-                    limit = -best[k][0] - 1e-12
+        need = int(enough) + 1
+        bound = weights * self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        terms, weights, bound = terms[order], weights[order], bound[order]
+        left = np.concatenate([np.cumsum(bound[::-1])[::-1], [0.0]])
+        score, which = np.zeros(self.n), None
+        sizes = self.cuts[terms + 1] - self.cuts[terms]
+        done = np.concatenate([[0], np.cumsum(sizes)])
+        k, step = 0, 4 * self.n
+        while k < len(terms):
+            stop = max(k + 1, int(np.searchsorted(done, done[k] + step, "right")) - 1)
+            ends = done[k + 1 : stop + 1] - done[k]
+            at = np.arange(ends[-1]) + np.repeat(self.cuts[terms[k:stop]] - ends + sizes[k:stop], sizes[k:stop])
+            score += np.bincount(self.ids[at], np.repeat(weights[k:stop], sizes[k:stop]) * self.weights[at], self.n)
+            k, step = stop, 2 * step
+            if k == len(terms) or self.n <= 8 * need:
+                continue
+            floor = np.partition(score, self.n - need)[self.n - need] - 1e-9
+            if floor > 0.5 * left[k]:
+                slots = self.slot[terms[k:]]
+                rest = weights[k:][slots >= 0] @ self.largest[slots[slots >= 0]] + bound[k:][slots < 0].sum()
+                found = np.flatnonzero(score + np.repeat(rest, _BLOCK)[: self.n] >= floor)
+                if 8 * len(found) <= self.n:
+                    which = found
                     break
-        return [(-s, i) for s, i in best]
+        if which is not None:
+            dense = np.zeros(len(self.most))
+            dense[terms] = weights
+            sizes = self.starts[which + 1] - self.starts[which]
+            ends = np.cumsum(sizes)
+            at = np.arange(ends[-1]) + np.repeat(self.starts[which] - ends + sizes, sizes)
+            exact = np.add.reduceat(dense[self.row_terms[at]] * self.row_weights[at], ends - sizes)
+        else:
+            which = np.flatnonzero(score)
+            exact = score[which]
+        if len(which) > need:
+            top = np.flatnonzero(exact >= np.partition(exact, len(exact) - need)[len(exact) - need])
+            which, exact = which[top], exact[top]
+        best, total = [], 0.0
+        for i in np.lexsort((which, -exact)):
+            if exact[i] <= 0 or total >= enough:
+                break
+            best.append((float(exact[i]), int(which[i])))
+            total += votes[which[i]]
+        return best
+
+
+def _digest(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    return blake2b(terms.tobytes() + counts.astype(np.int32).tobytes(), digest_size=16).digest()
 
 
 class ToxicityModel:
-    """Labelled examples over the terms that tell the classes apart; everything is fitted on at most MAX_EXAMPLES rows."""
-
-    def __init__(self, terms: list[tuple[str, int]], examples: list[tuple[int, dict[str, int], int]], total: int, toxic: int):
-        self.terms = {term: i for i, (term, _) in enumerate(terms)}
-        self.idf = np.array([np.log((1 + total) / (1 + n)) + 1 for _, n in terms])
-        grouped: dict[tuple, list] = {}
-        for doc, counts, label in examples:
-            key = tuple(sorted((self.terms[t], n) for t, n in counts.items()))
-            g = grouped.setdefault(key, [0, 0, doc])
-            g[0], g[1], g[2] = g[0] + 1, g[1] + label, min(g[2], doc)
-        keys = sorted(grouped, key=lambda k: (max(self.weighted(k), key=lambda x: x[1])[0], k))
-        self.votes, self.toxic = np.array([grouped[k][0] for k in keys], float), np.array([grouped[k][1] for k in keys], float)
-        self.doc = [grouped[k][2] for k in keys]
-        self.index = BlockMaxIndex([self.weighted(k) for k in keys], len(terms))
-        seen, seen_toxic = float(self.votes.sum()), float(self.toxic.sum())
+    """TF-IDF vectors of labelled examples over all their words; fitted on at most MAX_EXAMPLES rows.
+
+    Terms that are commoner among toxic examples by six standard errors or more, and which five examples have, weigh as many
+    times as much as they are errors apart; beginnings of words count only so. Every word counts.
+    """
+
+    def __init__(self, examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]], total: int, toxic: int, telling: np.ndarray):
+        """`examples` have id, label, and term numbers and counts as of `counts_of`; `telling` are the beginnings that count."""
+        clean = total - toxic
+        self.telling = telling
         self.base = (toxic + 1) / (total + 2)
-        self.without_terms = (toxic - seen_toxic + self.base) / (total - seen + 1)
+        self.unknown = np.log(1 + total) + 1
         self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        if len(keys):
-            raw, own = [], []
-            for i, k in enumerate(keys):
-                for label, n in ((1, int(self.toxic[i])), (0, int(self.votes[i] - self.toxic[i]))):
-                    if n:
-                        self.votes[i] -= 1
-                        self.toxic[i] -= label
-                        raw.append(self._vote(self.weighted(k))[0])
-                        self.votes[i] += 1
-                        self.toxic[i] += label
-                        own.append((label, n))
-            self.steps = _isotonic(np.array(raw), np.array([a for a, _ in own], float), np.array([n for _, n in own], float))
-
-    def weighted(self, key: tuple) -> list[tuple[int, float]]:
-        rows = [(t, (1 + np.log(n)) * self.idf[t]) for t, n in key]
-        norm = np.sqrt(sum(w * w for _, w in rows))
-        return [(t, float(w / norm)) for t, w in rows]
-
-    def _vote(self, query: list[tuple[int, float]]) -> tuple[float, list[int]]:
-        near = [(s, i) for s, i in self.index.nearest(query, self.votes, _NEIGHBOURS) if self.votes[i] > 0]
+        grouped: dict[bytes, list] = {}
+        for doc, label, terms, counts in examples:
+            terms, counts = self.kept(terms, counts)
+            g = grouped.setdefault(_digest(terms, counts), [0, 0, doc, terms, counts])
+            g[0], g[1], g[2] = g[0] + 1, g[1] + label, min(g[2], doc)
+        seen = [g for g in grouped.values() if len(g[3])]
+        none = np.zeros(0, np.int64)
+        empty = grouped.get(_digest(none, none), [0, 0])
+        self.without_terms = (empty[1] + self.base) / (empty[0] + 1)
+        seen.sort(key=lambda g: (g[1] / g[0], g[2]))
+        self.votes, self.toxic, self.doc = np.array([g[0] for g in seen], float), np.array([g[1] for g in seen], float), [g[2] for g in seen]
+        starts = np.cumsum([0, *[len(g[3]) for g in seen]])
+        self.terms, column = np.unique(np.concatenate([g[3] for g in seen] or [np.zeros(0, np.int64)]), return_inverse=True)
+        per_row = np.diff(starts)
+        n = np.bincount(column, np.repeat(self.votes, per_row), len(self.terms))
+        bad = np.bincount(column, np.repeat(self.toxic, per_row), len(self.terms))
+        share = n / max(total, 1)
+        error = np.sqrt(share * (1 - share) * (1 / max(toxic, 1) + 1 / max(clean, 1)))
+        z = np.divide(bad / max(toxic, 1) - (n - bad) / max(clean, 1), error, out=np.zeros(len(n)), where=error > 0)
+        self.factor = (np.log((1 + total) / (1 + n)) + 1) * np.where((z >= 6) & (n >= 5), z, np.where(self.terms & 1, 0.0, 1.0))
+        counts = np.concatenate([g[4] for g in seen] or [np.zeros(0)])
+        weights = (1 + np.log(counts)) * self.factor[column]
+        norms = np.sqrt(np.bincount(np.repeat(np.arange(len(seen)), per_row), weights * weights, len(seen)))
+        self.place = {_digest(g[3], g[4]): i for i, g in enumerate(seen)}
+        self.index = BlockMaxIndex.of(np.concatenate([[0], np.cumsum(weights > 0)])[starts], column[weights > 0], (weights / np.repeat(norms, per_row))[weights > 0], len(self.terms))
+
+    def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words and the telling beginnings."""
+        keep = (terms & 1 == 0) | np.isin(terms, self.telling)
+        return terms[keep], counts[keep].astype(np.int32)
+
+    def raw(self, terms: np.ndarray, counts: np.ndarray, own: int | None = None) -> tuple[float, list[int]]:
+        """Vote of the nearest examples, and up to three of them; `own` is the label of the text if it is an example itself."""
+        terms, counts = self.kept(terms, counts)
+        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        tf = 1 + np.log(counts)
+        weights = tf * np.where(known, self.factor[at] if len(self.terms) else 0.0, np.where(terms & 1, 0.0, self.unknown))
+        weights = weights / np.sqrt(weights @ weights)
+        votes, bad_votes = self.votes, self.toxic
+        if own is not None:
+            i = self.place[_digest(terms, counts)]
+            votes, bad_votes = votes.copy(), bad_votes.copy()
+            votes[i] -= 1
+            bad_votes[i] -= own
+        known &= weights > 0
+        near = [(s, i) for s, i in self.index.closest(at[known], weights[known], votes, _NEIGHBOURS) if votes[i] > 0]
         weight, bad = self.base, self.base * self.base
         left = float(_NEIGHBOURS)
         for s, i in near:
-            n = min(self.votes[i], left)
+            n = min(votes[i], left)
             close = n / (1.05 - min(s, 1.0))
-            weight, bad, left = weight + close, bad + close * self.toxic[i] / self.votes[i], left - n
+            weight, bad, left = weight + close, bad + close * bad_votes[i] / votes[i], left - n
         return bad / weight, [self.doc[i] for _, i in near[:3]]
 
-    def score(self, key: tuple) -> tuple[float, list[int]]:
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
         """Calibrated chance of label 1 and up to three nearest examples as evidence."""
-        if not key:
+        if not len(terms):
             return float(self.without_terms), []
-        raw, evidence = self._vote(self.weighted(key))
+        raw, evidence = self.raw(terms, counts)
         return float(np.clip(np.interp(raw, *self.steps), 0.0, 1.0)), evidence
 
 
@@ -146,74 +229,77 @@ def _isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return np.array([p[0] / p[2] for p in pools]), np.maximum.accumulate(means)
 
 
-def _spelled(word: dict, limit: int = 400_000) -> Memo:
-    """Chunk to the numbers of its listed terms; most chunks have none."""
-    return Memo(lambda chunk: tuple(word[t] for t in terms_of(chunk) if t in word), limit)
-
-
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> ToxicityModel:
     """Fit on labelled documents outside fold 0, `max_examples` of them at most (in hash order of the id).
 
-    A document with two labels counts as toxic if one says so. Terms are words and their beginnings that at least five
-    examples have and that are commoner among toxic ones by six standard errors; of more than MAX_TERMS, the clearest.
+    A document with two labels counts as toxic if one says so. Each example's vote without its own label calibrates scores.
     """
     chosen = written(
         labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 0)
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples), "chosen"
     )
-    examples = written(texts(docs).join(chosen, "doc_id").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text"), "examples")
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Memo(terms_of, 200_000)
-        for rows, strings in slices(batches, most_rows=200):
-            counts: Counter = Counter()
-            for label, text in zip(rows.column(1).to_pylist(), strings, strict=True):
-                for term in {t for chunk in set(text.split()) for t in known[chunk]}:
-                    counts[term, label] += 1
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())], ["term", "toxic", "n"])
-
-    counted = examples.mapInArrow(spread, "term string, toxic int, n bigint")
-    sizes = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    examples = texts(docs).join(chosen, "doc_id").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Memo(numbers_of, 100_000)
+        for rows, strings in slices(batches):
+            found = [counts_of(text, known) for text in strings]
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns[:2], pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], ["doc_id", "toxic", "terms", "counts"]
+            )
+
+    vectors = written(examples.mapInArrow(counted, "doc_id bigint, toxic int, terms binary, counts binary"), "examples")
+    sizes = {r["toxic"]: r["n"] for r in vectors.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, total = sizes.get(1, 0), sum(sizes.values())
     if not 0 < toxic < total:
-        return ToxicityModel([], [], total, toxic)
-    clean = total - toxic
-    by_term = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad")).where("n >= 5")
-    share = F.col("n") / total
+        return ToxicityModel([], total, toxic, np.zeros(0, np.int64))
+
+    def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label in (0, 1):
+                rows = [t[t & 1 == 1] for t in (np.frombuffer(r["terms"], np.int64) for r in batch.to_pylist() if r["toxic"] == label)]
+                terms, n = np.unique(np.concatenate(rows or [np.zeros(0, np.int64)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(n * label, pa.int64()), pa.array(n, pa.int64())], ["term", "bad", "n"])
+
+    by_term = vectors.mapInArrow(beginnings, "term bigint, bad bigint, n bigint").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).where("n >= 5").where(F.col("n") < total)
+    share, clean = F.col("n") / total, total - toxic
     error = F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
-    clear = by_term.where("n < " + str(total)).withColumn("z", (F.col("bad") / toxic - (F.col("n") - F.col("bad")) / clean) / error).where("z >= 6")
-    terms = [(r["term"], r["n"]) for r in clear.orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()]
-    numbers = {term: i for i, (term, _) in enumerate(terms)}
+    telling = by_term.where((F.col("bad") / toxic - (F.col("n") - F.col("bad")) / clean) / error >= 6).select("term").collect()
+    rows = ((r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in vectors.toLocalIterator())
+    model = ToxicityModel(rows, total, toxic, np.array(sorted(r["term"] for r in telling), np.int64))
+    if not len(model.votes):
+        return model
 
-    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _spelled(numbers, 200_000)
-        for rows, strings in slices(batches):
-            found = [Counter(t for chunk in text.split() for t in known[chunk]) for text in strings]
-            keep = [i for i, f in enumerate(found) if f]
-            yield pa.RecordBatch.from_arrays([
-                rows.column(0).take(pa.array(keep, pa.int64())), rows.column(1).take(pa.array(keep, pa.int64())),
-                pa.array([sorted(found[i].items()) for i in keep], pa.map_(pa.int32(), pa.int32())),
-            ], ["doc_id", "toxic", "terms"])
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in batch.to_pylist() if r["terms"]]
+            yield pa.RecordBatch.from_arrays([pa.array([label for label, _, _ in rows], pa.int32()), pa.array([model.raw(t, n, label)[0] for label, t, n in rows], pa.float64())], ["toxic", "raw"])
 
-    vectors = examples.mapInArrow(matched, "doc_id bigint, toxic int, terms map<int,int>")
-    names = [term for term, _ in terms]
-    return ToxicityModel(terms, [(r["doc_id"], {names[t]: n for t, n in r["terms"].items()}, r["toxic"]) for r in vectors.collect()], total, toxic)
+    votes = vectors.repartition(partitions(docs.sparkSession)).mapInArrow(voted, "toxic int, raw double").groupBy("raw", "toxic").agg(F.count("*").alias("n")).orderBy("raw", "toxic").collect()
+    model.steps = _isotonic(np.array([v["raw"] for v in votes]), np.array([v["toxic"] for v in votes], float), np.array([v["n"] for v in votes], float))
+    return model
 
 
 def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
     """`df` with score and evidence (ids of the nearest labelled examples); columns of these names are replaced.
 
-    Every whole text is compared; equal vectors are looked up once in a worker. A null or empty text, like any without
-    listed terms, gets the share of toxic ones among examples without terms. Rows stay where they lie.
+    Every whole text is compared; equal texts are looked up once in a worker. A null or empty text, like any without words,
+    gets the share of toxic ones among examples without words. Rows stay where they lie.
     """
     kept = df.drop("score", "evidence")
     fields = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.LongType()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, scored = _spelled(model.terms), Memo(model.score, 200_000)
+        known, scored = Memo(numbers_of, 100_000), {}
         for rows, strings in slices(batches):
-            found = [scored[tuple(sorted(Counter(t for c in text.split() for t in known[c]).items()))] for text in strings]
+            found = []
+            for text in strings:
+                digest = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                if digest not in scored:
+                    if len(scored) >= 200_000:
+                        scored.clear()
+                    scored[digest] = model.score(*counts_of(text, known))
+                found.append(scored[digest])
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], [*rows.schema.names, "score", "evidence"]
             )
