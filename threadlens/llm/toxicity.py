@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm.chunks import Memo, slices
-from threadlens.llm.common import fold, partitions, texts
+from threadlens.llm.common import fold, texts
 from threadlens.session import written
 
 #: Labelled rows that the classifier is fitted on, at most; taken in hash order of the id.
@@ -275,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
             rows = [(r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in batch.to_pylist() if r["terms"]]
             yield pa.RecordBatch.from_arrays([pa.array([label for label, _, _ in rows], pa.int32()), pa.array([model.raw(t, n, label)[0] for label, t, n in rows], pa.float64())], ["toxic", "raw"])
 
-    votes = vectors.repartition(partitions(docs.sparkSession)).mapInArrow(voted, "toxic int, raw double").groupBy("raw", "toxic").agg(F.count("*").alias("n")).orderBy("raw", "toxic").collect()
+    votes = vectors.mapInArrow(voted, "toxic int, raw double").groupBy("raw", "toxic").agg(F.count("*").alias("n")).orderBy("raw", "toxic").collect()
     model.steps = _isotonic(np.array([v["raw"] for v in votes]), np.array([v["toxic"] for v in votes], float), np.array([v["n"] for v in votes], float))
     return model
 
