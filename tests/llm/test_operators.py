@@ -222,7 +222,7 @@ def test_main_text(spark):
     rows += [(10 + i, f"http://s.x/p/{i}", body.format(own=f"Story {i}")) for i in range(6)] + [(20, "http://c.x/1", "<p>copy of this"), (21, "http://c.x/2", "<p>copy of this")]
     pages = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     out = {r["page_id"]: r["text"] for r in rows_of(html_text.main_text(pages))}
-    assert out[1] == "Kept\nA & B\none two three\nfour bold"
+    assert out[1] == "Kept\n\nA & B\n\none two three\n\nfour bold"
     assert out[2] == "" and out[3] == "" and out[4] == "plain <b> text" and out[20] == out[21] == "copy of this"
     assert all(out[10 + i] == f"Story {i} is what this page is about at some length" for i in range(6))
     assert html_text.main_text(pages).count() == len(rows) + 1 and html_text.main_text(pages.limit(0)).count() == 0
@@ -233,7 +233,7 @@ def test_test_pages_give_their_article(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
         inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
-        assert got[r["page_id"]] == "\n".join(x for x in blocks if x)
+        assert got[r["page_id"]] == "\n\n".join(x for x in blocks if x)
 
 
 @pytest.mark.parametrize("seed", range(20))

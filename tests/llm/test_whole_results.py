@@ -7,8 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadlens.llm import html_text, line_templates, toxicity
-from threadlens.operators.models import classification
-from threadlens.plans import model_queries, workflows
 
 
 def main_texts(spark, rows):
@@ -19,7 +17,7 @@ def test_pages_with_articles_are_compared(spark):
     """Furniture inside articles and the layout around them goes, text outside them stays."""
     page = "<div>Site name</div><p>Lead {i} of the story</p><article><p>Story {i} and all that is told in it at some length</p><p>Tell your friends</p></article><p>Note {i} on it</p>"
     got = main_texts(spark, [(i, f"http://s.x/p/{i}", page.format(i=i)) for i in range(6)])
-    assert got == {i: f"Lead {i} of the story\nStory {i} and all that is told in it at some length\nNote {i} on it" for i in range(6)}
+    assert got == {i: f"Lead {i} of the story\n\nStory {i} and all that is told in it at some length\n\nNote {i} on it" for i in range(6)}
 
 
 def test_copied_articles_stay(spark):
@@ -40,7 +38,7 @@ def test_an_edited_copy_is_no_layout(spark):
     body = "<p>Site name</p>" + "".join(f"<p>Sentence {k} of the first story, which has a copy</p>" for k in range(9))
     rows = [(1, "http://s.x/a/1", f"{body}<p>Printed today</p>"), (2, "http://s.x/a/1?v=2", f"{body}<p>Printed yesterday</p>"), (3, "http://s.x/b", "<p>Site name</p><p>Another story</p>"), (4, "http://s.x/A", "<p>Site name</p><p>An early story</p>")]
     got = main_texts(spark, rows)
-    assert got[3] == "Another story" and got[4] == "An early story" and all(got[i].startswith("Sentence 0") and got[i].count("\n") == 9 for i in (1, 2))
+    assert got[3] == "Another story" and got[4] == "An early story" and all(got[i].startswith("Sentence 0") and got[i].count("\n\n") == 9 for i in (1, 2))
 
 
 def words(*seed):
@@ -57,17 +55,6 @@ def test_a_passage_of_several_lines_goes_and_near_copies_stay(spark):
     assert out == {i: "\n".join(own[i]) if i < 100 else t for i, t in rows}
 
 
-def test_boosting_runs_all_rounds(spark, monkeypatch):
-    rounds = []
-    boosted = classification.boosted_trees
-    monkeypatch.setattr(classification, "boosted_trees", lambda **options: rounds.append((model := boosted(**options)).getClassifier().getMaxIter()) or model)
-    monkeypatch.setattr(classification, "LabelledModel", lambda train, label, make: make(1, 2))
-    monkeypatch.setattr(model_queries, "_score_model", lambda *_: (model := object.__new__(workflows.ScorePrediction)).__dict__.update(seed=1, train=None) or model)
-    monkeypatch.setattr(workflows.ScorePrediction, "predictions", lambda self, kind="boosting", **options: self.fit(kind, **options))
-    model_queries.gbt_ovr_score(spark, "")
-    assert rounds == [100]
-
-
 def test_texts_without_telling_terms_are_compared(spark):
     """Words of single examples count: a copy of a toxic example has it as evidence, and scores above other texts."""
     rows = [(i, " ".join(words("text", i, k) for k in range(3))) for i in range(400)]

@@ -224,7 +224,7 @@ def _range_edges(ranged: DataFrame, row: Column, place: Column) -> DataFrame:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page: its blocks of text, joined by line ends.
+    """page_id, url, text and n_chars of every page: its blocks of text, joined by two line ends.
 
     Blocks are what is no furniture by tag, class, id or role, inside and outside of <article> and <main>, less the lines
     that the page shares with its nearest URL's (`shared_lines`).
@@ -234,5 +234,5 @@ def main_text(pages: DataFrame) -> DataFrame:
     shared = written(shared_lines(parsed), "shared_lines")
     joined = parsed.join(shared, "_page", "left")
     own = F.filter("blocks", lambda x, i: F.col("_shared").isNull() | ~F.array_contains("_shared", i))
-    text = F.array_join(F.transform(own, lambda x: x["line"]), "\n")
+    text = F.array_join(F.transform(own, lambda x: x["line"]), "\n\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
