@@ -8,7 +8,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -18,10 +20,14 @@ from threadlens.llm.common import texts
 #: The pattern that cuts text into pieces, as byte-level BPE vocabularies of this kind define it.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _BLANK = regex.compile(r"\p{White_Space}")
-_AT = 1 << 32
+_PLACE = (1 << 32) - 1
 _REMEMBERED = 600_000
 
 
+def _pair(a: int, b: int) -> int:
+    return a << 32 | b
+
+
 def byte_names() -> dict[str, int]:
     """The printable character that stands for each byte: itself where it prints, else one from 256 on in order."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -44,32 +50,39 @@ class Bpe:
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self._left, self._right = [ids[a] for a, _ in merges], [ids[b] for _, b in merges]
         self._joined = [ids[a + b] for a, b in merges]
-        self._rank = {a * _AT + b: r for r, (a, b) in enumerate(zip(self._left, self._right, strict=True))}
+        self._turn = {_pair(a, b): r << 32 for r, (a, b) in enumerate(zip(self._left, self._right, strict=True))}
         self._cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._pieces = Memo(self._piece, _REMEMBERED)
+        self._names = pa.array([self.strings.get(i, b"") for i in range(max(self.strings) + 1)], pa.large_binary())
+        self._runs = Memo(self._whole, _REMEMBERED // 10)
         self._chunks, self._first = Memo(lambda c: self._chunk(c, " "), _REMEMBERED), Memo(lambda c: self._chunk(c, ""), _REMEMBERED)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece. Neighbours wait in a queue by merge rank, then place; a pair that is no longer there is skipped."""
-        symbols = [self._byte_id[b] for b in piece.encode()]
-        n, rank_of, left, right = len(symbols), self._rank, self._left, self._right
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [r * _AT + i for i in range(n - 1) if (r := rank_of.get(symbols[i] * _AT + symbols[i + 1])) is not None]
+        raw = piece.encode()
+        symbols = [*map(self._byte_id.__getitem__, raw)]
+        n, turn_of, left, right, joined = len(symbols), self._turn.get, self._left, self._right, self._joined
+        queue = [turn + i for i, turn in enumerate(map(turn_of, map(_pair, symbols, symbols[1:]))) if turn is not None]
+        if not queue:
+            return array("i", symbols).tobytes()
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         heapify(queue)
         while queue:
-            rank, i = divmod(heappop(queue), _AT)
+            turn = heappop(queue)
+            i, rank = turn & _PLACE, turn >> 32
             j = after[i]
-            if j >= n or symbols[i] != left[rank] or symbols[j] != right[rank]:
+            if j == n or symbols[i] != left[rank] or symbols[j] != right[rank]:
                 continue
-            symbols[i], symbols[j] = self._joined[rank], -1
-            k = after[i] = after[j]
+            symbol = symbols[i] = joined[rank]
+            symbols[j] = -1
+            k, h = after[j], before[i]
+            after[i] = k
             if k < n:
                 before[k] = i
-                if (r := rank_of.get(symbols[i] * _AT + symbols[k])) is not None:
-                    heappush(queue, r * _AT + i)
-            h = before[i]
-            if h >= 0 and (r := rank_of.get(symbols[h] * _AT + symbols[i])) is not None:
-                heappush(queue, r * _AT + h)
+                if (turn := turn_of(symbol << 32 | symbols[k])) is not None:
+                    heappush(queue, turn + i)
+            if h >= 0 and (turn := turn_of(symbols[h] << 32 | symbol)) is not None:
+                heappush(queue, turn + h)
         return array("i", [s for s in symbols if s >= 0]).tobytes()
 
     def _plain(self, text: str) -> bytes:
@@ -93,14 +106,31 @@ class Bpe:
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids. Pieces never cross from one chunk to the next, so chunks are looked up one by one."""
-        first, *rest = text.split(" ")
+        first, *rest = chunks = text.split(" ")
+        coded = [self._first[first], *map(self._chunks.__getitem__, rest)]
         try:
-            return b"".join([self._first[first], *map(self._chunks.__getitem__, rest)])
-        except TypeError:  # a chunk that is None
-            return self._whole(text)
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
+            return b"".join(coded)
+        except TypeError:  # a chunk that is None: runs of these are cut as they stand, with the spaces before them
+            out, i = [], 0
+            while i < len(coded):
+                if coded[i] is not None:
+                    out.append(coded[i])
+                    i += 1
+                    continue
+                start = i
+                while i < len(coded) and coded[i] is None:
+                    i += 1
+                out.append(self._runs[("" if start == 0 else " ") + " ".join(chunks[start:i])])
+            return b"".join(out)
+
+    def decode(self, ids: pa.ListArray) -> list[str]:
+        """The text of each list of ids: their strings stand one after the other in one buffer, and the lists cut it."""
+        ends = ids.offsets.to_numpy()
+        strings = pc.take(self._names, ids.values.slice(ends[0], ends[-1] - ends[0]))
+        cuts = np.frombuffer(strings.buffers()[1], np.int64, len(strings) + 1, 8 * strings.offset)
+        joined, cuts = strings.buffers()[2], cuts[ends - ends[0]].tolist()
+        whole = memoryview(joined) if joined is not None else memoryview(b"")
+        return [str(whole[a:b], "utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +149,6 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         bpe = load(path)
         for rows, strings in slices(batches):
             ids = id_lists([bpe.encode(t) for t in strings])
-            decoded = [bpe.decode(i) for i in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column(0), ids, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), ids, pa.array(bpe.decode(ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     return texts(docs).mapInArrow(work, "doc_id bigint, ids array<int>, decoded string")
