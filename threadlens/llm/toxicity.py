@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +147,9 @@ class ToxicityModel:
 
     Terms that are commoner among toxic examples by six standard errors or more, and which five examples have, weigh as many
     times as much as they are errors apart; beginnings of words count only so. Every word counts.
+
+    The driver holds each vector once, and sends all of them once, for calibration and scoring (`sent`); every worker builds
+    the index from them.
     """
 
     def __init__(self, examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]], total: int, toxic: int, telling: np.ndarray):
@@ -159,11 +164,11 @@ class ToxicityModel:
             terms, counts = self.kept(terms, counts)
             g = grouped.setdefault(_digest(terms, counts), [0, 0, doc, terms, counts])
             g[0], g[1], g[2] = g[0] + 1, g[1] + label, min(g[2], doc)
-        seen = [g for g in grouped.values() if len(g[3])]
+        seen = [(*g, digest) for digest, g in grouped.items() if len(g[3])]
         none = np.zeros(0, np.int64)
         empty = grouped.get(_digest(none, none), [0, 0])
         self.without_terms = (empty[1] + self.base) / (empty[0] + 1)
-        seen.sort(key=lambda g: (g[1] / g[0], g[2]))
+        seen.sort(key=lambda g: (g[1] / g[0], g[5]))
         self.votes, self.toxic, self.doc = np.array([g[0] for g in seen], float), np.array([g[1] for g in seen], float), [g[2] for g in seen]
         starts = np.cumsum([0, *[len(g[3]) for g in seen]])
         self.terms, column = np.unique(np.concatenate([g[3] for g in seen] or [np.zeros(0, np.int64)]), return_inverse=True)
@@ -177,8 +182,23 @@ class ToxicityModel:
         counts = np.concatenate([g[4] for g in seen] or [np.zeros(0)])
         weights = (1 + np.log(counts)) * self.factor[column]
         norms = np.sqrt(np.bincount(np.repeat(np.arange(len(seen)), per_row), weights * weights, len(seen)))
-        self.place = {_digest(g[3], g[4]): i for i, g in enumerate(seen)}
-        self.index = BlockMaxIndex.of(np.concatenate([[0], np.cumsum(weights > 0)])[starts], column[weights > 0], (weights / np.repeat(norms, per_row))[weights > 0], len(self.terms))
+        weights /= np.repeat(norms, per_row)
+        used = weights > 0
+        self.place = {g[5]: i for i, g in enumerate(seen)}
+        self._vectors = np.concatenate([[0], np.cumsum(used)])[starts], column[used].astype(np.int32), weights[used].astype(np.float32)
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        return BlockMaxIndex.of(*self._vectors, len(self.terms))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "_sent")}
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """The model on the executors, sent at the first call; `steps` go with each task, as they are fitted later."""
+        if "_sent" not in self.__dict__:
+            self._sent = spark.sparkContext.broadcast(self)
+        return self._sent
 
     def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words and the telling beginnings."""
@@ -209,12 +229,12 @@ class ToxicityModel:
             weight, bad, left = weight + close, bad + close * bad_votes[i] / votes[i], left - n
         return bad / weight, [self.doc[i] for _, i in near[:3]]
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        """Calibrated chance of label 1 and up to three nearest examples as evidence."""
+    def score(self, terms: np.ndarray, counts: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
+        """Chance of label 1, calibrated by `steps`, and up to three nearest examples as evidence."""
         if not len(terms):
             return float(self.without_terms), []
         raw, evidence = self.raw(terms, counts)
-        return float(np.clip(np.interp(raw, *self.steps), 0.0, 1.0)), evidence
+        return float(np.clip(np.interp(raw, *steps), 0.0, 1.0)), evidence
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +290,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     if not len(model.votes):
         return model
 
+    shared = model.sent(docs.sparkSession)
+
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             rows = [(r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in batch.to_pylist() if r["terms"]]
             yield pa.RecordBatch.from_arrays([pa.array([label for label, _, _ in rows], pa.int32()), pa.array([model.raw(t, n, label)[0] for label, t, n in rows], pa.float64())], ["toxic", "raw"])
@@ -289,8 +312,10 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
     kept = df.drop("score", "evidence")
     fields = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.LongType()))])
 
+    shared, steps = model.sent(df.sparkSession), model.steps
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, scored = Memo(numbers_of, 100_000), {}
+        model, known, scored = shared.value, Memo(numbers_of, 100_000), {}
         for rows, strings in slices(batches):
             found = []
             for text in strings:
@@ -298,7 +323,7 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
                 if digest not in scored:
                     if len(scored) >= 200_000:
                         scored.clear()
-                    scored[digest] = model.score(*counts_of(text, known))
+                    scored[digest] = model.score(*counts_of(text, known), steps)
                 found.append(scored[digest])
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], [*rows.schema.names, "score", "evidence"]
