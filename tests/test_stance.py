@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from threadlens.operators import lexicons, sentiment
+from threadlens.operators import lexicon_scan, lexicons, sentiment
 from threadlens.operators.lexicons import Phrase
 from threadlens.operators.sentiment import Disambiguation
 
@@ -86,8 +86,8 @@ def _distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("strict", [True, False])
-def test_blocking_loses_no_fuzzy_match(spark, strict):
+@pytest.mark.parametrize("strict, spread", [(True, 0), (False, 0), (True, 1), (False, 1), (True, 2)])
+def test_blocking_loses_no_fuzzy_match(spark, strict, spread):
     """Blocked, unblocked and brute-force matches agree on texts with damaged phrases."""
     rng = random.Random(7)
     phrases = [Phrase(i, p, 0.5) for i, p in enumerate(["gun control", "voter id laws", "tax", "universal health care plan", "open borders"])]
@@ -100,8 +100,11 @@ def test_blocking_loses_no_fuzzy_match(spark, strict):
             chars[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "é", "ab"])
         texts.append((n, "".join(chars)))
     df = spark.createDataFrame(texts, "id int, body string")
-    out = lexicons.with_fuzzy_phrase(df, phrases, name="a", strict=strict)
-    out = lexicons.with_fuzzy_phrase(out, phrases, name="b", strict=strict, blocked=False)
+    out = lexicons.with_fuzzy_phrase(df, phrases, name="a", strict=strict, spread=spread)
+    out = lexicons.with_fuzzy_phrase(out, phrases, name="b", strict=strict, blocked=False, spread=spread)
+    table = spark.createDataFrame([(p.ordinal, p.phrase.upper().replace(" ", "  ")) for p in phrases[::-1]], "ordinal int, phrase string")
+    names = {p.phrase.upper().replace(" ", "  "): p.phrase for p in phrases}
+    out = lexicons.with_fuzzy_phrase(out, table, name="c", strict=strict, spread=spread, block=2)
     import regex
 
     hits = 0
@@ -109,13 +112,13 @@ def test_blocking_loses_no_fuzzy_match(spark, strict):
         words = regex.findall(r"[\p{L}\p{N}_]+", r.body.lower())
         want = None
         for p in phrases:
-            k = len(p.phrase.split())
-            sims = [100.0 * (1.0 - _distance(w, p.phrase) / max(len(w), len(p.phrase))) for w in (" ".join(words[i : i + k]) for i in range(len(words) - k + 1))]
+            counts = [k for k in range(len(p.phrase.split()) - spread, len(p.phrase.split()) + spread + 1) if k > 0]
+            sims = [100.0 * (1.0 - _distance(w, p.phrase) / max(len(w), len(p.phrase))) for k in counts for w in (" ".join(words[i : i + k]) for i in range(len(words) - k + 1))]
             if any(s > 80 if strict else s >= 80 for s in sims):
                 want = p.phrase
                 break
         hits += want is not None
-        assert r.a == r.b == want, r.body
+        assert r.a == r.b == want and names.get(r.c) == want, r.body
     assert 20 < hits < 150
 
 
@@ -169,3 +172,41 @@ def test_large_lexicons_are_joined_by_runs_of_words(spark):
     df = spark.createDataFrame(texts, "id int, body string")
     got = {r.id: r.phrase for r in lexicons.with_first_term(df, terms, (1, 2)).collect()}
     assert got == {1: "tax", 2: "law", 3: None, 4: None, 5: None, 6: None, 7: "tax"}
+
+
+def test_words_written_as_one_or_cut_in_two_are_met(spark):
+    df = spark.createDataFrame([(1, "a guncontrol law"), (2, "gun con trol"), (3, "gun"), (4, None), (5, "")], "id int, body string")
+    assert {r.id: r.phrase for r in lexicons.with_fuzzy_phrase(df, [LEFT]).collect()} == {1: LEFT.phrase, 2: LEFT.phrase, 3: None, 4: None, 5: None}
+    assert lexicons.with_fuzzy_phrase(df, [LEFT], spread=0).where("phrase is not null").count() == 0
+    assert lexicons.with_fuzzy_phrase(df, []).where("phrase is not null").count() == 0
+    assert {r.id: r.phrase for r in lexicons.with_fuzzy_phrase(df, [LEFT], threshold=10.0).collect()} == {1: LEFT.phrase, 2: LEFT.phrase, 3: LEFT.phrase, 4: None, 5: None}
+
+
+@pytest.mark.parametrize("boundary", [False, True])
+def test_substrings_of_large_lexicons(spark, monkeypatch, boundary):
+    """20,000 terms in blocks, some written in between, give what the inline form gives, without raising."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 4)))
+    terms = [(i, f"p{i}", f"{word().upper()}{' ' * (1 + i % 2)}{word()}" if i % 3 else f"{word()}{word()}{word()}") for i in range(20_000)]
+    texts = [(i, " ".join(word() for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(100, None), (101, ""), (102, "no hit"), (103, terms[19_999][2])]
+    df = spark.createDataFrame(texts, "id int, body string")
+    monkeypatch.setattr(lexicon_scan, "STAGED_BLOCKS", 3)
+    table = spark.createDataFrame(terms, "ordinal int, phrase string, term string").repartition(3)
+    got = {r.id: r.phrase for r in lexicons.with_first_substring(df, table, boundary=boundary, block=4000).collect()}
+    for i, text in texts:
+        hay = (text or "").lower()
+        hay = f" {' '.join(hay.split())} " if boundary else hay
+        want = next((p for _, p, t in terms if text is not None and (f" {' '.join(t.lower().split())} " if boundary else t.lower()) in hay), None)
+        assert got[i] == want
+    assert sum(p is not None for p in got.values()) > 20 and got[103] is not None
+    inline = df.withColumn("_hay", lexicons.haystack("body", boundary)).select("id", lexicons.first_hit("_hay", [([t], p) for _, p, t in terms[:200]], boundary).alias("phrase"))
+    few = lexicons.with_first_substring(df, table.where("ordinal < 200"), boundary=boundary).select("id", "phrase")
+    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_empty_and_missing_terms(spark):
+    df = spark.createDataFrame([(1, "law", "x"), (2, None, "y")], "id int, body string, phrase string")
+    terms = spark.createDataFrame([(3, "c", ""), (2, "b", None), (5, "d", "law"), (5, "a", "la")], "ordinal int, phrase string, term string")
+    assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms).collect()} == {1: "c", 2: None}
+    assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms.where("ordinal = 5")).collect()} == {1: "a", 2: None}
+    assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms.limit(0)).collect()} == {1: None, 2: None}

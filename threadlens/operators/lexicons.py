@@ -1,8 +1,9 @@
 """Matching of texts against ordered lexicon tables.
 
-Entity and phrase lexicons hold tens to hundreds of entries. They are read once (their size is checked) and
-become literal arrays inside the row expression, so matching needs no shuffle and keeps the entry order. For larger ones
-`with_first_term` joins the texts' runs of words with the lexicon.
+Entity and phrase lexicons of tens to hundreds of entries are read once (their size is checked) and become literals
+inside the row expression, so matching needs no shuffle and keeps the entry order. For lexicons of any size
+`with_first_substring` and `with_fuzzy_phrase` scan a text once for all entries of a block, and `with_first_term` joins the
+texts' runs of words with the lexicon.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import WORD_PATTERN, _col, ngrams, tokens
+from threadlens.operators.lexicon_scan import BLOCK_ENTRIES, PieceScanner, TermScanner, scanned, with_blocks
 from threadlens.session import written
 
 MAX_INLINE_ENTRIES = 5000
@@ -121,73 +124,69 @@ def _max_edits(length: int, threshold: float) -> int:
     return int(miss * length / (1.0 - miss) + 1e-9)
 
 
-def _pieces(phrase: str, count: int) -> list[str]:
-    """Cut the phrase into `count` pieces of nearly equal length."""
-    cuts = [len(phrase) * i // count for i in range(count + 1)]
-    return [phrase[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
+_NEAR = "array<struct<place:bigint,phrase:string,target:string,window:string>>"
+_NEAR_ARROW = pa.list_(pa.struct([("place", pa.int64()), ("phrase", pa.string()), ("target", pa.string()), ("window", pa.string())]))
 
 
 def with_fuzzy_phrase(
     df: DataFrame,
-    phrases: Sequence[Phrase],
+    phrases: Sequence[Phrase] | DataFrame,
     text: str = "body",
     name: str = "phrase",
     threshold: float = MIN_SIMILARITY,
     strict: bool = True,
     blocked: bool = True,
     loose_name: str | None = None,
+    spread: int = 1,
+    block: int = BLOCK_ENTRIES,
 ) -> DataFrame:
     """Add the first phrase in lexicon order that some run of the text's words resembles, else NULL.
 
     Similarity must exceed the threshold, or reach it when not `strict`; `loose_name` adds a second column for
-    the latter from the same windows.
+    the latter from the same windows. `phrases` may be a table (ordinal, phrase) of any size.
 
-    Windows have the phrase's own word count. A phrase is only compared when the text holds one of its pieces
-    unchanged: a window within k edits must contain at least one of any k+1 pieces, so nothing is lost
-    (`blocked=False` compares every window, for checks). Distances stop early at k edits. A text without a
-    window of the phrase's word count never matches. Words and windows are staged as columns, so each is
-    computed once per text.
+    Windows have the phrase's word count or up to `spread` words less or more, so that words written as one or cut in two
+    are met. One scan of a text finds the windows that hold an unchanged piece of any phrase near its place: a window
+    within k edits must hold one of k+1 pieces, so nothing is lost (`blocked=False` compares every window of about the
+    phrase's length, for checks), and the time hardly depends on the number of phrases. A text without words never
+    matches, a phrase without words neither.
     """
-    targets = [" ".join(p.phrase.lower().split()) for p in phrases]
-    edits = [_max_edits(len(t), threshold) for t in targets]
-    hints = [
-        reduce(or_, (F.col("_joined").contains(piece) for piece in _pieces(t, k + 1)))
-        if blocked and k < len(t) else F.col("_joined").isNotNull()
-        for t, k in zip(targets, edits)
-    ]
-    staged = df.withColumn("_words", tokens(text, WORD_PATTERN)).withColumn("_joined", F.array_join("_words", " "))
-    sizes = sorted({len(t.split()) for t in targets})
-    staged = staged.withColumns(
-        {
-            f"_windows_{n}": F.when(
-                reduce(or_, (h for h, t in zip(hints, targets) if len(t.split()) == n)),
-                F.array_distinct(ngrams(F.col("_words"), n)),
-            )
-            for n in sizes
-        }
-    )
+    if isinstance(phrases, DataFrame):
+        entries = phrases.where(F.col("phrase").isNotNull()).select("ordinal", "phrase", F.array_join(F.split(F.trim(F.lower("phrase")), r"\s+"), " ").alias("target"))
+    else:
+        entries = [(i, p.phrase, " ".join(p.phrase.lower().split())) for i, p in enumerate(phrases)]
+    names = [name, *([loose_name] if loose_name else [])]
+
+    def found(rows: list[tuple]) -> dict[str, Column]:
+        targets = [(place, phrase, target, _max_edits(len(target), threshold)) for place, phrase, target in rows]
+        near = scanned(_NEAR, _NEAR_ARROW, lambda: PieceScanner(targets, spread, not blocked), F.col("_joined"))
+        score = F.transform(near, lambda c: F.struct(c["place"].alias("place"), c["phrase"].alias("phrase"), similarity(c["window"], c["target"]).alias("score")))
 
-    def first(strictly: bool) -> Column:
-        out = F.when(F.lit(False), F.lit(None).cast("string"))
-        for p, target, k, hint in zip(phrases, targets, edits, hints):
-            windows = F.col(f"_windows_{len(target.split())}")
-            out = out.when(hint & F.exists(windows, _close(target, k, threshold, strictly)), p.phrase)
-        return out
+        def first(strictly: bool) -> Column:
+            reached = F.filter(F.col("_scored"), lambda c: c["score"] > threshold if strictly else c["score"] >= threshold)
+            return F.array_min(F.transform(reached, lambda c: F.struct(c["place"].alias("place"), c["phrase"].alias("phrase"))))["phrase"]
 
-    found = {name: first(strict)} | ({loose_name: first(False)} if loose_name else {})
-    return staged.withColumns(found).drop("_words", "_joined", *[f"_windows_{n}" for n in sizes])
+        return {"_scored": score, name: first(strict)} | ({loose_name: first(False)} if loose_name else {})
 
+    staged = df.drop(*names).withColumn("_joined", F.array_join(tokens(text, WORD_PATTERN), " "))
+    return with_blocks(staged, entries, found, names, block).drop("_joined")
 
-def _close(target: str, edits: int, threshold: float, strict: bool):
-    goal = F.lit(target)
 
-    def test(window: Column) -> Column:
-        score = similarity(window, goal)
-        reached = score > threshold if strict else score >= threshold
-        near = F.abs(F.length(window) - F.lit(len(target))) <= edits
-        return near & (F.levenshtein(window, goal, edits) >= 0) & reached
+def with_first_substring(
+    df: DataFrame, terms: DataFrame, text: str = "body", name: str = "phrase", boundary: bool = False, block: int = BLOCK_ENTRIES
+) -> DataFrame:
+    """Add the phrase of the first term, by ordinal, that the text holds as a substring (with `boundary` as words), else NULL.
 
-    return test
+    `terms` has (ordinal, phrase, term), as from `expand_synonyms`, and may be of any size: the same result as `first_phrase`,
+    from one scan of a text for all terms of a block. Case does not matter. NULL text gives NULL, an empty term is in
+    every text, NULL terms are left out; equal ordinals go by phrase.
+    """
+    term = F.lower("term")
+    if boundary:
+        term = F.concat(F.lit(" "), F.array_join(F.split(F.trim(term), r"\s+"), " "), F.lit(" "))
+    entries = terms.where("term is not null").select("ordinal", "phrase", term.alias("term"))
+    found = lambda rows: {name: scanned("string", pa.string(), lambda: TermScanner(rows), F.col("_hay"))}
+    return with_blocks(df.drop(name).withColumn("_hay", haystack(text, boundary)), entries, found, [name], block).drop("_hay")
 
 
 def phrase_shift(phrase: Column | str, phrases: Sequence[Phrase]) -> Column:

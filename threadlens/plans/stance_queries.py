@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.functions.text import concat_lenient, strip
+from threadlens.functions.text import WORD_PATTERN, concat_lenient, ngrams, strip, tokens
 from threadlens.operators import ingest, lexicons, sentiment
 from threadlens.plans import datasets as ds
 from threadlens.plans.registry import query
@@ -149,10 +149,11 @@ def synonym_match_joined(spark, sf_dir):
     return lexicons.with_first_term(ds.document_activity(spark, sf_dir), terms, (2,)).select("id", "phrase")
 
 
-_WINDOWS = r"""win AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS win
+_WINDOWS = r"""win AS (SELECT DISTINCT id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS win
     FROM (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents))"""
 _FUZZY = f"""sim AS (SELECT win, ordinal, phrase, 100.0::DOUBLE * (1.0::DOUBLE - levenshtein(win, phrase)::DOUBLE / greatest(length(win), length(phrase))) AS score
-    FROM (SELECT DISTINCT win FROM win WHERE abs(length(win) - 6) <= 3), {ds.sql_values(ds.PHRASES)} AS p(ordinal, phrase, shift)),
+    FROM (SELECT DISTINCT win FROM win WHERE length(win) BETWEEN 3 AND 11), {ds.sql_values(ds.PHRASES)} AS p(ordinal, phrase, shift)),
     strict AS (SELECT id, arg_min(phrase, ordinal) AS phrase FROM win JOIN sim USING (win) WHERE score > 80 GROUP BY 1),
     loose AS (SELECT id, arg_min(phrase, ordinal) AS phrase FROM win JOIN sim USING (win) WHERE score >= 80 GROUP BY 1)"""
 
@@ -168,6 +169,45 @@ def fuzzy_policy_match(spark, sf_dir):
     return rows.select("id", "strict_phrase", "loose_phrase")
 
 
+_OPENINGS = r"""openings AS (SELECT item_id AS ordinal, ws[1] || ' ' || ws[2] || ' ' || ws[3] AS phrase
+    FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM benchmark) WHERE len(ws) >= 3)"""
+_RUNS = r"""w AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents),
+    win AS (SELECT DISTINCT id, unnest(list_concat(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]),
+    list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]))) AS win FROM w)"""
+
+
+@query(
+    "fuzzy_lexicon_match",
+    f"""WITH {_OPENINGS}, {_RUNS}, near AS (SELECT win, ordinal, phrase FROM (SELECT DISTINCT win FROM win) JOIN openings
+      ON length(win) BETWEEN length(phrase) * 3 // 4 AND length(phrase) * 5 // 4
+      WHERE 100.0::DOUBLE * (1.0::DOUBLE - levenshtein(win, phrase)::DOUBLE / greatest(length(win), length(phrase))) > 80),
+    hit AS (SELECT id, arg_min(phrase, (ordinal, phrase)) AS phrase FROM win JOIN near USING (win) GROUP BY 1)
+    SELECT d.doc_id AS id, phrase FROM documents d LEFT JOIN hit ON hit.id = d.doc_id""",
+)
+def fuzzy_lexicon_match(spark, sf_dir):
+    """The first benchmark item whose three opening words a run of the document's words resembles; the lexicon is a table."""
+    words = F.slice(tokens("text", WORD_PATTERN), 1, 3)
+    openings = ds.table(spark, sf_dir, "benchmark").where(F.size(words) == 3).select(F.col("item_id").alias("ordinal"), F.array_join(words, " ").alias("phrase"))
+    return lexicons.with_fuzzy_phrase(ds.document_activity(spark, sf_dir), openings).select("id", "phrase")
+
+
+_PAIRS = r"""pairs AS (SELECT item_id AS ordinal, 'item ' || item_id AS phrase, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS term
+    FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{4,}') AS ws FROM benchmark))"""
+
+
+@query(
+    "substring_lexicon_match",
+    f"""WITH {_PAIRS}, hit AS (SELECT doc_id AS id, arg_min(phrase, ordinal) AS phrase FROM documents JOIN (SELECT DISTINCT * FROM pairs) ON contains(lower(text), term) GROUP BY 1)
+    SELECT d.doc_id AS id, phrase FROM documents d LEFT JOIN hit ON hit.id = d.doc_id""",
+)
+def substring_lexicon_match(spark, sf_dir):
+    """The first benchmark item of which the document holds two long words in a row, as a substring; thousands of terms."""
+    runs = ngrams(tokens("text", r"[\p{L}\p{N}_]{4,}"), 2)
+    terms = ds.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ordinal"), F.concat(F.lit("item "), F.col("item_id")).alias("phrase"), F.explode(runs).alias("term"))
+    return lexicons.with_first_substring(ds.document_activity(spark, sf_dir), terms).select("id", "phrase")
+
+
 _CASES = f"""WITH {_WINDOWS}, {_FUZZY}, s AS (SELECT x.*, {_group_sql('lower(body)', False)} IS NOT NULL AS hit,
       coalesce({_first_phrase_sql()}, l.phrase) AS similar_phrase,
       coalesce(p.shift, 0) * CASE WHEN label = 'POSITIVE' THEN 1 ELSE -1 END AS shift
