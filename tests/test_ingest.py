@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from threadlens import schemas
 from threadlens.operators import filters, ingest, ranking, sampling
 from threadlens.plans import workflows
-from threadlens.sources import read_csv, read_parquet, write_csv, write_parquet
+from threadlens.sources import read_csv, read_parquet, read_two_row_csv, write_csv, write_parquet, write_two_row_csv
+from threadlens.sources.writers import header_pairs
 
 
 def test_removal_marker_and_missing_text(spark):
@@ -66,6 +67,16 @@ def test_rebalance_keeps_changed_rows(spark):
         sampling.rebalance(df.where("id >= 40"), share=0.9).count()
 
 
+def test_exact_sample_with_repeated_and_missing_keys(spark):
+    """Ties on the edge give exactly n rows, whatever n is."""
+    df = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(200)], "id int, x int")
+    for n in (0, 1, 39, 40, 41, 57, 199, 200):
+        assert sampling.exact_sample(df, n).count() == n
+    assert sampling.exact_sample(df.limit(0), 0).count() == 0
+    with pytest.raises(Exception, match="larger than its pool"):
+        sampling.exact_sample(spark.range(9).where("id > 10"), 1).count()
+
+
 def test_half_sample_keeps_rows_without_a_score(spark):
     df = spark.createDataFrame([(1, None, None), (2, 0.5, None), (3, 0.1, 0.2)], "id int, sentiment double, shifted double")
     assert sampling.keep_share_of_unchanged(df).count() == 3
@@ -142,3 +153,24 @@ def test_pushdown_reaches_the_scan(spark, plan):
     rows = ds.event_activity(spark, "/root/testdata/sf0.001").where("subreddit = 'click'").select("id", "score")
     text = plan(rows)
     assert "EqualTo(event_type,click)" in text and "props" not in text.split("ReadSchema")[1]
+
+
+def test_two_header_rows_round_trip(spark, tmp_path):
+    """A file in the published shape, and odd names and values over several files."""
+    (tmp_path / "given.csv").write_text("political_leaning,score,score,score\n,mean,sum,max\nDemocratic,138.5,85424.25,29182.0\nNeutral,48.25,,10657.0\n")
+    given = read_two_row_csv(spark, str(tmp_path / "given.csv"))
+    assert given.schema.simpleString() == "struct<political_leaning:string,score:struct<mean:double,sum:double,max:double>>"
+    assert [(r.political_leaning, *r.score) for r in given.collect()] == [("Democratic", 138.5, 85424.25, 29182.0), ("Neutral", 48.25, None, 10657.0)]
+    rows = [("a,b", (1.5, 2), 3.0), (' said "x"\nand y ', (None, 7), None), (None, (0.0, None), 1.0), ("name", (9.0, 1), 2.0)] * 5
+    df = spark.createDataFrame(rows, "`key, one` string, m struct<x:double,`n 2`:int>, z double").repartition(3)
+    assert header_pairs(df) == [("key, one", ""), ("m", "x"), ("m", "n 2"), ("z", "")]
+    write_two_row_csv(df, str(tmp_path / "out"))
+    back = read_two_row_csv(spark, str(tmp_path / "out"), {"m.n 2": "int", "z": "double"})
+    assert back.dtypes == df.dtypes and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_csv_without_line_ends_in_fields_is_split(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id", "concat('a, ', id) AS x")
+    write_csv(df, str(tmp_path / "t"), files=1)
+    back = read_csv(spark, str(tmp_path / "t"), df.schema, multi_line=False)
+    assert sorted(back.collect()) == sorted(df.collect())

@@ -210,3 +210,27 @@ def test_empty_and_missing_terms(spark):
     assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms).collect()} == {1: "c", 2: None}
     assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms.where("ordinal = 5")).collect()} == {1: "a", 2: None}
     assert {r.id: r.phrase for r in lexicons.with_first_substring(df, terms.limit(0)).collect()} == {1: None, 2: None}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_negations_and_boosters(spark, seed):
+    """Against a plain walk over the words, with several boosters and negations in reach, at the start, and in a long text."""
+    rng = random.Random(seed)
+    words = ["good", "bad", "not", "never", "very", "slightly", "x", "zero"]
+    valence = {"good": 1.9, "bad": -2.5, "zero": 0.0, "never": 0.5}
+    texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(100, None), (101, "Not very GOOD"), (102, "not " * 3000 + "good")]
+    lexicon = spark.createDataFrame(list(valence.items()), "word string, valence double")
+    got = {r.id: r.polarity for r in sentiment.rule_polarity(spark.createDataFrame(texts, "id int, body string"), lexicon).collect()}
+    steps = dict(sentiment.BOOSTERS)
+    for i, text in texts:
+        total, ws = 0.0, (text or "").lower().split()
+        for at, w in enumerate(ws):
+            v = valence.get(w, 0.0)
+            if v:
+                before = [(ws[at - d - 1], sentiment.FADE[d]) for d in range(sentiment.REACH) if at - d - 1 >= 0]
+                v += (1 if v > 0 else -1) * sum(sentiment.BOOST * steps.get(b, 0) * f for b, f in before)
+                for b, _ in before:
+                    v *= sentiment.NEGATED if b in sentiment.NEGATIONS else 1
+            total += v
+        assert got[i] == (None if text is None else pytest.approx(total / (total * total + 15) ** 0.5))
+    assert got[101] < 0 and sentiment.rule_polarity(spark.createDataFrame(texts[:2], "id int, body string"), lexicon.limit(0)).where("polarity = 0").count() == 2

@@ -21,6 +21,10 @@ def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
+#: Blocks of groups whose pairs are formed apart.
+PAIR_BLOCKS = 16
+
+
 def _anova_parts(moments: DataFrame) -> DataFrame:
     """Between and within sums of squares with their degrees of freedom, one row."""
     # sum n*mean^2 - N*grand^2 loses digits; the weighted variance of the means does not.
@@ -49,20 +53,22 @@ def anova(df: DataFrame, group: str, value: str, p_value: bool = True) -> DataFr
 def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05, p_value: bool = True) -> DataFrame:
     """All pairs of group means: group1, group2, meandiff, q_stat and, with `p_value`, p_adj, lower, upper, reject.
 
-    Pairs come from joining each group's place to the places after it by equality.
+    Pairs come from the moments of the groups, which are dealt into `PAIR_BLOCKS` blocks: each two blocks meet in one cell of
+    a grid by an equi-join, and of each two groups there the smaller name comes first. No task sees all groups.
     """
     moments = written(group_moments(df, group, value), "moments")
     parts = _anova_parts(moments)
     error, dof = parts.select(F.try_divide("ss_within", "df_within")).scalar(), parts.select("df_within").scalar()
-    placed = moments.withColumn("place", F.row_number().over(Window.orderBy("grp")))
-    count = placed.agg(F.count("*").alias("k")).select("k").scalar()
-    left = placed.withColumn("k", count).where(F.col("place") < F.col("k"))
-    left = left.withColumn("other", F.explode(F.sequence(F.col("place") + 1, F.col("k"))))
-    right = placed.select(
-        F.col("place").alias("other"), F.col("grp").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("mean2")
+    count = moments.agg(F.count("*").alias("k")).select("k").scalar()
+    block = F.pmod(F.xxhash64("grp"), F.lit(PAIR_BLOCKS)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(PAIR_BLOCKS - 1))
+    left = moments.withColumn("cell", F.explode(F.transform(every, lambda other: block * PAIR_BLOCKS + other))).withColumn("k", count)
+    right = moments.select(
+        F.explode(F.transform(every, lambda other: other * PAIR_BLOCKS + block)).alias("cell"),
+        F.col("grp").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("mean2"),
     )
     spread_ = F.sqrt(error / 2 * (1 / F.col("n") + 1 / F.col("n2")))
-    pairs = left.join(right, "other").select(
+    pairs = left.join(right, "cell").where(F.col("grp") < F.col("group2")).select(
         F.col("grp").alias("group1"), "group2", (F.col("mean2") - F.col("mean")).alias("meandiff"),
         F.try_divide(F.abs(F.col("mean2") - F.col("mean")), spread_).alias("q_stat"), spread_.alias("_spread"), "k",
         dof.alias("_dof"),

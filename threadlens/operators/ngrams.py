@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import TOKEN_PATTERN, drop_words, ngram_range, tokens
+from threadlens.operators.lexicons import lexicon_rows
 from threadlens.operators.ranking import top_per_group
 from threadlens.session import written
 
 
+def default_stopwords(language: str = "english") -> list[str]:
+    """Spark's own list of a language (needs a running session)."""
+    return StopWordsRemover.loadDefaultStopWords(language)
+
+
+def stopwords_from(table: DataFrame) -> list[str]:
+    """The distinct words of a stopword table (`schemas.STOPWORDS`), in lower case; its size is checked."""
+    return [r.word for r in lexicon_rows(table.select(F.lower("word").alias("word")).dropna().distinct(), "word")]
+
+
 def document_terms(
     df: DataFrame,
     text: str = "body",

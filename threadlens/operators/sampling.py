@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.buckets import differs, same
@@ -14,12 +14,9 @@ def fraction_sample(df: DataFrame, fraction: float, key: str = "id", seed: int =
     return df.where(below_fraction(key, fraction, seed))
 
 
-def exact_sample(df: DataFrame, n: int | Column, key: str = "id", seed: int = 42, pool: DataFrame | None = None) -> DataFrame:
-    """Exactly n rows; fails when there are fewer. `n` may be an integer column over scalars of the table."""
-    size = (pool if pool is not None else df).agg(F.count("*").alias("n")).select("n").scalar()
-    wanted = F.lit(n) if isinstance(n, int) else n
-    checked = F.when(wanted <= size, wanted).otherwise(F.raise_error(F.lit("sample is larger than its pool")).cast("bigint"))
-    return smallest_by_hash(df, key, checked, seed)
+def exact_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataFrame:
+    """Exactly n rows; fails when there are fewer."""
+    return smallest_by_hash(df, key, lambda rows, pool: F.lit(n).cast("bigint"), seed)
 
 
 def sample_per_group(df: DataFrame, column: str, n: int, key: str = "id", seed: int = 42) -> DataFrame:
@@ -45,10 +42,7 @@ def rebalance(
     The base is the input's row count, so unshifted rows end up above `share` of the result; fails when
     there are too few of them.
     """
-    total = df.agg(F.count("*").alias("n")).select("n").scalar()
-    wanted = F.floor(F.lit(share) * total)
-    unchanged = exact_sample(df.where(same(shifted, sentiment)), wanted, key, seed)
-    return unchanged.unionByName(df.where(differs(shifted, sentiment)))
+    return smallest_by_hash(df, key, lambda rows, pool: F.floor(F.lit(share) * rows), seed, same(shifted, sentiment))
 
 
 def shuffled(df: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:

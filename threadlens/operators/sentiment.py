@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.buckets import clamp, signed_magnitude
-from threadlens.functions.text import TOKEN_PATTERN, _col, tokens
+from threadlens.functions.text import TOKEN_PATTERN, WORD_PATTERN, _col, tokens
 from threadlens.operators.lexicons import (
-    MAX_INLINE_ENTRIES, Phrase, first_entity_group, first_phrase, haystack, holds, phrase_shift, with_fuzzy_phrase,
+    MAX_INLINE_ENTRIES, Phrase, first_entity_group, first_phrase, haystack, holds, lexicon_rows, phrase_shift, with_fuzzy_phrase,
 )
 from threadlens.session import written
 
@@ -80,6 +80,59 @@ def lexicon_polarity(
     return scored.withColumn(name, compound(total)).drop("_valence")
 
 
+#: Fixed values of the public rule-based method: the share of its valence that a negated word keeps, what a booster adds to
+#: it, and how much of that is left at one, two and three words' distance.
+NEGATED, BOOST, FADE, REACH = -0.74, 0.293, (1.0, 0.95, 0.9), 3
+NEGATIONS = ("not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "cannot", "without", "hardly", "rarely")
+BOOSTERS = (
+    ("very", 1), ("really", 1), ("extremely", 1), ("absolutely", 1), ("completely", 1), ("totally", 1), ("so", 1), ("most", 1),
+    ("slightly", -1), ("somewhat", -1), ("barely", -1), ("partly", -1), ("almost", -1), ("little", -1),
+)
+
+
+def rule_valence_sum(
+    text: Column | str, entries: Sequence[tuple[str, float]], negations: Sequence[str] = NEGATIONS, boosters: Sequence[tuple[str, int]] = BOOSTERS
+) -> Column:
+    """Summed valence of the text's words under negations and boosters; NULL for NULL text.
+
+    A listed word is strengthened (towards its own sign) or weakened by each booster among the `REACH` words before it, the
+    less the farther away, and turned around by each negation there. Boosters and negations have no valence of their own
+    unless they are listed. One fold over the words carries what the last few were, so a text of any length takes one pass.
+    """
+
+    def literal(pairs: Sequence[tuple[str, float]]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in pairs for x in pair]) if pairs else F.create_map().cast("map<string,double>")
+
+    valences, steps = literal([(w, float(v)) for w, v in entries]), literal([(w, BOOST * s) for w, s in boosters])
+    none = F.struct(F.lit(0.0).alias("boost"), F.lit(False).alias("negates"))
+    start = F.struct(F.lit(0.0).alias("total"), *[none.alias(f"back{i}") for i in range(REACH)])
+
+    def fold(state: Column, word: Column) -> Column:
+        value = F.try_element_at(valences, word)
+        here = F.struct(F.coalesce(F.try_element_at(steps, word), F.lit(0.0)).alias("boost"), word.isin(list(negations)).alias("negates"))
+        boost = F.lit(0.0)
+        turned = F.lit(1.0)
+        for i in range(REACH):
+            back = state[f"back{i}"]
+            boost = boost + back["boost"] * FADE[i]
+            turned = turned * F.when(back["negates"], NEGATED).otherwise(1.0)
+        total = state["total"] + F.when(value.isNull() | (value == 0.0), 0.0).otherwise((value + F.signum(value) * boost) * turned)
+        return F.struct(total.alias("total"), here.alias("back0"), *[state[f"back{i}"].alias(f"back{i + 1}") for i in range(REACH - 1)])
+
+    summed = F.aggregate(tokens(text, WORD_PATTERN), start, fold, lambda state: state["total"])
+    return F.when(_col(text).isNotNull(), summed)
+
+
+def rule_polarity(
+    df: DataFrame, lexicon: DataFrame, text: str = "body", name: str = "polarity",
+    negations: Sequence[str] = NEGATIONS, boosters: Sequence[tuple[str, int]] = BOOSTERS,
+) -> DataFrame:
+    """Add the polarity of the text with negations and boosters; fails for lexicons above `MAX_INLINE_ENTRIES`."""
+    lexicon = lexicon.select("word", "valence").dropna().groupBy("word").agg(F.sum("valence").alias("valence"))
+    entries = [(r.word, r.valence) for r in lexicon_rows(lexicon, "word")]
+    return df.withColumn(name, compound(rule_valence_sum(text, entries, negations, boosters)))
+
+
 # --- label providers: each adds a POSITIVE / NEGATIVE column --------------------------------------------------
 
 

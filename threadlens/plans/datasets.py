@@ -25,7 +25,8 @@ SYNONYMS = (("of the", "to of"), ("de la", "la_la"))
 VALENCES = (
     ("with", 1.0), ("from", 2.0), ("que", 3.0), ("und", 1.0), ("was", -1.0), ("are", -2.0), ("des", -3.0), ("den", -1.0)
 )
-
+NEGATIONS = ("the", "la", "der")
+BOOSTERS = (("of", 1), ("to", 1), ("de", -1), ("in", -1), ("with", 1))
 
 TEXT_TABLES = ("documents", "conversations")
 

@@ -14,7 +14,9 @@ from threadlens.operators.ranking import head_and_rest
 from threadlens.plans import datasets as ds
 from threadlens.plans.registry import query
 from threadlens.session import shared_path
-from threadlens.sources import read_csv, read_json, read_parquet, write_csv, write_json_gzip, write_parquet
+from threadlens.sources import (
+    read_csv, read_json, read_parquet, read_two_row_csv, write_csv, write_json_gzip, write_parquet, write_two_row_csv,
+)
 
 RAW_COMMENTS = """SELECT CAST(user_id AS VARCHAR) AS author, CAST(event_id AS VARCHAR) AS id, props AS body,
     event_type AS subreddit, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
@@ -124,6 +126,25 @@ def engagement_csv(spark, sf_dir):
     )
 
 
+@query(
+    "engagement_two_row_csv",
+    f"""SELECT CASE WHEN shifted > 0 THEN 'Republican' WHEN shifted < 0 THEN 'Democratic' ELSE 'Neutral' END AS political_leaning,
+    round(avg(score), 6) AS score_mean, round(sum(score), 4) AS score_sum, max(score) AS score_max
+    FROM (SELECT author, avg(shifted) AS shifted, avg(score) AS score FROM ({ds.SCORED_EVENTS}) GROUP BY ALL) GROUP BY 1""",
+)
+def engagement_two_row_csv(spark, sf_dir):
+    """The same summary as one nested column, written under a header of two rows and read back into a nested column."""
+    authors = aggregates.group_means(ds.scored_events(spark, sf_dir), ["author"], ["shifted", "score"])
+    summary = aggregates.score_summary(authors.withColumn("political_leaning", leaning("shifted")), "political_leaning")
+    nested = summary.select("political_leaning", F.struct(*[F.col(f"score_{s}").alias(s) for s in ("mean", "sum", "max")]).alias("score"))
+    path = shared_path(spark, "engagement-two-row-csv")
+    write_two_row_csv(nested, path)
+    back = read_two_row_csv(spark, path)
+    return back.select(
+        "political_leaning", F.round("score.mean", 6).alias("score_mean"), F.round("score.sum", 4).alias("score_sum"), F.col("score.max").alias("score_max")
+    )
+
+
 @query(
     "converted_activity",
     """SELECT CAST(event_id AS VARCHAR) AS id, CAST(substr(props, 1, 512) AS VARCHAR) AS body,

@@ -14,7 +14,7 @@ from threadlens.operators.models.features import numeric_columns, reduced_text
 from threadlens.plans import datasets as ds
 from threadlens.plans import text_queries, workflows
 from threadlens.plans.registry import query
-from threadlens.session import written
+from threadlens.session import shared_path, written
 
 _SEVEN = ["sentiment_mean", "most_common_hour", *[f"avg_score_{c}" for c in ds.EVENT_TYPES]]
 
@@ -137,6 +137,12 @@ def gbt_ovr_score(spark, sf_dir):
     return _score_model(spark, sf_dir).predictions("boosting")
 
 
+@query("rf_predictions_written")
+def rf_predictions_written(spark, sf_dir):
+    """Labels for the unlabelled posts from the forest, through the sink."""
+    return _score_model(spark, sf_dir).write_predictions(shared_path(spark, "predictions"), "forest")
+
+
 @query("mlp_score")
 def mlp_score(spark, sf_dir):
     return _score_model(spark, sf_dir, scale=True).accuracies(["network"])

@@ -34,6 +34,28 @@ def lexicon_polarity_joined(spark, sf_dir):
     return rows.select("id", F.round("polarity", 8).alias("polarity"))
 
 
+def _rule_sql() -> str:
+    """Words with their three predecessors; the same arithmetic as in the fold."""
+    negated = ", ".join(f"'{w}'" for w in ds.NEGATIONS)
+    steps = " ".join(f"WHEN '{w}' THEN {sentiment.BOOST * s!r}::DOUBLE" for w, s in ds.BOOSTERS)
+    boost = " + ".join(f"CASE b{i} {steps} ELSE 0.0::DOUBLE END * {f!r}::DOUBLE" for i, f in enumerate(sentiment.FADE))
+    turned = " * ".join(f"CASE WHEN b{i} IN ({negated}) THEN {sentiment.NEGATED!r}::DOUBLE ELSE 1.0::DOUBLE END" for i in range(sentiment.REACH))
+    lags = ", ".join(f"lag(word, {i + 1}) OVER (PARTITION BY id ORDER BY place) AS b{i}" for i in range(sentiment.REACH))
+    return rf"""WITH w AS (SELECT id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place
+      FROM (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS ws FROM documents)),
+    near AS (SELECT id, word, {lags} FROM w),
+    s AS (SELECT id, sum((valence + sign(valence) * ({boost})) * ({turned})) AS s FROM near JOIN {ds.sql_values(ds.VALENCES)} AS x(word, valence) USING (word) GROUP BY 1)
+    SELECT d.doc_id AS id, round(CASE WHEN text IS NOT NULL THEN coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15) END, 8) AS polarity
+    FROM documents d LEFT JOIN s ON s.id = d.doc_id"""
+
+
+@query("rule_polarity", _rule_sql())
+def rule_polarity(spark, sf_dir):
+    """Polarity with negations and boosters among the three words before a listed word."""
+    rows = sentiment.rule_polarity(ds.document_activity(spark, sf_dir), ds.valence_lexicon(spark), negations=ds.NEGATIONS, boosters=ds.BOOSTERS)
+    return rows.select("id", F.round("polarity", 8).alias("polarity"))
+
+
 @query("combined_sentiment", f"SELECT id, label, round(sentiment, 8) AS sentiment FROM ({SENTIMENT})")
 def combined_sentiment(spark, sf_dir):
     return scored_documents(spark, sf_dir).select("id", "label", F.round("sentiment", 8).alias("sentiment"))

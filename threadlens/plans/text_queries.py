@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from threadlens.functions.text import tokens
 from threadlens.operators import aggregates, ngrams
 from threadlens.plans import datasets as ds
 from threadlens.plans.registry import query
@@ -43,6 +44,21 @@ def token_counts(spark, sf_dir):
     return ngrams.ngram_counts(ngrams.document_terms(rows, stopwords=ds.STOPWORDS, low=1, high=1))
 
 
+@query(
+    "stopword_table_counts",
+    r"""WITH b AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS word FROM benchmark),
+    stop AS (SELECT word FROM b GROUP BY 1 ORDER BY count(*) DESC, word LIMIT 40),
+    t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS ngram FROM documents)
+    SELECT ngram, count(*) AS tf, count(DISTINCT doc_id) AS df FROM t WHERE ngram NOT IN (SELECT word FROM stop) GROUP BY 1""",
+)
+def stopword_table_counts(spark, sf_dir):
+    """Words of the documents without those of a stopword table, here the 40 commonest words of the benchmark."""
+    words = ds.table(spark, sf_dir, "benchmark").select(F.explode(tokens("text")).alias("word"))
+    table = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(40).select("word")
+    terms = ngrams.document_terms(ds.document_activity(spark, sf_dir), stopwords=ngrams.stopwords_from(table), low=1, high=1)
+    return ngrams.ngram_counts(terms)
+
+
 @query("ngram_counts", f"WITH {_grams_sql(ds.DOCUMENT_ACTIVITY, 'id')} SELECT ngram, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM tf GROUP BY 1")
 def ngram_counts(spark, sf_dir):
     return ngrams.ngram_counts(document_terms(spark, sf_dir))

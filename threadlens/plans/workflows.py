@@ -16,7 +16,7 @@ from threadlens.operators.models.features import MixedFeatures
 from threadlens.operators.ranking import head_and_rest
 from threadlens.plans import datasets as ds
 from threadlens.session import written
-from threadlens.sources import write_parquet
+from threadlens.sources import read_parquet, write_parquet
 
 MAX_SCORE = 500
 
@@ -110,6 +110,11 @@ class ScorePrediction:
         """Predicted class of every unlabelled post."""
         return self.fit(kind, **options).predict(self.unlabelled).select("id", F.col("predicted").alias("prediction"))
 
+    def write_predictions(self, path: str, kind: str = "boosting", **options) -> DataFrame:
+        """The predictions, written as parquet and read back."""
+        write_parquet(self.predictions(kind, **options), path)
+        return read_parquet(self.spark, path)
+
     def misclassified(self, kind: str = "forest") -> DataFrame:
         scored = self.fit(kind).predict(self.valid)
         return filters.misclassified(
