@@ -202,7 +202,10 @@ class ToxicityModel:
 
     def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words and the telling beginnings."""
-        keep = (terms & 1 == 0) | np.isin(terms, self.telling)
+        keep = terms & 1 == 0
+        if len(self.telling):  # rising, like the terms
+            at = np.minimum(np.searchsorted(self.telling, terms), len(self.telling) - 1)
+            keep |= self.telling[at] == terms
         return terms[keep], counts[keep].astype(np.int32)
 
     def raw(self, terms: np.ndarray, counts: np.ndarray, own: int | None = None) -> tuple[float, list[int]]:
