@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadlens.operators import aggregates, trends
+from threadlens.operators import smoothing
 from threadlens.operators.smoothing import _smooth, lowess
 
 ELECTION = dt.date(2016, 11, 8)
@@ -65,6 +66,37 @@ def test_lowess_keeps_a_line_and_resists_an_outlier(spark):
     assert len(out) == 31 and all(r.smoothed == pytest.approx(2 * r.week) for r in out if r.subreddit == "a")
 
 
+def _plain_lowess(x, y, frac, passes):
+    """Every point against all others, one by one."""
+    n = len(x)
+    k = min(n, max(int(frac * n + 1e-10), 2))
+    robust, fit = np.ones(n), y.copy()
+    for step in range(passes + 1):
+        for i in range(n):
+            gap = np.abs(x - x[i])
+            w = np.clip(1 - (gap / np.sort(gap)[k - 1]) ** 3, 0, None) ** 3 * robust
+            mx, my = w @ x / w.sum(), w @ y / w.sum()
+            spread = w @ (x - mx) ** 2
+            fit[i] = my + (w @ ((x - mx) * (y - my)) / spread if spread > 1e-12 else 0.0) * (x[i] - mx)
+        if step < passes:
+            apart = np.abs(y - fit)
+            robust = np.clip(1 - ((y - fit) / (6 * np.median(apart))) ** 2, 0, None) ** 2
+    return fit
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lowess_equals_a_plain_walk(seed, monkeypatch):
+    """Uneven places, far from zero, few and many points, windows in several chunks."""
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(smoothing, "CHUNK_CELLS", 500)
+    for n in (2, 3, 7, 60, 300):
+        x = np.sort(rng.choice(10 * n, n, replace=False)).astype(float) ** (1 + seed % 2) + 1e6 * (seed > 3)
+        y = np.cumsum(rng.normal(size=n)) + rng.normal(size=n)
+        for frac, passes in ((0.2, 0), (0.5, 2 if n > 10 else 0), (1.0, 1 if n > 10 else 0)):
+            assert np.allclose(_smooth(x, y, frac, passes), _plain_lowess(x, y, frac, passes), atol=1e-6)
+    assert len(_smooth(np.zeros(0), np.zeros(0), 0.2, 3)) == 0 and np.allclose(_smooth(np.ones(4), np.arange(4.0), 1.0, 0), 1.5)
+
+
 def test_mode_hour_ties_take_the_smaller_hour(spark):
     rows = [("a", f"2016-01-01 {h:02d}:00:00") for h in (5, 9, 9, 5, 1)] + [("b", None)]
     df = spark.createDataFrame(rows, "author string, t string").withColumn("created_ts", F.to_timestamp("t"))

@@ -94,3 +94,22 @@ def activity_timeline(spark, sf_dir):
 @query("lowess_by_community")
 def lowess_by_community(spark, sf_dir):
     return lowess(trends.activity_by_week(weekly(spark, sf_dir)))
+
+
+_DAYS = "SELECT subreddit AS g, CAST(datediff('day', DATE '2024-01-20', CAST(created_ts AS DATE)) AS INT) AS x, count(*) AS y FROM ({}) GROUP BY ALL"
+
+
+@query(
+    "lowess_by_day",
+    f"""WITH p AS ({_DAYS.format(ds.EVENT_ACTIVITY)}), n AS (SELECT g, greatest(CAST(floor(0.2 * count(*) + 1e-10) AS INT), 2) AS k FROM p GROUP BY 1),
+    pairs AS (SELECT a.g, a.x, b.x - a.x AS d, b.y, k, row_number() OVER (PARTITION BY a.g, a.x ORDER BY abs(b.x - a.x)) AS place FROM p a JOIN p b ON a.g = b.g JOIN n ON n.g = a.g),
+    reach AS (SELECT g, x, abs(d) AS far FROM pairs WHERE place = k),
+    w AS (SELECT g, x, d, y, pow(1 - pow(abs(d) / far, 3), 3) AS w FROM pairs JOIN reach USING (g, x) WHERE abs(d) < far),
+    s AS (SELECT g, x, sum(w) AS t, sum(w * d) / sum(w) AS md, sum(w * y) / sum(w) AS my, sum(w * d * d) AS dd, sum(w * d * y) AS dy FROM w GROUP BY ALL)
+    SELECT g AS subreddit, x AS day, round(my - CASE WHEN dd - t * md * md > 1e-12 THEN (dy - t * md * my) / (dd - t * md * md) ELSE 0 END * md, 6) AS smoothed FROM s""",
+)
+def lowess_by_day(spark, sf_dir):
+    """Daily counts of every community, smoothed without robustness passes."""
+    day = F.date_diff(F.to_date("created_ts"), F.lit(ds.ANCHOR)).alias("day")
+    daily = ds.event_activity(spark, sf_dir).groupBy("subreddit", day).agg(F.count("*").alias("post_count"))
+    return lowess(daily, x="day", passes=0).withColumn("smoothed", F.round("smoothed", 6))
