@@ -33,25 +33,27 @@ def document_terms(
     pattern: str = TOKEN_PATTERN,
     keep: Sequence[str] = ("id",),
 ) -> DataFrame:
-    """Each document's n-grams with their counts as an array column `terms` of (ngram, tf).
+    """Each document's n-grams as they stand (`grams`), and with their counts as an array column `terms` of (ngram, tf).
 
     Counting happens inside the row, by sorting the document's n-grams and measuring the runs, so no shuffle
-    is needed to get from text to term frequencies.
+    is needed to get from text to term frequencies. What only asks which n-grams a document has reads `grams`, and the
+    counting falls away.
     """
     grams = (
         df.select(*keep, drop_words(tokens(text, pattern), stopwords).alias("_tokens"))
-        .select(*keep, F.sort_array(ngram_range(F.col("_tokens"), low, high)).alias("_grams"))
+        .select(*keep, ngram_range(F.col("_tokens"), low, high).alias("grams"))
+        .select(*keep, "grams", F.sort_array("grams").alias("_grams"))
     )
     g = F.col("_grams")
     starts = grams.select(
-        *keep, "_grams",
+        *keep, "grams", "_grams",
         F.filter(
             F.transform(g, lambda x, i: F.when((i == 0) | (x != F.get(g, i - 1)), i)), lambda p: p.isNotNull()
         ).alias("_starts"),
     )
     s = F.col("_starts")
     return starts.select(
-        *keep,
+        *keep, "grams",
         F.transform(
             s,
             lambda p, i: F.struct(
@@ -68,8 +70,11 @@ def long_terms(terms: DataFrame) -> DataFrame:
     The outer form keeps the optimizer from inferring a non-empty filter on `terms`, which it would push below
     the staged columns and so repeat the whole text expression inside itself.
     """
-    keys = [c for c in terms.columns if c != "terms"]
-    return terms.select(*keys, F.inline_outer("terms")).where(F.col("ngram").isNotNull())
+    return terms.select(*_keys(terms), F.inline_outer("terms")).where(F.col("ngram").isNotNull())
+
+
+def _keys(terms: DataFrame) -> list[str]:
+    return [c for c in terms.columns if c not in ("grams", "terms")]
 
 
 def ngram_counts(terms: DataFrame) -> DataFrame:
@@ -93,10 +98,13 @@ def tfidf(
     and adaptive execution splits the row partitions of very frequent n-grams.
     """
     by = list(by)
-    keys = [c for c in terms.columns if c != "terms"]
+    keys = _keys(terms)
     rows = long_terms(terms)
-    counts = rows.groupBy(*by, "ngram").agg(F.sum("tf").alias("_total"), F.count("*").alias("_df"))
-    if max_features is not None:
+    if max_features is None:
+        held = terms.select(*by, F.explode_outer(F.array_distinct("grams")).alias("ngram")).where(F.col("ngram").isNotNull())
+        counts = held.groupBy(*by, "ngram").agg(F.count("*").alias("_df"))
+    else:
+        counts = rows.groupBy(*by, "ngram").agg(F.sum("tf").alias("_total"), F.count("*").alias("_df"))
         order = [F.desc("_total"), F.col("ngram")]
         counts = top_per_group(counts, by, order, max_features) if by else counts.orderBy(*order).limit(max_features)
     if by:
