@@ -132,3 +132,14 @@ def test_chi_squared_corrects_two_by_two_with_an_empty_cell(spark):
     expected = grid.sum(1, keepdims=True) * grid.sum(0) / grid.sum()
     row = hypothesis.chi_squared(df, "r", "c", p_value=False).first()
     assert (row.chi2_stat, row.dof) == (pytest.approx(((abs(grid - expected) - 0.5) ** 2 / expected).sum()), 1)
+
+
+@pytest.mark.parametrize("k", [2, 5, 12])
+def test_studentized_range_has_no_step(k):
+    """One formula for all degrees of freedom: it nears the range of normals as 1/df, also far beyond any table."""
+    limit = 1.0 - pr._range_cdf(np.array([3.3]), k)[0]
+    gaps = [pr.studentized_range_tail(3.3, k, df) - limit for df in (1e2, 1e3, 24_999, 25_001, 1e6, 1e9, 1e12)]
+    assert all(a > b > -1e-9 for a, b in zip(gaps, gaps[1:-1])) and abs(gaps[-1]) < 1e-8
+    assert gaps[2] * 24_999 == pytest.approx(gaps[3] * 25_001, rel=1e-4) == pytest.approx(gaps[4] * 1e6, rel=1e-2)
+    for df in (1.0, 3.0, 5.0, 99.0, 101.0):
+        assert pr._gamma_front(df / 2) == pytest.approx(math.lgamma(df / 2) - df / 2 * math.log(df / 2) + df / 2, abs=1e-12)

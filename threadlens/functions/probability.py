@@ -102,16 +102,20 @@ def studentized_range_tail(q: float, k: int, df: float) -> float:
     """P(Q > q) for k means and df error degrees of freedom."""
     if q <= 0:
         return 1.0
-    if df > 25_000:
-        return float(np.clip(1.0 - _range_cdf(np.array([q]), k)[0], 0.0, 1.0))
     half = 9.0 / math.sqrt(2.0 * df)
     s, w = _on(max(1e-8, 1.0 - half), 1.0 + half) if df > 4 else _on(1e-8, 8.0)
-    log_density = (
-        math.log(2.0) + (df / 2) * math.log(df / 2) - math.lgamma(df / 2) + (df - 1) * np.log(s) - df * s * s / 2
-    )
+    t = s - 1.0  # the exponent around its top at 1, so that no large numbers cancel
+    log_density = math.log(2.0) - _gamma_front(df / 2) + df * (np.log1p(t) - t - t * t / 2) - np.log(s)
     return float(np.clip(1.0 - (w * np.exp(log_density) * _range_cdf(q * s, k)).sum(), 0.0, 1.0))
 
 
+def _gamma_front(a: float) -> float:
+    """lgamma(a) - a log(a) + a, for large a by Stirling's series."""
+    if a < 50.0:
+        return math.lgamma(a) - a * math.log(a) + a
+    return 0.5 * math.log(2 * math.pi / a) + 1 / (12 * a) - 1 / (360 * a**3) + 1 / (1260 * a**5)
+
+
 def studentized_range_quantile(p: float, k: int, df: float) -> float:
     """q with P(Q <= q) = p, by bisection."""
     low, high = 0.0, 1.0

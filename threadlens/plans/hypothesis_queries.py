@@ -133,6 +133,31 @@ def tukey_p(spark, sf_dir):
     return hypothesis.tukey_hsd(_scores(spark, sf_dir), "subreddit", "score")
 
 
+def _tukey_p_sql() -> str:
+    """The studentized range by Simpson's rule over the normal density (steps of 0.01) and over the scale (60 steps)."""
+    phi = lambda x: f"exp(-({x}) * ({x}) / 2) / sqrt(2 * pi())"
+    simpson = lambda i, last: f"CASE WHEN {i} IN (0, {last}) THEN 1 WHEN {i} % 2 = 1 THEN 4 ELSE 2 END"
+    taylor = "c.cdf + c.phi * u - c.z * c.phi * u * u / 2 + (c.z * c.z - 1) * c.phi * u * u * u / 6"
+    return f"""WITH d AS (SELECT subreddit AS g, score AS x FROM ({ds.SCORED_EVENTS}) WHERE score IS NOT NULL AND subreddit IS NOT NULL),
+    m AS (SELECT g, avg(x) AS gm, count(*) AS n FROM d GROUP BY 1),
+    e AS (SELECT sum((x - gm) ** 2) AS ss, count(*) - (SELECT count(*) FROM m) AS dof, (SELECT count(*) FROM m) AS k FROM d JOIN m USING (g)),
+    pairs AS (SELECT a.g AS group1, b.g AS group2, abs(b.gm - a.gm) / sqrt(ss / dof / 2 * (1 / a.n + 1 / b.n)) AS q, dof, k FROM m a JOIN m b ON a.g < b.g, e),
+    z AS (SELECT i, z, {phi('z')} AS phi, coalesce(sum(0.01 / 6 * ({phi('z')} + 4 * {phi('z + 0.005')} + {phi('z + 0.01')}))
+      OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cdf FROM (SELECT i, -8.5 + i * 0.01::DOUBLE AS z FROM range(0, 1701) AS r(i))),
+    s AS (SELECT j, 1 + t AS s, h / 30 / 3 * ({simpson('j', 60)}) * exp(ln(2) + dof / 2 * ln(dof / 2) - lgamma(dof / 2) + (dof - 1) * ln(1 + t) - dof * (1 + t) * (1 + t) / 2) AS w
+      FROM (SELECT j, h, h * (j / 30.0::DOUBLE - 1) AS t, dof::DOUBLE AS dof FROM range(0, 61) AS r(j), (SELECT 9 / sqrt(2.0::DOUBLE * dof) AS h, dof FROM e))),
+    cells AS (SELECT group1, group2, k, w, z.i, z.phi, z.cdf, z.z - q * s AS x, CAST(floor((z.z - q * s + 8.5) / 0.01) AS BIGINT) AS at FROM pairs, s, z),
+    inner_ AS (SELECT group1, group2, k, w, 0.01 / 3 * ({simpson('cells.i', 1700)}) * cells.phi * pow(cells.cdf - CASE WHEN x <= -8.5 THEN 0 ELSE {taylor.replace('u', '(x - c.z)')} END, k - 1) AS part
+      FROM cells LEFT JOIN z c ON c.i = cells.at)
+    SELECT group1, group2, round(greatest(0, least(1, 1 - any_value(k) * sum(w * part))), 4) AS p_adj FROM inner_ GROUP BY ALL"""
+
+
+@query("tukey_p_adj", _tukey_p_sql())
+def tukey_p_adj(spark, sf_dir):
+    out = hypothesis.tukey_hsd(_scores(spark, sf_dir), "subreddit", "score")
+    return out.select("group1", "group2", F.round("p_adj", 4).alias("p_adj"))
+
+
 _SIDES = "subreddit IN ('click', 'purchase')"
 _GAPS = f"""SELECT g, abs(x - median(x) OVER (PARTITION BY g)) AS x FROM (SELECT subreddit AS g, score AS x FROM ({ds.SCORED_EVENTS}))"""
 
