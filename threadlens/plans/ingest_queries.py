@@ -12,6 +12,7 @@ from threadlens.functions.text import concat_lenient, truncate, word_count
 from threadlens.operators import aggregates, filters, ingest, sampling
 from threadlens.operators.ranking import head_and_rest
 from threadlens.plans import datasets as ds
+from threadlens.plans import workflows
 from threadlens.plans.registry import query
 from threadlens.session import shared_path
 from threadlens.sources import (
@@ -47,6 +48,24 @@ def json_scan_filter(spark, sf_dir):
     return rows.select("author", "id", "body", "subreddit", "created_utc", "score")
 
 
+_CAPPED = "QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY md5(id || '|42'), id) <= 100"
+
+
+@query(
+    "extracted_activity",
+    f"""SELECT author, id, body, subreddit, year, month, created_utc, score FROM ({RAW_COMMENTS}) WHERE subreddit IN ('click', 'purchase', 'error', 'view')
+      AND subreddit <> 'view' {_CAPPED}
+    UNION ALL (SELECT author, id, subreddit || ' ' || body AS body, subreddit, year, month, created_utc, score FROM ({RAW_COMMENTS}) WHERE subreddit = 'view' {_CAPPED})""",
+)
+def extracted_activity(spark, sf_dir):
+    """The whole extraction: JSON of comments and of submissions (views, their type as title) to one parquet table with a cap."""
+    raw, root = _raw_comments(spark, sf_dir), shared_path(spark, "extract")
+    raw.where("subreddit <> 'view'").write.json(f"{root}/comments")
+    raw.where("subreddit = 'view'").withColumn("title", F.col("subreddit")).withColumnRenamed("body", "selftext").write.json(f"{root}/submissions")
+    workflows.extract_activity(spark, f"{root}/submissions", f"{root}/comments", f"{root}/activity", ("click", "purchase", "error", "view"), 2024, 100)
+    return read_parquet(spark, f"{root}/activity").drop("subreddit_id")
+
+
 @query("json_gzip_roundtrip", f"SELECT author, id, body, subreddit, year, month, created_utc, score FROM ({RAW_COMMENTS})")
 def json_gzip_roundtrip(spark, sf_dir):
     path = shared_path(spark, "comments-gzip")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.text import WORD_PATTERN, concat_lenient, ngrams, strip, tokens
 from threadlens.operators import ingest, lexicons, sentiment
 from threadlens.plans import datasets as ds
+from threadlens.plans import workflows
 from threadlens.plans.registry import query
 
 _TOKENS = r"regexp_extract_all(lower(body), '[\p{L}\p{N}_]{2,}')"
@@ -262,3 +263,26 @@ def early_exit_scores(spark, sf_dir):
     hopeful = F.col("politician_mentioned") | F.col("similar_phrase").isNotNull()
     out = sentiment.score_hopeful(flagged, scorer, hopeful, {"sentiment": F.lit(0.0), "shifted": F.lit(0.0)})
     return out.select("id", "politician_mentioned", F.round("sentiment", 8).alias("sentiment"), F.round("shifted", 8).alias("shifted"))
+
+
+_PARITY = "(length(body) - length(regexp_replace(body, '[aeiou]', '', 'g'))) % 2 = 0"
+_ACTIVITY = f"""act AS (SELECT author, id, subreddit, body FROM ({ds.COMMENTS}) WHERE author <> '[deleted]' UNION ALL
+      SELECT author, id, subreddit, title || ' ' || selftext FROM ({ds.SUBMISSIONS}) WHERE author <> '[deleted]'),
+    documents AS (SELECT id AS doc_id, body AS text, subreddit AS source, 0 AS n_chars FROM act),
+    labels AS (SELECT id AS doc_id, CASE WHEN {_PARITY} THEN 1 ELSE 0 END AS quality FROM act)"""
+
+
+@query(
+    "scored_activity",
+    f"""WITH {_ACTIVITY}, r AS ({_CASES.replace("@EXTRA@", "")})
+    SELECT r.id, author, act.subreddit, politician_mentioned, sentiment, shifted FROM r JOIN act USING (id)""",
+)
+def scored_activity(spark, sf_dir):
+    """From comments and submissions to scored activity in one plan; labels come from a function, the parity of vowels."""
+
+    def parity():
+        return lambda texts: ["POSITIVE" if sum(t.count(v) for v in "aeiou") % 2 == 0 else "NEGATIVE" for t in texts]
+
+    activity = ingest.combine_activity(ds.comments(spark, sf_dir), ds.submissions(spark, sf_dir))
+    scored = workflows.score_activity(activity, _entities(spark), _phrases(spark), ds.valence_lexicon(spark), lambda rows: sentiment.udf_label(rows, parity))
+    return scored.select("id", "author", "subreddit", "politician_mentioned", F.round("sentiment", 8).alias("sentiment"), F.round("shifted", 8).alias("shifted"))

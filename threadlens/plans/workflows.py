@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens import schemas
 from threadlens.functions.buckets import leaning, score_code
-from threadlens.operators import aggregates, filters, ingest, sampling, trends
+from threadlens.operators import aggregates, filters, ingest, lexicons, sampling, sentiment, trends
 from threadlens.operators.models import classification
 from threadlens.operators.models.features import MixedFeatures
 from threadlens.operators.ranking import head_and_rest
@@ -31,6 +31,25 @@ def extract_activity(
     write_parquet(ingest.combine_activity(replies, posts), output, files=files)
 
 
+def score_activity(
+    activity: DataFrame, entities: Sequence, phrases: Sequence[lexicons.Phrase], valences: DataFrame, label: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Activity with label, sentiment, politician_mentioned and shifted, in one plan.
+
+    Texts that hold neither an entity nor a phrase keep zeros and never reach `label`, which adds the label column to the
+    others (a model, a table or a function). Nothing is shuffled or written between the steps.
+    """
+    flagged = sentiment.mention_flags(activity, entities, phrases)
+
+    def scorer(rows: DataFrame) -> DataFrame:
+        scored = label(sentiment.lexicon_polarity(rows, valences))
+        return sentiment.shift_cases(scored.withColumn("sentiment", sentiment.combined_sentiment("polarity", "label")), phrases)
+
+    hopeful = F.col("politician_mentioned") | F.col("similar_phrase").isNotNull()
+    scored = sentiment.score_hopeful(flagged, scorer, hopeful, {"sentiment": F.lit(0.0), "shifted": F.lit(0.0)})
+    return scored.drop("similar_phrase", "shifting_phrase", "polarity")
+
+
 def engagement_by_leaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average all activity per author, and summarise scores by the authors' leaning."""
     rows = ingest.drop_author(ds.scored_events(spark, sf_dir))
