@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import tokens
-from threadlens.operators import aggregates, ngrams
+from threadlens.operators import aggregates, lexicons, ngrams, sentiment
 from threadlens.plans import datasets as ds
+from threadlens.plans import stance_queries, workflows
 from threadlens.plans.registry import query
 from threadlens.session import written
 
@@ -183,3 +184,38 @@ def author_feature_table(spark, sf_dir):
     wide = author_features(spark, sf_dir)
     digits = {c: 8 if c == "sentiment_mean" else 6 for c in wide.columns if c.startswith(("ngram_", "avg_score_")) or c == "sentiment_mean"}
     return wide.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+_HOMES = ds.SOURCES[:3]
+_FRAME = rf"""src AS (SELECT s.id, 'u' || (s.id % 30) AS author, s.body, s.subreddit, s.sentiment, e.ts AS created_ts, e.value - 50 AS score
+    FROM (SELECT *, regexp_replace(body, '^\s+|\s+$', '', 'g') AS t FROM ({stance_queries.SENTIMENT})) s JOIN events e ON (s.id * 10) % (SELECT count(*) FROM events) = e.event_id
+    WHERE CASE WHEN t = '' THEN 0 ELSE len(string_split_regex(t, '\s+')) END <= 512 AND abs(s.sentiment) >= 0.2
+      AND {stance_queries._group_sql('lower(body)', False)} IS NOT NULL)"""
+
+
+@query(
+    "author_feature_frame",
+    f"""WITH {_FRAME}, {_weights_sql('SELECT id, author, body FROM src', 'id, author')},
+    top AS (SELECT ngram, row_number() OVER (ORDER BY round(sum(weight), 9) DESC, ngram) AS place FROM w GROUP BY ngram QUALIFY place <= 10),
+    p AS (SELECT author, {", ".join(f"sum(weight) FILTER (place = {i}) AS n{i}" for i in range(1, 11))} FROM w JOIN top USING (ngram) GROUP BY 1),
+    h AS (SELECT author, CAST(hour(created_ts) AS INT) AS hour, count(*) AS n FROM src GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY author ORDER BY n DESC, hour) = 1),
+    q AS (SELECT author, avg(sentiment) AS sentiment_mean, min(sentiment) AS sentiment_min, max(sentiment) AS sentiment_max,
+      {", ".join(f"avg(score) FILTER (subreddit = '{c}') AS avg_score_{c}, count(*) FILTER (subreddit = '{c}') AS subreddit_{c}" for c in _HOMES)} FROM src GROUP BY 1)
+    SELECT q.author, {", ".join(f"coalesce(round(n{i}, 6), 0) AS ngram_{i}" for i in range(1, 11))}, round(sentiment_mean, 8) AS sentiment_mean,
+      round(sentiment_min, 8) AS sentiment_min, round(sentiment_max, 8) AS sentiment_max, hour AS most_common_hour,
+      {", ".join(f"coalesce(round(avg_score_{c}, 6), 0) AS avg_score_{c}, subreddit_{c}" for c in _HOMES)}
+    FROM q LEFT JOIN p USING (author) LEFT JOIN h USING (author)""",
+)
+def author_feature_frame(spark, sf_dir):
+    """The author features from one frame with all its filters: length, mention and strength."""
+    author = F.concat(F.lit(" U"), F.pmod("id", F.lit(30)), F.lit(" "))
+    activity = ds.timed_documents(spark, sf_dir).withColumn("author", author)
+
+    def score(rows):
+        scored = sentiment.lexicon_polarity(rows, ds.valence_lexicon(spark))
+        return scored.withColumn("sentiment", sentiment.combined_sentiment("polarity", "label"))
+
+    entities = lexicons.lexicon_rows(ds.entity_lexicon(spark))
+    wide, _ = workflows.author_feature_frame(activity, score, entities, ("A", "B"), _HOMES, ds.STOPWORDS)
+    digits = {c: 8 if c.startswith("sentiment_") else 6 for c in wide.columns if c.startswith(("ngram_", "avg_score_", "sentiment_"))}
+    return wide.withColumns({c: F.round(c, d) for c, d in digits.items()})

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from threadlens import schemas
 from threadlens.functions.buckets import leaning, score_code
-from threadlens.operators import aggregates, filters, ingest, lexicons, sampling, sentiment, trends
+from threadlens.functions.text import normalise_author
+from threadlens.operators import aggregates, filters, ingest, lexicons, ngrams, sampling, sentiment, trends
 from threadlens.operators.models import classification
 from threadlens.operators.models.features import MixedFeatures
 from threadlens.operators.ranking import head_and_rest
@@ -50,6 +51,27 @@ def score_activity(
     return scored.drop("similar_phrase", "shifting_phrase", "polarity")
 
 
+def author_feature_frame(
+    activity: DataFrame, score: Callable[[DataFrame], DataFrame], entities: Sequence, groups: tuple[str, str], communities: Sequence[str],
+    stopwords: Sequence[str] = (), top: int = 10, longest: int = 512, least: float = 0.2,
+) -> tuple[DataFrame, list[str]]:
+    """One row per author from one table of activity, after all filters, and the n-grams behind `ngram_1` and so on.
+
+    Texts of up to `longest` words that mention an entity and whose sentiment (added by `score`) is `least` or stronger count;
+    authors go by their normalised names. The n-gram weights, sentiment, usual hour, mean scores and row counts come from
+    the same rows, which are written once; missing numbers become 0.
+    """
+    short = filters.drop_long_texts(activity, max_words=longest).withColumn("author", normalise_author("author"))
+    marked = sentiment.entity_stance(score(short), entities, groups)
+    rows = written(filters.strong_scores(marked, "sentiment", least, flag="politician_mentioned").drop("mentioned_group", "stance"), "author-rows")
+    terms = ngrams.document_terms(rows, stopwords=stopwords, keep=("id", "author"))
+    profile = written(ngrams.ngram_profile(ngrams.tfidf(terms), "author", top), "author-profile")
+    names = [r.ngram for r in ngrams.top_ngrams(ngrams.ngram_totals(profile), top).collect()]
+    wide = ngrams.profile_matrix(profile, "author", names, rows)
+    wide = aggregates.rename(wide, {g: f"ngram_{i + 1}" for i, g in enumerate(names)})
+    return aggregates.merge_features(wide, aggregates.author_numbers(rows, communities)), names
+
+
 def engagement_by_leaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average all activity per author, and summarise scores by the authors' leaning."""
     rows = ingest.drop_author(ds.scored_events(spark, sf_dir))
