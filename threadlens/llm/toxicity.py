@@ -6,9 +6,11 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,36 +24,43 @@ from threadlens.session import written
 MAX_EXAMPLES = 20_000
 _PREFIXES = range(4, 9)
 _WORD = re.compile(r"[^\W_]+")
+_HALF, _STEM = 1 << 63, 0xFFFFFF << 40
 _BLOCK = 64
 _NEIGHBOURS = 30
+#: Terms that the index has as a matrix too, at most; queries that are multiplied with it at once; what rounding can make of
+#: products of vectors of length 1 over so many terms in 32 bits, with room to spare.
+_COMMON, _BATCH, _SLACK = 256, 64, 1e-4
+#: Examples left by bounds are scored on their own if they are at most one in so many.
+_FEW = 64
 
 
-def terms_of(chunk: str) -> tuple[str, ...]:
-    """The words of a chunk in lower case, and their beginnings of 4 to 8 letters, marked by a hyphen."""
-    out: list[str] = []
-    for word in _WORD.findall(chunk.lower()):
-        out.append(word)
-        out += [f"{word[:n]}-" for n in _PREFIXES if n < len(word)]
-    return tuple(out)
-
+def _hash(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
-def number_of(term: str) -> int:
-    """64 bits of the term's digest, which stand for it in vectors; odd for a beginning, even for a word."""
-    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) & -2 | term.endswith("-")
 
+def numbers_of(chunk: str, stems: frozenset[int] | None = None) -> list[int]:
+    """Numbers of the words of a chunk in lower case, and of their beginnings of 4 to 8 letters, which stand for them in vectors.
 
-def numbers_of(chunk: str) -> np.ndarray:
-    return np.array([number_of(t) for t in terms_of(chunk)], np.int64)
+    A word has an even number, a beginning an odd one, whose highest bits are those of its first four letters (its stem).
+    With `stems`, only beginnings of these stems are listed.
+    """
+    out: list[int] = []
+    for word in _WORD.findall(chunk.lower()):
+        out.append((_hash(word) & -2) - _HALF)
+        if len(word) > _PREFIXES[0]:
+            stem = _hash(word[: _PREFIXES[0]]) & _STEM
+            if stems is None or stem in stems:
+                out += [(stem | _hash(word[:n]) & ~_STEM | 1) - _HALF for n in _PREFIXES if n < len(word)]
+    return out
 
 
 def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the distinct terms of a text, rising, and how often each stands there."""
-    chunks = [known[c] for c in text.split()]
-    return np.unique(np.concatenate(chunks), return_counts=True) if chunks else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, text.split())), np.int64), return_counts=True)
 
 
 class BlockMaxIndex:
-    """Postings of weighted examples, in blocks of neighbouring ids; frequent terms have their largest weight per block."""
+    """Postings of weighted examples, in blocks of neighbouring ids; the commonest terms have their largest weight per block."""
 
     def __init__(self, rows: list[list[tuple[int, float]]], n_terms: int):
         flat = [x for row in rows for x in row]
@@ -71,61 +80,75 @@ class BlockMaxIndex:
         self.weights = self.row_weights[by_term]
         sizes = np.bincount(self.row_terms, minlength=n_terms)
         self.cuts = np.concatenate([[0], np.cumsum(sizes)])
-        self.most = np.zeros(n_terms)
-        if len(terms):
-            self.most[sizes > 0] = np.maximum.reduceat(self.weights, self.cuts[:-1][sizes > 0])
         frequent = np.flatnonzero(sizes >= max(_BLOCK, self.blocks))
-        self.slot = np.full(n_terms, -1, np.int32)
-        self.slot[frequent] = np.arange(len(frequent))
+        frequent = frequent[np.argsort(-sizes[frequent], kind="stable")[:_COMMON]]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
         self.largest = np.zeros((len(frequent), self.blocks), np.float32)
+        self.dense, self.blank = np.zeros((self.n, len(frequent)), np.float32), np.zeros(n_terms)
         for k, t in enumerate(frequent):
-            np.maximum.at(self.largest[k], self.ids[self.cuts[t] : self.cuts[t + 1]] // _BLOCK, self.weights[self.cuts[t] : self.cuts[t + 1]])
+            ids, weights = self.ids[self.cuts[t] : self.cuts[t + 1]], self.weights[self.cuts[t] : self.cuts[t + 1]]
+            np.maximum.at(self.largest[k], ids // _BLOCK, weights)
+            self.dense[ids, k] = weights
 
     def nearest(self, query: list[tuple[int, float]], votes: np.ndarray, enough: float) -> list[tuple[float, int]]:
         """(cosine, example) from the nearest on until their votes reach `enough`; ties by example."""
-        return self.closest(np.array([t for t, _ in query], np.int64), np.array([w for _, w in query], float), votes, enough)
+        return self.closest([(np.array([t for t, _ in query], np.int64), np.array([w for _, w in query], float))], votes, enough)[0]
 
-    def closest(self, terms: np.ndarray, weights: np.ndarray, votes: np.ndarray, enough: float) -> list[tuple[float, int]]:
-        """`nearest`, for arrays. At most one example may have less than one vote.
+    def closest(self, queries: list[tuple[np.ndarray, np.ndarray]], votes: np.ndarray, enough: float, less: list[int | None] | None = None) -> list[list[tuple[float, int]]]:
+        """`nearest` for (terms, weights) of several queries; the example in `less`, if any, has a vote less for its query.
 
-        Terms are added up by falling bound. Once the blocks' bounds of the terms left cannot lift more than an eighth of the
-        examples over those found, these alone are scored from their own vectors.
+        Postings of all but the commonest terms are added up first. Where the blocks' bounds of the common terms cannot lift
+        more than a few of the examples over those found, these alone are left; the other queries get the common terms'
+        part by one product of matrices, which is off by less than _SLACK. What is left is scored from its own vectors, so
+        results do not depend on the queries they came with.
         """
         need = int(enough) + 1
-        bound = weights * self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        terms, weights, bound = terms[order], weights[order], bound[order]
-        left = np.concatenate([np.cumsum(bound[::-1])[::-1], [0.0]])
-        score, which = np.zeros(self.n), None
+        less = less or [None] * len(queries)
+        which: list[np.ndarray | None] = [None] * len(queries)
+        scores = np.zeros((len(queries), self.n), np.float32)
+        common = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        for q, (terms, weights) in enumerate(queries):
+            column = self.column[terms]
+            score = self._added(terms[column < 0], weights[column < 0])
+            slots, weights = column[column >= 0], weights[column >= 0]
+            if len(slots) and self.n > 8 * need:
+                floor = np.partition(score, self.n - need)[self.n - need] - 1e-6
+                rest = weights @ self.largest[slots]
+                if floor > rest.min():
+                    found = np.flatnonzero(score + np.repeat(rest, _BLOCK)[: self.n] >= floor)
+                    if _FEW * len(found) <= self.n:
+                        which[q] = found
+            scores[q], common[q, slots] = score, weights
+        open_ = [q for q in range(len(queries)) if which[q] is None]
+        if open_ and common.shape[1]:
+            scores[open_] += common[open_] @ self.dense.T
+        for q in open_:
+            floor = np.partition(scores[q], self.n - need)[self.n - need] - _SLACK if self.n > need else 0.0
+            which[q] = np.flatnonzero(scores[q] >= floor) if floor > 0 else np.flatnonzero(scores[q])
+        return [self._best(*query, found, votes, enough, i) for query, found, i in zip(queries, which, less, strict=True)]
+
+    def _added(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the postings of these terms add to every example's score."""
         sizes = self.cuts[terms + 1] - self.cuts[terms]
-        done = np.concatenate([[0], np.cumsum(sizes)])
-        k, step = 0, 4 * self.n
-        while k < len(terms):
-            stop = max(k + 1, int(np.searchsorted(done, done[k] + step, "right")) - 1)
-            ends = done[k + 1 : stop + 1] - done[k]
-            at = np.arange(ends[-1]) + np.repeat(self.cuts[terms[k:stop]] - ends + sizes[k:stop], sizes[k:stop])
-            score += np.bincount(self.ids[at], np.repeat(weights[k:stop], sizes[k:stop]) * self.weights[at], self.n)
-            k, step = stop, 2 * step
-            if k == len(terms) or self.n <= 8 * need:
-                continue
-            floor = np.partition(score, self.n - need)[self.n - need] - 1e-9
-            if floor > 0.5 * left[k]:
-                slots = self.slot[terms[k:]]
-                rest = weights[k:][slots >= 0] @ self.largest[slots[slots >= 0]] + bound[k:][slots < 0].sum()
-                found = np.flatnonzero(score + np.repeat(rest, _BLOCK)[: self.n] >= floor)
-                if 8 * len(found) <= self.n:
-                    which = found
-                    break
-        if which is not None:
-            dense = np.zeros(len(self.most))
-            dense[terms] = weights
-            sizes = self.starts[which + 1] - self.starts[which]
-            ends = np.cumsum(sizes)
-            at = np.arange(ends[-1]) + np.repeat(self.starts[which] - ends + sizes, sizes)
-            exact = np.add.reduceat(dense[self.row_terms[at]] * self.row_weights[at], ends - sizes)
-        else:
-            which = np.flatnonzero(score)
-            exact = score[which]
+        ends = np.cumsum(sizes)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(self.n)
+        at = np.arange(ends[-1]) + np.repeat(self.cuts[terms] - ends + sizes, sizes)
+        return np.bincount(self.ids[at], np.repeat(weights, sizes) * self.weights[at], self.n)
+
+    def _best(self, terms: np.ndarray, weights: np.ndarray, which: np.ndarray, votes: np.ndarray, enough: float, less: int | None) -> list[tuple[float, int]]:
+        """`nearest` among the examples in `which`, from their own vectors."""
+        if not len(which):
+            return []
+        need = int(enough) + 1
+        dense = self.blank
+        dense[terms] = weights
+        sizes = self.starts[which + 1] - self.starts[which]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(self.starts[which] - ends + sizes, sizes)
+        exact = np.add.reduceat(dense[self.row_terms[at]] * self.row_weights[at], ends - sizes)
+        dense[terms] = 0.0
         if len(which) > need:
             top = np.flatnonzero(exact >= np.partition(exact, len(exact) - need)[len(exact) - need])
             which, exact = which[top], exact[top]
@@ -134,7 +157,7 @@ class BlockMaxIndex:
             if exact[i] <= 0 or total >= enough:
                 break
             best.append((float(exact[i]), int(which[i])))
-            total += votes[which[i]]
+            total += votes[which[i]] - (which[i] == less)
         return best
 
 
@@ -187,12 +210,18 @@ class ToxicityModel:
         self.place = {g[5]: i for i, g in enumerate(seen)}
         self._vectors = np.concatenate([[0], np.cumsum(used)])[starts], column[used].astype(np.int32), weights[used].astype(np.float32)
 
+    @cached_property
+    def _beginnings(self) -> tuple[frozenset[int], frozenset[int]]:
+        """The telling beginnings and their stems."""
+        telling = self.telling.tolist()
+        return frozenset(telling), frozenset(n + _HALF & _STEM for n in telling)
+
     @cached_property
     def index(self) -> BlockMaxIndex:
         return BlockMaxIndex.of(*self._vectors, len(self.terms))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("index", "_sent")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "_beginnings", "_sent")}
 
     def sent(self, spark: SparkSession) -> Broadcast:
         """The model on the executors, sent at the first call; `steps` go with each task, as they are fitted later."""
@@ -208,36 +237,47 @@ class ToxicityModel:
             keep |= self.telling[at] == terms
         return terms[keep], counts[keep].astype(np.int32)
 
-    def raw(self, terms: np.ndarray, counts: np.ndarray, own: int | None = None) -> tuple[float, list[int]]:
-        """Vote of the nearest examples, and up to three of them; `own` is the label of the text if it is an example itself."""
-        terms, counts = self.kept(terms, counts)
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        tf = 1 + np.log(counts)
-        weights = tf * np.where(known, self.factor[at] if len(self.terms) else 0.0, np.where(terms & 1, 0.0, self.unknown))
-        weights = weights / np.sqrt(weights @ weights)
-        votes, bad_votes = self.votes, self.toxic
-        if own is not None:
-            i = self.place[_digest(terms, counts)]
-            votes, bad_votes = votes.copy(), bad_votes.copy()
-            votes[i] -= 1
-            bad_votes[i] -= own
-        known &= weights > 0
-        near = [(s, i) for s, i in self.index.closest(at[known], weights[known], votes, _NEIGHBOURS) if votes[i] > 0]
-        weight, bad = self.base, self.base * self.base
-        left = float(_NEIGHBOURS)
-        for s, i in near:
-            n = min(votes[i], left)
-            close = n / (1.05 - min(s, 1.0))
-            weight, bad, left = weight + close, bad + close * bad_votes[i] / votes[i], left - n
-        return bad / weight, [self.doc[i] for _, i in near[:3]]
-
-    def score(self, terms: np.ndarray, counts: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
-        """Chance of label 1, calibrated by `steps`, and up to three nearest examples as evidence."""
-        if not len(terms):
-            return float(self.without_terms), []
-        raw, evidence = self.raw(terms, counts)
-        return float(np.clip(np.interp(raw, *steps), 0.0, 1.0)), evidence
+    def numbers_kept(self, chunk: str) -> tuple[int, ...]:
+        """`numbers_of`, the words and the telling beginnings only."""
+        telling, stems = self._beginnings
+        return tuple([n for n in numbers_of(chunk, stems) if not n & 1 or n in telling])
+
+    def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int] | None = None) -> list[tuple[float, list[int]]]:
+        """Votes of the nearest examples of texts with terms, and up to three of them; `own` are the labels if the texts are examples themselves."""
+        queries, less = [], []
+        for terms, counts in found:
+            terms, counts = self.kept(terms, counts)
+            at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+            known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+            tf = 1 + np.log(counts)
+            weights = tf * np.where(known, self.factor[at] if len(self.terms) else 0.0, np.where(terms & 1, 0.0, self.unknown))
+            weights = weights / np.sqrt(weights @ weights)
+            known &= weights > 0
+            queries.append((at[known], weights[known]))
+            less.append(None if own is None else self.place[_digest(terms, counts)])
+        out = []
+        for start in range(0, len(queries), _BATCH):
+            part = slice(start, start + _BATCH)
+            for k, near in enumerate(self.index.closest(queries[part], self.votes, _NEIGHBOURS, less[part]), start):
+                weight, bad, left, evidence = self.base, self.base * self.base, float(_NEIGHBOURS), []
+                for s, i in near:
+                    votes, toxic = self.votes[i] - (i == less[k]), self.toxic[i] - (own[k] if i == less[k] else 0)
+                    if votes > 0:
+                        n = min(votes, left)
+                        close = n / (1.05 - min(s, 1.0))
+                        weight, bad, left = weight + close, bad + close * toxic / votes, left - n
+                        evidence.append(self.doc[i])
+                out.append((bad / weight, evidence[:3]))
+        return out
+
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]], steps: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, list[int]]]:
+        """Chance of label 1 for every text, calibrated by `steps`, and up to three nearest examples as evidence."""
+        raw = iter(self.raw([f for f in found if len(f[0])]))
+        out = []
+        for terms, _ in found:
+            vote, evidence = next(raw) if len(terms) else (None, [])
+            out.append((float(self.without_terms) if vote is None else float(np.clip(np.interp(vote, *steps), 0.0, 1.0)), evidence))
+        return out
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -299,7 +339,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
         model = shared.value
         for batch in batches:
             rows = [(r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in batch.to_pylist() if r["terms"]]
-            yield pa.RecordBatch.from_arrays([pa.array([label for label, _, _ in rows], pa.int32()), pa.array([model.raw(t, n, label)[0] for label, t, n in rows], pa.float64())], ["toxic", "raw"])
+            votes = model.raw([(t, n) for _, t, n in rows], [label for label, _, _ in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([label for label, _, _ in rows], pa.int32()), pa.array([v for v, _ in votes], pa.float64())], ["toxic", "raw"])
 
     votes = vectors.mapInArrow(voted, "toxic int, raw double").groupBy("raw", "toxic").agg(F.count("*").alias("n")).orderBy("raw", "toxic").collect()
     model.steps = _isotonic(np.array([v["raw"] for v in votes]), np.array([v["toxic"] for v in votes], float), np.array([v["n"] for v in votes], float))
@@ -318,16 +359,15 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
     shared, steps = model.sent(df.sparkSession), model.steps
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known, scored = shared.value, Memo(numbers_of, 100_000), {}
+        model = shared.value
+        known, scored = Memo(model.numbers_kept, 300_000), {}
         for rows, strings in slices(batches):
-            found = []
-            for text in strings:
-                digest = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                if digest not in scored:
-                    if len(scored) >= 200_000:
-                        scored.clear()
-                    scored[digest] = model.score(*counts_of(text, known), steps)
-                found.append(scored[digest])
+            if len(scored) >= 200_000:
+                scored.clear()
+            digests = [blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() for text in strings]
+            new = {d: text for d, text in zip(digests, strings, strict=True) if d not in scored}
+            scored.update(zip(new, model.scores([counts_of(text, known) for text in new.values()], steps), strict=True))
+            found = [scored[d] for d in digests]
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], [*rows.schema.names, "score", "evidence"]
             )
