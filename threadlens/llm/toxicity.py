@@ -29,34 +29,32 @@ _BLOCK = 64
 _NEIGHBOURS = 30
 #: Terms that the index has as a matrix too, at most; queries that are multiplied with it at once; what rounding can make of
 #: products of vectors of length 1 over so many terms in 32 bits, with room to spare.
-_COMMON, _BATCH, _SLACK = 256, 64, 1e-4
+_COMMON, _BATCH, _SLACK = 512, 64, 1e-4
 #: Examples left by bounds are scored on their own if they are at most one in so many.
-_FEW = 64
+_FEW = 256
 
 
 def _hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
-def numbers_of(chunk: str, stems: frozenset[int] | None = None) -> list[int]:
-    """Numbers of the words of a chunk in lower case, and of their beginnings of 4 to 8 letters, which stand for them in vectors.
+def numbers_of(word: str, stems: frozenset[int] | None = None) -> list[int]:
+    """Numbers of a word in lower case, and of its beginnings of 4 to 8 letters, which stand for them in vectors.
 
     A word has an even number, a beginning an odd one, whose highest bits are those of its first four letters (its stem).
     With `stems`, only beginnings of these stems are listed.
     """
-    out: list[int] = []
-    for word in _WORD.findall(chunk.lower()):
-        out.append((_hash(word) & -2) - _HALF)
-        if len(word) > _PREFIXES[0]:
-            stem = _hash(word[: _PREFIXES[0]]) & _STEM
-            if stems is None or stem in stems:
-                out += [(stem | _hash(word[:n]) & ~_STEM | 1) - _HALF for n in _PREFIXES if n < len(word)]
+    out = [(_hash(word) & -2) - _HALF]
+    if len(word) > _PREFIXES[0]:
+        stem = _hash(word[: _PREFIXES[0]]) & _STEM
+        if stems is None or stem in stems:
+            out += [(stem | _hash(word[:n]) & ~_STEM | 1) - _HALF for n in _PREFIXES if n < len(word)]
     return out
 
 
 def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the distinct terms of a text, rising, and how often each stands there."""
-    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, text.split())), np.int64), return_counts=True)
+    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, _WORD.findall(text.lower()))), np.int64), return_counts=True)
 
 
 class BlockMaxIndex:
@@ -130,12 +128,11 @@ class BlockMaxIndex:
 
     def _added(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What the postings of these terms add to every example's score."""
-        sizes = self.cuts[terms + 1] - self.cuts[terms]
-        ends = np.cumsum(sizes)
-        if not len(ends) or not ends[-1]:
+        cuts = [slice(a, b) for a, b in zip(self.cuts[terms].tolist(), self.cuts[terms + 1].tolist(), strict=True)]
+        if not cuts:
             return np.zeros(self.n)
-        at = np.arange(ends[-1]) + np.repeat(self.cuts[terms] - ends + sizes, sizes)
-        return np.bincount(self.ids[at], np.repeat(weights, sizes) * self.weights[at], self.n)
+        added = np.repeat(weights, self.cuts[terms + 1] - self.cuts[terms]) * np.concatenate([self.weights[c] for c in cuts])
+        return np.bincount(np.concatenate([self.ids[c] for c in cuts]), added, self.n)
 
     def _best(self, terms: np.ndarray, weights: np.ndarray, which: np.ndarray, votes: np.ndarray, enough: float, less: int | None) -> list[tuple[float, int]]:
         """`nearest` among the examples in `which`, from their own vectors."""
@@ -237,10 +234,10 @@ class ToxicityModel:
             keep |= self.telling[at] == terms
         return terms[keep], counts[keep].astype(np.int32)
 
-    def numbers_kept(self, chunk: str) -> tuple[int, ...]:
+    def numbers_kept(self, word: str) -> tuple[int, ...]:
         """`numbers_of`, the words and the telling beginnings only."""
         telling, stems = self._beginnings
-        return tuple([n for n in numbers_of(chunk, stems) if not n & 1 or n in telling])
+        return tuple([n for n in numbers_of(word, stems) if not n & 1 or n in telling])
 
     def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int] | None = None) -> list[tuple[float, list[int]]]:
         """Votes of the nearest examples of texts with terms, and up to three of them; `own` are the labels if the texts are examples themselves."""
