@@ -10,13 +10,16 @@ from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, Normalizer, OneHotEncoder, PCA, StandardScaler, StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import drop_words, ngram_range, tokens
 from threadlens.functions.times import unix_seconds
 from threadlens.operators.ngrams import document_terms, ngram_counts, vocabulary
+from threadlens.session import written
 
 
 def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
@@ -114,7 +117,19 @@ class MixedFeatures:
 def reduced_text(train: DataFrame, text: str = "body", size: int = 1000, components: int = 100, stopwords: Sequence[str] = ()):
     """Function adding a `text_pca` column: TF-IDF over uni- and bigrams projected to fewer dimensions."""
     vectors = TextVectors(train, text, size, stopwords, 1, 2)
-    k = min(components, len(vectors.vocabulary))
-    centred = StandardScaler(inputCol="text_vector", outputCol="text_centred", withMean=True, withStd=False)
-    model = Pipeline(stages=[centred, PCA(k=k, inputCol="text_centred", outputCol="text_pca")]).fit(vectors.add(train))
-    return lambda df: model.transform(vectors.add(df)).drop("text_vector", "text_centred")
+    rows = written(vectors.add(train).select("text_vector"), "text_vectors")
+    add = sparse_components(rows, "text_vector", min(components, len(vectors.vocabulary)), "text_pca")
+    return lambda df: add(vectors.add(df)).drop("text_vector")
+
+
+def sparse_components(train: DataFrame, source: str, k: int, output: str):
+    """Function adding `output`, the centred coordinates of `source` on its first `k` principal components.
+
+    Vectors stay sparse: the covariance comes from the sparse rows' products with the mean taken out of the sum, and the
+    mean's own coordinates are taken off after projecting. `train` is read three times, so give it written.
+    """
+    model = PCA(k=k, inputCol=source, outputCol="_coordinates").fit(train)
+    mean = train.select(Summarizer.mean(F.col(source)).alias("mean")).first()["mean"]
+    shift = F.array(*[F.lit(float(v)) for v in mean.toArray() @ model.pc.toArray()])
+    centred = array_to_vector(F.zip_with(vector_to_array("_coordinates"), shift, lambda x, m: x - m))
+    return lambda df: model.transform(df).withColumn(output, centred).drop("_coordinates")

@@ -179,6 +179,13 @@ def converted_activity(spark, sf_dir):
     )
 
 
+@query("truncated_documents", "SELECT doc_id AS id, substr(text, 1, 512) AS body, length(substr(text, 1, 512)) AS kept, length(text) AS n_chars FROM documents")
+def truncated_documents(spark, sf_dir):
+    """Texts cut to the scanner's 512 characters, on bodies that are longer, with their lengths before and after."""
+    rows = ds.document_activity(spark, sf_dir)
+    return rows.select("id", truncate("body").alias("body"), F.length(truncate("body")).cast("bigint").alias("kept"), F.length("body").cast("bigint").alias("n_chars"))
+
+
 # --- ingest filters ------------------------------------------------------------------------------------------------
 
 

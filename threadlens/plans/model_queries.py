@@ -148,6 +148,12 @@ def mlp_score(spark, sf_dir):
     return _score_model(spark, sf_dir, scale=True).accuracies(["network"])
 
 
+@query("penalised_mlp_score")
+def penalised_mlp_score(spark, sf_dir):
+    """Accuracy of the network with a weight penalty of 0.05."""
+    return _score_model(spark, sf_dir, scale=True).accuracies(["penalised_network"])
+
+
 @query("feature_importance_top5")
 def feature_importance_top5(spark, sf_dir):
     return _score_model(spark, sf_dir).importances().limit(5)

@@ -14,6 +14,7 @@ from threadlens.functions.text import normalise_author
 from threadlens.operators import aggregates, filters, ingest, lexicons, ngrams, sampling, sentiment, trends
 from threadlens.operators.models import classification
 from threadlens.operators.models.features import MixedFeatures
+from threadlens.operators.models.network import Network
 from threadlens.operators.ranking import head_and_rest
 from threadlens.plans import datasets as ds
 from threadlens.session import written
@@ -135,6 +136,7 @@ class ScorePrediction:
             "forest": lambda i, c: classification.random_forest(min_leaf=20, seed=self.seed, **options),
             "boosting": lambda i, c: classification.boosted_trees(seed=self.seed, **options),
             "network": lambda i, c: classification.neural_network(i, c, seed=self.seed, **options),
+            "penalised_network": lambda i, c: Network(i, c, seed=self.seed, **options),
         }
         return classification.LabelledModel(self.train, "score_category", makers[kind])
 
