@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.text import TOKEN_PATTERN, drop_words, ngram_range, tokens
 from threadlens.operators.lexicons import lexicon_rows
 from threadlens.operators.ranking import top_per_group
+from threadlens.operators.term_blocks import all_weights, block_entries, bucket_count, counted_terms, picked_weights, term_blocks, weighted_terms
 from threadlens.session import written
 
 
@@ -78,8 +79,8 @@ def _keys(terms: DataFrame) -> list[str]:
 
 
 def ngram_counts(terms: DataFrame) -> DataFrame:
-    """Corpus count and document count per n-gram."""
-    return long_terms(terms).groupBy("ngram").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    """Corpus count and document count per n-gram, added up within blocks of documents before the shuffle."""
+    return counted_terms(terms).groupBy("ngram").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def vocabulary(counts: DataFrame, size: int) -> DataFrame:
@@ -92,31 +93,36 @@ def tfidf(
 ) -> DataFrame:
     """TF-IDF weights in long form: raw counts times ln((1+N)/(1+df)) + 1, each document scaled to length 1.
 
-    With `by`, a separate fit per group of those columns (which `terms` must carry). With `max_features` the
-    n-gram table has a fixed size and is broadcast. Otherwise the join is a hinted shuffle join: size estimates
-    do not see how far exploding grows the rows. Its build side has one row per n-gram, so it spreads evenly,
-    and adaptive execution splits the row partitions of very frequent n-grams.
+    With `by`, a separate fit per group of those columns (which `terms` must carry); rows without a group have no weights.
+    The documents' terms are written once in blocks (`term_blocks`), whose distinct n-grams meet in buckets to count documents.
+    With `max_features` the n-gram table has a fixed size and, without `by`, is broadcast. The weights go back to the blocks as
+    packed lists by a hinted shuffle join, and are spelled out per document and n-gram without a further shuffle. Only where a
+    `key` repeats, whose rows share one length, are the rows brought together by it.
     """
     by = list(by)
     keys = _keys(terms)
-    rows = long_terms(terms)
+    blocks = written(term_blocks(terms.dropna(subset=by) if by else terms, keys, by), "term-blocks")
+    buckets = None
     if max_features is None:
-        held = terms.select(*by, F.explode_outer(F.array_distinct("grams")).alias("ngram")).where(F.col("ngram").isNotNull())
-        counts = held.groupBy(*by, "ngram").agg(F.count("*").alias("_df"))
+        buckets = bucket_count(blocks)
+        weights = all_weights(blocks, buckets, by)
     else:
-        counts = rows.groupBy(*by, "ngram").agg(F.sum("tf").alias("_total"), F.count("*").alias("_df"))
+        entries = block_entries(blocks, by)
+        counts = entries.groupBy(*by, "ngram").agg(F.sum("df").alias("_df"), F.sum("tf").alias("_total"))
         order = [F.desc("_total"), F.col("ngram")]
         counts = top_per_group(counts, by, order, max_features) if by else counts.orderBy(*order).limit(max_features)
-    if by:
-        counts = counts.join(written(terms.groupBy(*by).agg(F.count("*").alias("_docs")), "docs"), by)
-        docs = F.col("_docs")
-    else:
-        docs = terms.agg(F.count("*").alias("n")).select("n").scalar()
-    idf = counts.select(*by, "ngram", (F.log((docs + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
-    idf = F.broadcast(idf) if max_features is not None and not by else idf.hint("shuffle_hash")
-    weighted = rows.join(idf, [*by, "ngram"]).withColumn("_w", F.col("tf") * F.col("_idf"))
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*by, key)))
-    return weighted.select(*keys, "ngram", "tf", (F.col("_w") / length).alias("weight"))
+        if by:
+            counts = counts.join(written(blocks.groupBy(*by).agg(F.sum("docs").alias("_docs")), "docs"), by)
+        docs = F.col("_docs") if by else blocks.agg(F.sum("docs").alias("n")).select("n").scalar()
+        idf = counts.select(*by, "ngram", (F.log((docs + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
+        weights = picked_weights(entries.join(idf.hint("shuffle_hash") if by else F.broadcast(idf), [*by, "ngram"]))
+    weights = written(weights, "block-weights")
+    lone = blocks.select(*by, F.explode(F.transform("rows", lambda r: r[key])).alias("_key")).groupBy(*by, "_key").count().where("count > 1").isEmpty()
+    rows = weighted_terms(blocks, weights, keys, buckets, scaled=lone)
+    if lone:
+        return rows
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(*by, key)))
+    return rows.withColumn("weight", F.col("weight") / length)
 
 
 def ngram_totals(weights: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -136,11 +142,10 @@ def top_ngrams(totals: DataFrame, n: int = 10, by: Sequence[str] = ()) -> DataFr
 def ngram_profile(weights: DataFrame, key: str, n: int = 10) -> DataFrame:
     """Weight per key and n-gram for the corpus-wide top n, in long form.
 
-    The totals per key are written once; the corpus ranking sums them, so the weights are computed in one pass.
+    The ranking comes first, so that totals per key are only made of the top n. `weights` is read twice.
     """
-    per_key = written(ngram_totals(weights, [key]), "profile")
-    top = top_ngrams(ngram_totals(per_key), n).select("ngram")
-    return per_key.join(F.broadcast(top), "ngram", "left_semi")
+    top = written(top_ngrams(ngram_totals(weights), n).select("ngram"), "top")
+    return ngram_totals(weights.join(F.broadcast(top), "ngram", "left_semi"), [key]).select("ngram", key, "weight")
 
 
 def profile_matrix(profile: DataFrame, key: str, ngrams: Sequence[str], keys: DataFrame | None = None) -> DataFrame:
