@@ -76,3 +76,12 @@ def test_sparse_components_equal_the_dense_ones_up_to_sign(spark):
     assert np.allclose(np.abs(a), np.abs(b), atol=1e-9) and np.allclose(a.mean(axis=0), 0, atol=1e-9)
     centred_table = table - table.mean(axis=0)
     assert np.allclose(np.sort(a.var(axis=0))[::-1], np.sort(np.linalg.eigvalsh(centred_table.T @ centred_table / 80))[::-1][:4])
+
+
+def test_steps_read_rows_packed_as_matrices(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i), float(-i), i % 2) for i in range(2500)], "a double, b double, target int")
+    rows = df.coalesce(1).select("target", array_to_vector(F.array("a", "b")).alias("features"))
+    kept, summed = [], Network._summed
+    monkeypatch.setattr(Network, "_summed", lambda self, packed, flat: kept.append(packed) or summed(self, packed, flat))
+    Network(2, 2, rounds=1).fit(rows)
+    assert sorted(r.n for r in kept[0].collect()) == [500, 1000, 1000]

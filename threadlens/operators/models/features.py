@@ -87,7 +87,8 @@ class TextVectors:
 class MixedFeatures:
     """Community one-hot, capped TF-IDF, time as unix seconds and the sentiment column in one vector.
 
-    Fitted on the training rows only; `scale` standardises the vector, without it unix seconds dominate distances.
+    Fitted on the training rows only; `scale` standardises the vector, without it unix seconds dominate distances. The
+    training rows' text vectors are made and written once, for the fit and for `transform` of the same frame.
     """
 
     def __init__(
@@ -100,7 +101,8 @@ class MixedFeatures:
         stages.append(assemble(["community_vector", "text_vector", "_seconds", *self.passed], "raw_features" if scale else "features"))
         if scale:
             stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True))
-        self.model = Pipeline(stages=stages).fit(self._staged(train))
+        self.fitted_on, self.rows = train, written(self._staged(train), "mixed-rows")
+        self.model = Pipeline(stages=stages).fit(self.rows)
         self.names = self._names(community)
 
     def _staged(self, df: DataFrame) -> DataFrame:
@@ -111,15 +113,19 @@ class MixedFeatures:
         return [f"{community}_{c}" for c in labels] + self.text.vocabulary + [self.created, *self.passed]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self._staged(df)).drop("community_vector", "community_vector_index", "text_vector", "_seconds")
+        staged = self.rows if df is self.fitted_on else self._staged(df)
+        return self.model.transform(staged).drop("community_vector", "community_vector_index", "text_vector", "_seconds")
 
 
 def reduced_text(train: DataFrame, text: str = "body", size: int = 1000, components: int = 100, stopwords: Sequence[str] = ()):
-    """Function adding a `text_pca` column: TF-IDF over uni- and bigrams projected to fewer dimensions."""
+    """Function adding a `text_pca` column: TF-IDF over uni- and bigrams projected to fewer dimensions.
+
+    The vectors of `train` are made and written once, for the fit and for adding the column to `train` itself.
+    """
     vectors = TextVectors(train, text, size, stopwords, 1, 2)
-    rows = written(vectors.add(train).select("text_vector"), "text_vectors")
+    rows = written(vectors.add(train), "text_vectors")
     add = sparse_components(rows, "text_vector", min(components, len(vectors.vocabulary)), "text_pca")
-    return lambda df: add(vectors.add(df)).drop("text_vector")
+    return lambda df: add(rows if df is train else vectors.add(df)).drop("text_vector")
 
 
 def sparse_components(train: DataFrame, source: str, k: int, output: str):
@@ -128,7 +134,7 @@ def sparse_components(train: DataFrame, source: str, k: int, output: str):
     Vectors stay sparse: the covariance comes from the sparse rows' products with the mean taken out of the sum, and the
     mean's own coordinates are taken off after projecting. `train` is read three times, so give it written.
     """
-    model = PCA(k=k, inputCol=source, outputCol="_coordinates").fit(train)
+    model = PCA(k=k, inputCol=source, outputCol="_coordinates").fit(train.select(source))
     mean = train.select(Summarizer.mean(F.col(source)).alias("mean")).first()["mean"]
     shift = F.array(*[F.lit(float(v)) for v in mean.toArray() @ model.pc.toArray()])
     centred = array_to_vector(F.zip_with(vector_to_array("_coordinates"), shift, lambda x, m: x - m))

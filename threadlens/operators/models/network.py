@@ -44,8 +44,17 @@ def _gradient(layers: Layers, x: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.concatenate([*parts, [loss]])
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+#: Rows that are kept together as one matrix.
+_PACKED_ROWS = 1000
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `x` and `target` as matrices of up to `_PACKED_ROWS` rows, which every step reads without unpacking them by value."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _PACKED_ROWS):
+            part = batch.slice(at, _PACKED_ROWS)
+            x, target = (c.to_numpy(zero_copy_only=False) for c in (part.column("x").flatten(), part.column("target")))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([part.num_rows], pa.int64()), "x": [x.astype(np.float64).tobytes()], "target": [target.astype(np.int32).tobytes()]})
 
 
 class Network:
@@ -84,8 +93,9 @@ class Network:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(flat) + 1)
             for batch in batches:
-                if batch.num_rows:
-                    total += _gradient(layers, _matrix(batch.column("x"), width), batch.column("target").to_numpy())
+                for x, target in zip(batch.column("x"), batch.column("target")):
+                    matrix = np.frombuffer(x.as_buffer(), np.float64).reshape(-1, width)
+                    total += _gradient(layers, matrix, np.frombuffer(target.as_buffer(), np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["place", "value"])
 
         sums = rows.mapInArrow(work, "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
@@ -95,8 +105,9 @@ class Network:
         return out
 
     def fit(self, df: DataFrame) -> NetworkModel:
-        rows = written(df.where("target is not null and features is not null").select(vector_to_array("features").alias("x"), F.col("target").cast("int").alias("target")), "network")
-        n = rows.count()
+        known = df.where("target is not null and features is not null").select(vector_to_array("features").alias("x"), F.col("target").cast("int").alias("target"))
+        rows = written(known.mapInArrow(_packed, "n bigint, x binary, target binary"), "network")
+        n = rows.agg(F.sum("n")).first()[0]
         if not n:
             raise ValueError("no rows to train on")
         flat, mask = self._start()
