@@ -89,11 +89,11 @@ def test_text_features_of_the_training_rows_are_made_once(spark, plan):
     from threadlens.operators.models.features import MixedFeatures, reduced_text
 
     df = _posts(spark, 60)
-    mixed = MixedFeatures(df, scale=True)
+    mixed = MixedFeatures(df, scale=True, reuse=True)
     assert "regexp_extract_all" not in plan(mixed.transform(df)) and "regexp_extract_all" in plan(mixed.transform(df.where("id < 9")))
     again = {r.id: r.features for r in mixed.transform(df.where("id < 9")).collect()}
     assert again == {r.id: r.features for r in mixed.transform(df).collect() if r.id < 9}
-    add = reduced_text(df, components=3)
+    add = reduced_text(df, components=3, reuse=True)
     assert "regexp_extract_all" not in plan(add(df)) and "regexp_extract_all" in plan(add(df.where("id < 9")))
     assert add(df).columns == [*df.columns, "text_pca"] and add(df).count() == 60
     assert {r.id: r.text_pca for r in add(df).where("id < 9").collect()} == {r.id: r.text_pca for r in add(df.where("id < 9")).collect()}

@@ -23,7 +23,7 @@ def kmeans(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, scale:
 
 def kmeans_mixed(df: DataFrame, k: int = 5, seed: int = 42, scale: bool = False, **features) -> DataFrame:
     """Add `cluster` from k-means over community, text, time and sentiment together."""
-    made = MixedFeatures(df, scale=scale, **features).transform(df)
+    made = MixedFeatures(df, scale=scale, reuse=True, **features).transform(df)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(made)
     return model.transform(made).drop("features", "raw_features")
 

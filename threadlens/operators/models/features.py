@@ -87,13 +87,14 @@ class TextVectors:
 class MixedFeatures:
     """Community one-hot, capped TF-IDF, time as unix seconds and the sentiment column in one vector.
 
-    Fitted on the training rows only; `scale` standardises the vector, without it unix seconds dominate distances. The
-    training rows' text vectors are made and written once, for the fit and for `transform` of the same frame.
+    Fitted on the training rows only; `scale` standardises the vector, without it unix seconds dominate distances. With
+    `reuse` the training rows' text vectors are made and written once, for the fit and for `transform` of the same frame; its
+    rows may then come in another order, which seeded forests and boosting would show.
     """
 
     def __init__(
         self, train: DataFrame, text: str = "body", community: str = "subreddit", created: str = "created_ts",
-        passed: Sequence[str] = ("sentiment",), size: int = 100, stopwords: Sequence[str] = (), scale: bool = False,
+        passed: Sequence[str] = ("sentiment",), size: int = 100, stopwords: Sequence[str] = (), scale: bool = False, reuse: bool = False,
     ):
         self.created, self.passed = created, list(passed)
         self.text = TextVectors(train, text, size, stopwords)
@@ -101,7 +102,8 @@ class MixedFeatures:
         stages.append(assemble(["community_vector", "text_vector", "_seconds", *self.passed], "raw_features" if scale else "features"))
         if scale:
             stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True))
-        self.fitted_on, self.rows = train, written(self._staged(train), "mixed-rows")
+        self.fitted_on, staged = (train if reuse else None), self._staged(train)
+        self.rows = written(staged, "mixed-rows") if reuse else staged
         self.model = Pipeline(stages=stages).fit(self.rows)
         self.names = self._names(community)
 
@@ -117,15 +119,19 @@ class MixedFeatures:
         return self.model.transform(staged).drop("community_vector", "community_vector_index", "text_vector", "_seconds")
 
 
-def reduced_text(train: DataFrame, text: str = "body", size: int = 1000, components: int = 100, stopwords: Sequence[str] = ()):
+def reduced_text(
+    train: DataFrame, text: str = "body", size: int = 1000, components: int = 100, stopwords: Sequence[str] = (), reuse: bool = False
+):
     """Function adding a `text_pca` column: TF-IDF over uni- and bigrams projected to fewer dimensions.
 
-    The vectors of `train` are made and written once, for the fit and for adding the column to `train` itself.
+    With `reuse` the vectors of `train`, written for the fit, also serve for adding the column to `train` itself; its rows may
+    then come in another order, which seeded forests would show.
     """
     vectors = TextVectors(train, text, size, stopwords, 1, 2)
-    rows = written(vectors.add(train), "text_vectors")
+    made = vectors.add(train)
+    rows = written(made if reuse else made.select("text_vector"), "text_vectors")
     add = sparse_components(rows, "text_vector", min(components, len(vectors.vocabulary)), "text_pca")
-    return lambda df: add(rows if df is train else vectors.add(df)).drop("text_vector")
+    return lambda df: add(rows if reuse and df is train else vectors.add(df)).drop("text_vector")
 
 
 def sparse_components(train: DataFrame, source: str, k: int, output: str):

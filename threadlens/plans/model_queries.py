@@ -112,7 +112,7 @@ def text_components(spark, sf_dir):
     """Whole texts projected to 100 components of their TF-IDF over 1000 n-grams, one row per text and component."""
     rows = ds.document_activity(spark, sf_dir)
     xs = vector_to_array("text_pca")
-    made = reduced_text(rows, stopwords=ds.STOPWORDS)(rows)
+    made = reduced_text(rows, stopwords=ds.STOPWORDS, reuse=True)(rows)
     return made.select("id", F.posexplode(xs).alias("component", "value"))
 
 

@@ -124,7 +124,8 @@ class ScorePrediction:
         if per_community is not None:
             rest = sampling.sample_per_group(rest, "subreddit", per_community, key, seed)
         train, valid = sampling.train_test_split(rest, 0.25, key, seed)
-        self.mixed = MixedFeatures(train, stopwords=stopwords, size=words, scale=scale)
+        # Scaling passes over the vectors once more; the networks that need it do not depend on the order of rows.
+        self.mixed = MixedFeatures(train, stopwords=stopwords, size=words, scale=scale, reuse=scale)
         # The fits pass over the vectors many times; text features are computed once.
         self.train, self.valid = (
             written(self.mixed.transform(p).select(key, "score_category", "features"), "vectors") for p in (train, valid)
