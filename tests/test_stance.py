@@ -234,3 +234,29 @@ def test_negations_and_boosters(spark, seed):
             total += v
         assert got[i] == (None if text is None else pytest.approx(total / (total * total + 15) ** 0.5))
     assert got[101] < 0 and sentiment.rule_polarity(spark.createDataFrame(texts[:2], "id int, body string"), lexicon.limit(0)).where("polarity = 0").count() == 2
+
+
+def test_fuzzy_scan_passes_on_only_windows_that_can_reach_the_threshold():
+    import random
+
+    from threadlens.operators.lexicon_scan import PieceScanner
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = next_row(row, i, x, b)
+        return row[-1]
+
+    def next_row(row, i, x, b):
+        out = [i]
+        for j, y in enumerate(b, 1):
+            out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
+        return out
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 6))) for _ in range(400)]
+    targets = [(i, t, t, int(0.2 * len(t) / 0.8 + 1e-9)) for i in range(12) for t in [" ".join(words[i * 9 : i * 9 + 3]).replace("a", "b", 1)]]
+    text, near = " ".join(words), lambda found: {(w["place"], w["window"]) for w in found if edits(w["target"], w["window"]) <= 0.2 * max(len(w["target"]), len(w["window"])) + 1e-9}
+    loose, tight = PieceScanner(targets, 1)(text), PieceScanner(targets, 1, False, 1.0 - 80.0 / 100.0)(text)
+    assert near(tight) == near(loose) == near(PieceScanner(targets, 1, True)(text)) and near(tight)
+    assert len(tight) < len(loose) and all(abs(len(w["target"]) - len(w["window"])) <= 0.2 * max(len(w["target"]), len(w["window"])) + 1e-9 for w in tight)
