@@ -68,3 +68,40 @@ def test_counts_cover_the_whole_text():
     terms, counts = toxicity.counts_of("Ab cd, AB! " * 5000, known)
     assert sorted(counts) == [5000, 10000] and (np.diff(terms) > 0).all()
     assert [len(x) for x in toxicity.counts_of(" \n", known)] == [0, 0]
+
+
+def test_words_equal_the_pattern():
+    texts = ["".join(map(chr, range(k, min(k + 700, 0xD800)))) for k in range(0, 0xD800, 700)]
+    for text in [*texts, "Kelvin K and İx", "a_b-c 1e9\x1cz\x85y", "", "__"]:
+        assert toxicity.words_of(text) == toxicity._WORD.findall(text.lower())
+
+
+def test_index_holds_the_vectors_once():
+    starts, terms, weights = np.array([0, 2, 3]), np.array([0, 1, 1], np.int32), np.array([0.6, 0.8, 1.0], np.float32)
+    index = toxicity.BlockMaxIndex.of(starts, terms, weights, 2)
+    assert np.shares_memory(index.row_terms, terms) and np.shares_memory(index.row_weights, weights)
+    assert index.postings.nbytes == 8 * len(terms) and not hasattr(index, "weights")
+
+
+def test_long_texts_keep_their_nearest():
+    """Thousands of terms a text, added up in 32 bits."""
+    vectors = np.random.default_rng(5).random((3000, 2500)) + 0.5
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = toxicity.BlockMaxIndex(_rows(vectors), 2500)
+    near = index.nearest(_rows(vectors[7:8])[0], np.ones(3000), 30)
+    exact = vectors.astype(np.float32).astype(float) @ vectors[7]
+    assert near[0][1] == 7 and [i for _, i in near] == np.argsort(-exact, kind="stable")[:30].tolist()
+
+
+def test_texts_are_taken_out_of_a_batch_run_by_run(monkeypatch):
+    import pyarrow as pa
+
+    from threadlens.llm import chunks
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["aa", None, "ééé", "", "bbbb", "c", "d"])], ["doc_id", "text"])
+    runs = chunks.slices(iter([batch, batch.slice(0, 0)]), most_chars=4, most_rows=3)
+    assert [(rows.column(0).to_pylist(), strings) for rows, strings in runs] == [([0, 1], ["aa", ""]), ([2, 3], ["ééé", ""]), ([4], ["bbbb"]), ([5, 6], ["c", "d"])]
+    seen = []
+    monkeypatch.setattr(chunks.pc, "utf8_length", lambda column: seen.append(len(column)) or pa.array([1] * len(column)))
+    next(chunks.slices(iter([batch]), most_rows=2))
+    assert seen == [7]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class Memo(dict):
@@ -26,15 +27,16 @@ class Memo(dict):
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most_chars: int = 4_000_000, most_rows: int = 1000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Runs of rows with a bounded amount of text each (one row at least), and their texts; null becomes the empty text."""
     for batch in batches:
-        texts = ["" if t is None else t for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            if i > start and (size + len(t) > most_chars or i - start >= most_rows):
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(batch.schema.get_field_index(text))
+        cuts, size = [0], 0
+        for i, n in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+            if i > cuts[-1] and (size + n > most_chars or i - cuts[-1] >= most_rows):
+                cuts.append(i)
+                size = 0
+            size += n
+        if len(column):
+            for start, end in zip(cuts, [*cuts[1:], len(column)], strict=True):
+                yield batch.slice(start, end - start), ["" if t is None else t for t in column.slice(start, end - start).to_pylist()]
 
 
 def id_lists(encoded: list[bytes]) -> pa.ListArray:

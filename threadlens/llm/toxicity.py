@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 from hashlib import blake2b
@@ -24,12 +25,14 @@ from threadlens.session import written
 MAX_EXAMPLES = 20_000
 _PREFIXES = range(4, 9)
 _WORD = re.compile(r"[^\W_]+")
+#: What `_WORD` leaves out, as spaces, for texts of ASCII alone.
+_SPACED = "".join(chr(i) if chr(i).isalnum() else " " for i in range(128))
 _HALF, _STEM = 1 << 63, 0xFFFFFF << 40
 _BLOCK = 64
 _NEIGHBOURS = 30
 #: Terms that the index has as a matrix too, at most; queries that are multiplied with it at once; what rounding can make of
-#: products of vectors of length 1 over so many terms in 32 bits, with room to spare.
-_COMMON, _BATCH, _SLACK = 512, 64, 1e-4
+#: products of vectors of length 1 over so many terms in 32 bits, with room to spare, and what a further term adds to that.
+_COMMON, _BATCH, _SLACK, _ROUNDING = 512, 128, 1e-4, 2.4e-7
 #: Examples left by bounds are scored on their own if they are at most one in so many.
 _FEW = 256
 
@@ -52,9 +55,22 @@ def numbers_of(word: str, stems: frozenset[int] | None = None) -> list[int]:
     return out
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters and digits of a text in lower case."""
+    lower = text.lower()
+    return lower.translate(_SPACED).split() if lower.isascii() else _WORD.findall(lower)
+
+
 def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the distinct terms of a text, rising, and how often each stands there."""
-    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, _WORD.findall(text.lower()))), np.int64), return_counts=True)
+    words = Counter(words_of(text))
+    found = list(map(known.__getitem__, words))
+    sizes = list(map(len, found))
+    numbers = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
+    order = np.argsort(numbers)
+    numbers, counts = numbers[order], np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)[order]
+    first = np.flatnonzero(np.concatenate([numbers[:1] == numbers[:1], numbers[1:] != numbers[:-1]]))
+    return numbers[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 class BlockMaxIndex:
@@ -72,10 +88,14 @@ class BlockMaxIndex:
 
     def build(self, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> None:
         self.n, self.blocks = len(starts) - 1, -(-(len(starts) - 1) // _BLOCK)
-        self.starts, self.row_terms, self.row_weights = starts, terms.astype(np.int32), weights.astype(np.float32)
+        self.starts, self.row_terms, self.row_weights = starts, terms.astype(np.int32, copy=False), weights.astype(np.float32, copy=False)
         by_term = np.argsort(self.row_terms, kind="stable")
-        self.ids = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(starts))[by_term]
-        self.weights = self.row_weights[by_term]
+        #: Example and bits of the weight of each posting, side by side, so that a list is one piece.
+        postings = np.empty((len(by_term), 2), np.int32)
+        postings[:, 0] = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(starts))[by_term]
+        postings[:, 1] = self.row_weights.view(np.int32)[by_term]
+        del by_term
+        self.postings = postings.view(np.int64).ravel()
         sizes = np.bincount(self.row_terms, minlength=n_terms)
         self.cuts = np.concatenate([[0], np.cumsum(sizes)])
         frequent = np.flatnonzero(sizes >= max(_BLOCK, self.blocks))
@@ -83,9 +103,10 @@ class BlockMaxIndex:
         self.column = np.full(n_terms, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
         self.largest = np.zeros((len(frequent), self.blocks), np.float32)
-        self.dense, self.blank = np.zeros((self.n, len(frequent)), np.float32), np.zeros(n_terms)
+        self.dense = np.zeros((self.n, len(frequent)), np.float32)
+        self.blank, self.asked = np.zeros(n_terms), np.zeros(n_terms, bool)
         for k, t in enumerate(frequent):
-            ids, weights = self.ids[self.cuts[t] : self.cuts[t + 1]], self.weights[self.cuts[t] : self.cuts[t + 1]]
+            ids, weights = postings[self.cuts[t] : self.cuts[t + 1], 0], postings[self.cuts[t] : self.cuts[t + 1], 1].copy().view(np.float32)
             np.maximum.at(self.largest[k], ids // _BLOCK, weights)
             self.dense[ids, k] = weights
 
@@ -96,43 +117,60 @@ class BlockMaxIndex:
     def closest(self, queries: list[tuple[np.ndarray, np.ndarray]], votes: np.ndarray, enough: float, less: list[int | None] | None = None) -> list[list[tuple[float, int]]]:
         """`nearest` for (terms, weights) of several queries; the example in `less`, if any, has a vote less for its query.
 
-        Postings of all but the commonest terms are added up first. Where the blocks' bounds of the common terms cannot lift
-        more than a few of the examples over those found, these alone are left; the other queries get the common terms'
-        part by one product of matrices, which is off by less than _SLACK. What is left is scored from its own vectors, so
-        results do not depend on the queries they came with.
+        Postings of all but the commonest terms are added up first, in 32 bits. Where the blocks' bounds of the common terms
+        cannot lift more than a few of the examples over those found, these alone are left; the other queries get the common
+        terms' part by one product of matrices. Both are off by less than the slack. What is left is scored from its own
+        vectors, so results do not depend on the queries they came with.
         """
         need = int(enough) + 1
         less = less or [None] * len(queries)
         which: list[np.ndarray | None] = [None] * len(queries)
-        scores = np.zeros((len(queries), self.n), np.float32)
+        scores = np.zeros((len(queries), self.blocks * _BLOCK), np.float32)
         common = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        slack = [_SLACK + _ROUNDING * len(terms) for terms, _ in queries]
         for q, (terms, weights) in enumerate(queries):
             column = self.column[terms]
-            score = self._added(terms[column < 0], weights[column < 0])
-            slots, weights = column[column >= 0], weights[column >= 0]
-            if len(slots) and self.n > 8 * need:
-                floor = np.partition(score, self.n - need)[self.n - need] - 1e-6
-                rest = weights @ self.largest[slots]
+            rare = column < 0
+            self._add(scores[q], terms[rare], weights[rare])
+            common[q, column[~rare]] = weights[~rare]
+        if common.shape[1] and self.n > 8 * need:
+            for q, rest in enumerate(common @ self.largest):
+                floor = self._floor(scores[q], need) - slack[q]
                 if floor > rest.min():
-                    found = np.flatnonzero(score + np.repeat(rest, _BLOCK)[: self.n] >= floor)
+                    found = np.flatnonzero((scores[q] + np.repeat(rest, _BLOCK))[: self.n] >= floor)
                     if _FEW * len(found) <= self.n:
                         which[q] = found
-            scores[q], common[q, slots] = score, weights
         open_ = [q for q in range(len(queries)) if which[q] is None]
         if open_ and common.shape[1]:
-            scores[open_] += common[open_] @ self.dense.T
+            for q, added in zip(open_, common[open_] @ self.dense.T, strict=True):
+                scores[q, : self.n] += added
         for q in open_:
-            floor = np.partition(scores[q], self.n - need)[self.n - need] - _SLACK if self.n > need else 0.0
-            which[q] = np.flatnonzero(scores[q] >= floor) if floor > 0 else np.flatnonzero(scores[q])
+            which[q] = self._found(scores[q], need, slack[q])
         return [self._best(*query, found, votes, enough, i) for query, found, i in zip(queries, which, less, strict=True)]
 
-    def _added(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What the postings of these terms add to every example's score."""
-        cuts = [slice(a, b) for a, b in zip(self.cuts[terms].tolist(), self.cuts[terms + 1].tolist(), strict=True)]
-        if not cuts:
-            return np.zeros(self.n)
-        added = np.repeat(weights, self.cuts[terms + 1] - self.cuts[terms]) * np.concatenate([self.weights[c] for c in cuts])
-        return np.bincount(np.concatenate([self.ids[c] for c in cuts]), added, self.n)
+    def _add(self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Add to every example's score what the postings of these terms give."""
+        start, end = self.cuts[terms], self.cuts[terms + 1]
+        if len(terms):
+            found = np.concatenate([self.postings[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]).view(np.int32)
+            added = np.repeat(weights.astype(np.float32), end - start)
+            added *= found.view(np.float32)[1::2]
+            np.add.at(score, found[::2].astype(np.intp), added)
+
+    def _floor(self, score: np.ndarray, need: int) -> float:
+        """A score that `need` examples reach: the largest of that rank, or among the largest of each of many groups."""
+        tops = score.reshape(_BLOCK, -1).max(axis=0) if self.blocks > 4 * need else score
+        return float(np.partition(tops, len(tops) - need)[len(tops) - need])
+
+    def _found(self, score: np.ndarray, need: int, slack: float) -> np.ndarray:
+        """The examples that may be among the `need` nearest, with scores off by less than `slack`."""
+        if self.n <= need:
+            return np.flatnonzero(score)
+        found = np.flatnonzero(score >= floor) if (floor := self._floor(score, need) - slack) > 0 else np.flatnonzero(score)
+        if len(found) > need:
+            near = score[found]
+            found = found[near >= np.partition(near, len(near) - need)[len(near) - need] - slack]
+        return found
 
     def _best(self, terms: np.ndarray, weights: np.ndarray, which: np.ndarray, votes: np.ndarray, enough: float, less: int | None) -> list[tuple[float, int]]:
         """`nearest` among the examples in `which`, from their own vectors."""
@@ -140,21 +178,25 @@ class BlockMaxIndex:
             return []
         need = int(enough) + 1
         dense = self.blank
-        dense[terms] = weights
-        sizes = self.starts[which + 1] - self.starts[which]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[which] - ends + sizes, sizes)
-        exact = np.add.reduceat(dense[self.row_terms[at]] * self.row_weights[at], ends - sizes)
-        dense[terms] = 0.0
+        dense[terms], self.asked[terms] = weights, True
+        start, end = self.starts[which], self.starts[which + 1]
+        held = np.concatenate([self.row_terms[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+        at = np.flatnonzero(self.asked.take(held))
+        owner = np.repeat(np.arange(len(which)), end - start)[at]
+        place = at + (end - np.cumsum(end - start))[owner]
+        exact = np.bincount(owner, dense.take(held[at]) * self.row_weights.take(place), len(which))
+        dense[terms], self.asked[terms] = 0.0, False
         if len(which) > need:
             top = np.flatnonzero(exact >= np.partition(exact, len(exact) - need)[len(exact) - need])
             which, exact = which[top], exact[top]
+        order = np.lexsort((which, -exact))
+        which, exact = which[order], exact[order]
         best, total = [], 0.0
-        for i in np.lexsort((which, -exact)):
-            if exact[i] <= 0 or total >= enough:
+        for score, i, n in zip(exact.tolist(), which.tolist(), votes[which].tolist(), strict=True):
+            if score <= 0 or total >= enough:
                 break
-            best.append((float(exact[i]), int(which[i])))
-            total += votes[which[i]] - (which[i] == less)
+            best.append((score, i))
+            total += n - (i == less)
         return best
 
 
@@ -190,8 +232,13 @@ class ToxicityModel:
         self.without_terms = (empty[1] + self.base) / (empty[0] + 1)
         seen.sort(key=lambda g: (g[1] / g[0], g[5]))
         self.votes, self.toxic, self.doc = np.array([g[0] for g in seen], float), np.array([g[1] for g in seen], float), [g[2] for g in seen]
+        self.place = {g[5]: i for i, g in enumerate(seen)}
         starts = np.cumsum([0, *[len(g[3]) for g in seen]])
-        self.terms, column = np.unique(np.concatenate([g[3] for g in seen] or [np.zeros(0, np.int64)]), return_inverse=True)
+        terms, counts = np.concatenate([g[3] for g in seen] or [none]), np.concatenate([g[4] for g in seen] or [np.zeros(0)])
+        n_rows = len(seen)
+        del grouped, seen  # the rows' own arrays go before the sorting takes room
+        self.terms, column = np.unique(terms, return_inverse=True)
+        del terms
         per_row = np.diff(starts)
         n = np.bincount(column, np.repeat(self.votes, per_row), len(self.terms))
         bad = np.bincount(column, np.repeat(self.toxic, per_row), len(self.terms))
@@ -199,26 +246,30 @@ class ToxicityModel:
         error = np.sqrt(share * (1 - share) * (1 / max(toxic, 1) + 1 / max(clean, 1)))
         z = np.divide(bad / max(toxic, 1) - (n - bad) / max(clean, 1), error, out=np.zeros(len(n)), where=error > 0)
         self.factor = (np.log((1 + total) / (1 + n)) + 1) * np.where((z >= 6) & (n >= 5), z, np.where(self.terms & 1, 0.0, 1.0))
-        counts = np.concatenate([g[4] for g in seen] or [np.zeros(0)])
         weights = (1 + np.log(counts)) * self.factor[column]
-        norms = np.sqrt(np.bincount(np.repeat(np.arange(len(seen)), per_row), weights * weights, len(seen)))
+        norms = np.sqrt(np.bincount(np.repeat(np.arange(n_rows), per_row), weights * weights, n_rows))
         weights /= np.repeat(norms, per_row)
         used = weights > 0
-        self.place = {g[5]: i for i, g in enumerate(seen)}
         self._vectors = np.concatenate([[0], np.cumsum(used)])[starts], column[used].astype(np.int32), weights[used].astype(np.float32)
 
     @cached_property
-    def _beginnings(self) -> tuple[frozenset[int], frozenset[int]]:
-        """The telling beginnings and their stems."""
+    def _beginnings(self) -> tuple[frozenset[int], Memo]:
+        """The telling beginnings, and whether four letters are the stem of one."""
         telling = self.telling.tolist()
-        return frozenset(telling), frozenset(n + _HALF & _STEM for n in telling)
+        stems = frozenset(n + _HALF & _STEM for n in telling)
+        return frozenset(telling), Memo(lambda letters: _hash(letters) & _STEM in stems, 50_000)
+
+    @cached_property
+    def _counts(self) -> tuple[list[float], list[float]]:
+        """Votes and toxic votes as Python's numbers."""
+        return self.votes.tolist(), self.toxic.tolist()
 
     @cached_property
     def index(self) -> BlockMaxIndex:
         return BlockMaxIndex.of(*self._vectors, len(self.terms))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("index", "_beginnings", "_sent")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "known", "_beginnings", "_counts", "_sent")}
 
     def sent(self, spark: SparkSession) -> Broadcast:
         """The model on the executors, sent at the first call; `steps` go with each task, as they are fitted later."""
@@ -226,6 +277,11 @@ class ToxicityModel:
             self._sent = spark.sparkContext.broadcast(self)
         return self._sent
 
+    @cached_property
+    def known(self) -> Memo:
+        """`numbers_kept` of the words that this worker met, whichever task they came in."""
+        return Memo(self.numbers_kept, 200_000)
+
     def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words and the telling beginnings."""
         keep = terms & 1 == 0
@@ -236,8 +292,10 @@ class ToxicityModel:
 
     def numbers_kept(self, word: str) -> tuple[int, ...]:
         """`numbers_of`, the words and the telling beginnings only."""
-        telling, stems = self._beginnings
-        return tuple([n for n in numbers_of(word, stems) if not n & 1 or n in telling])
+        telling, told = self._beginnings
+        if len(word) <= _PREFIXES[0] or not told[word[: _PREFIXES[0]]]:
+            return ((_hash(word) & -2) - _HALF,)
+        return tuple([n for n in numbers_of(word) if not n & 1 or n in telling])
 
     def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int] | None = None) -> list[tuple[float, list[int]]]:
         """Votes of the nearest examples of texts with terms, and up to three of them; `own` are the labels if the texts are examples themselves."""
@@ -252,13 +310,13 @@ class ToxicityModel:
             known &= weights > 0
             queries.append((at[known], weights[known]))
             less.append(None if own is None else self.place[_digest(terms, counts)])
-        out = []
+        out, (all_votes, all_toxic) = [], self._counts
         for start in range(0, len(queries), _BATCH):
             part = slice(start, start + _BATCH)
             for k, near in enumerate(self.index.closest(queries[part], self.votes, _NEIGHBOURS, less[part]), start):
                 weight, bad, left, evidence = self.base, self.base * self.base, float(_NEIGHBOURS), []
                 for s, i in near:
-                    votes, toxic = self.votes[i] - (i == less[k]), self.toxic[i] - (own[k] if i == less[k] else 0)
+                    votes, toxic = all_votes[i] - (i == less[k]), all_toxic[i] - (own[k] if i == less[k] else 0)
                     if votes > 0:
                         n = min(votes, left)
                         close = n / (1.05 - min(s, 1.0))
@@ -357,7 +415,7 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known, scored = Memo(model.numbers_kept, 300_000), {}
+        known, scored = model.known, {}
         for rows, strings in slices(batches):
             if len(scored) >= 200_000:
                 scored.clear()
