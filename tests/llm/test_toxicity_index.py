@@ -105,3 +105,16 @@ def test_texts_are_taken_out_of_a_batch_run_by_run(monkeypatch):
     monkeypatch.setattr(chunks.pc, "utf8_length", lambda column: seen.append(len(column)) or pa.array([1] * len(column)))
     next(chunks.slices(iter([batch]), most_rows=2))
     assert seen == [7]
+
+
+def test_vectors_do_not_depend_on_the_parts(monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, int(i % 7 == 0), np.unique(rng.integers(-50, 50, rng.integers(0, 12)) * 2), i) for i in range(60)]
+    rows = [(i, label, terms, rng.integers(1, 4, len(terms)).astype(np.int32)) for i, label, terms, _ in rows]
+    made = []
+    for part in (7, 1000):
+        monkeypatch.setattr(toxicity, "_PART", part)
+        made.append(toxicity.ToxicityModel(rows, 60, 9, np.zeros(0, np.int64)))
+    for a, b in zip(*[[*m._vectors, m.terms, m.factor, m.votes] for m in made], strict=True):
+        assert a.dtype == b.dtype and (a == b).all()
+    assert made[0]._vectors[1].dtype == np.int32 and len(made[0]._vectors[0]) == len(made[0].votes) + 1

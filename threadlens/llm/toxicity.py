@@ -33,6 +33,8 @@ _NEIGHBOURS = 30
 #: Terms that the index has as a matrix too, at most; queries that are multiplied with it at once; what rounding can make of
 #: products of vectors of length 1 over so many terms in 32 bits, with room to spare, and what a further term adds to that.
 _COMMON, _BATCH, _SLACK, _ROUNDING = 512, 128, 1e-4, 2.4e-7
+#: Examples whose vectors the driver weighs at once.
+_PART = 500
 #: Examples left by bounds are scored on their own if they are at most one in so many.
 _FEW = 256
 
@@ -49,9 +51,10 @@ def numbers_of(word: str, stems: frozenset[int] | None = None) -> list[int]:
     """
     out = [(_hash(word) & -2) - _HALF]
     if len(word) > _PREFIXES[0]:
-        stem = _hash(word[: _PREFIXES[0]]) & _STEM
+        first = _hash(word[: _PREFIXES[0]])
+        stem = first & _STEM
         if stems is None or stem in stems:
-            out += [(stem | _hash(word[:n]) & ~_STEM | 1) - _HALF for n in _PREFIXES if n < len(word)]
+            out += [(first | 1) - _HALF, *[(stem | _hash(word[:n]) & ~_STEM | 1) - _HALF for n in _PREFIXES[1:] if n < len(word)]]
     return out
 
 
@@ -233,24 +236,34 @@ class ToxicityModel:
         seen.sort(key=lambda g: (g[1] / g[0], g[5]))
         self.votes, self.toxic, self.doc = np.array([g[0] for g in seen], float), np.array([g[1] for g in seen], float), [g[2] for g in seen]
         self.place = {g[5]: i for i, g in enumerate(seen)}
-        starts = np.cumsum([0, *[len(g[3]) for g in seen]])
-        terms, counts = np.concatenate([g[3] for g in seen] or [none]), np.concatenate([g[4] for g in seen] or [np.zeros(0)])
-        n_rows = len(seen)
-        del grouped, seen  # the rows' own arrays go before the sorting takes room
-        self.terms, column = np.unique(terms, return_inverse=True)
-        del terms
-        per_row = np.diff(starts)
-        n = np.bincount(column, np.repeat(self.votes, per_row), len(self.terms))
-        bad = np.bincount(column, np.repeat(self.toxic, per_row), len(self.terms))
+        # Some rows at a time: only the terms, their places and the weights are ever held for all of them.
+        parts = [slice(a, a + _PART) for a in range(0, len(seen), _PART)]
+        rows, tallies = [[g[3] for g in seen[part]] for part in parts], [np.concatenate([g[4] for g in seen[part]]) for part in parts]
+        per_row = [np.array(list(map(len, some))) for some in rows]
+        del grouped, seen
+        self.terms = np.unique(np.concatenate([np.unique(np.concatenate(some)) for some in rows] or [none]))
+        n, bad = np.zeros(len(self.terms)), np.zeros(len(self.terms))
+        columns = []
+        for part, sizes in zip(parts, per_row, strict=True):
+            column = np.searchsorted(self.terms, np.concatenate(rows.pop(0)))
+            n += np.bincount(column, np.repeat(self.votes[part], sizes), len(n))
+            bad += np.bincount(column, np.repeat(self.toxic[part], sizes), len(bad))
+            columns.append(column.astype(np.int32))
         share = n / max(total, 1)
         error = np.sqrt(share * (1 - share) * (1 / max(toxic, 1) + 1 / max(clean, 1)))
         z = np.divide(bad / max(toxic, 1) - (n - bad) / max(clean, 1), error, out=np.zeros(len(n)), where=error > 0)
         self.factor = (np.log((1 + total) / (1 + n)) + 1) * np.where((z >= 6) & (n >= 5), z, np.where(self.terms & 1, 0.0, 1.0))
-        weights = (1 + np.log(counts)) * self.factor[column]
-        norms = np.sqrt(np.bincount(np.repeat(np.arange(n_rows), per_row), weights * weights, n_rows))
-        weights /= np.repeat(norms, per_row)
-        used = weights > 0
-        self._vectors = np.concatenate([[0], np.cumsum(used)])[starts], column[used].astype(np.int32), weights[used].astype(np.float32)
+        lengths, kept, weighed = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        for sizes in per_row:
+            column, counts = columns.pop(0), tallies.pop(0)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            weights = (1 + np.log(counts)) * self.factor[column]
+            weights /= np.sqrt(np.bincount(owner, weights * weights, len(sizes)))[owner]
+            used = weights > 0
+            lengths.append(np.bincount(owner[used], minlength=len(sizes)))
+            kept.append(column[used])
+            weighed.append(weights[used].astype(np.float32))
+        self._vectors = np.cumsum(np.concatenate(lengths)), np.concatenate(kept), np.concatenate(weighed)
 
     @cached_property
     def _beginnings(self) -> tuple[frozenset[int], Memo]:
