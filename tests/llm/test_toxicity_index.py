@@ -118,3 +118,27 @@ def test_vectors_do_not_depend_on_the_parts(monkeypatch):
     for a, b in zip(*[[*m._vectors, m.terms, m.factor, m.votes] for m in made], strict=True):
         assert a.dtype == b.dtype and (a == b).all()
     assert made[0]._vectors[1].dtype == np.int32 and len(made[0]._vectors[0]) == len(made[0].votes) + 1
+
+
+def test_asked_vectors_equal_those_by_numbers(monkeypatch):
+    """Places of words, kept across texts and emptied when full, give what term numbers give."""
+    texts = ["idiot idiots idiotic people", "good people here", "idiotic view, idiotic people", "good day here", "a fine day"] * 3
+    rows = [(i, int("idiot" in t), *toxicity.counts_of(t, Memo(toxicity.numbers_of, 10))) for i, t in enumerate(texts)]
+    telling = np.array(sorted(n for n in toxicity.numbers_of("idiotic") if n & 1), np.int64)
+    model = toxicity.ToxicityModel([(i, y, t, n.astype(np.int32)) for i, y, t, n in rows], len(rows), sum(y for _, y, _, _ in rows), telling)
+    monkeypatch.setattr(toxicity, "_KNOWN", 6)
+    for text in ["Idiots, idiots and idiotics of today", "people here", "nothing known", "idiotically ... fine", "", *texts[:5]]:
+        terms, counts = model.kept(*toxicity.counts_of(text, Memo(toxicity.numbers_of, 10)))
+        found = model.asked(text)
+        if not len(terms):
+            assert found is None
+            continue
+        at = np.minimum(np.searchsorted(model.terms, terms), len(model.terms) - 1)
+        known = model.terms[at] == terms
+        weights = (1 + np.log(counts)) * np.where(known, model.factor[at], model.unknown)
+        weights /= np.sqrt(weights @ weights)
+        known &= weights > 0
+        assert found[0].tolist() == at[known].tolist() and np.allclose(found[1], weights[known], rtol=1e-12)
+        assert len(model.known) <= max(6, len(set(toxicity.words_of(text))))
+    empty = toxicity.ToxicityModel([], 0, 0, np.zeros(0, np.int64))
+    assert empty.asked("some words")[0].tolist() == [] and empty.scores(["some words", ""], empty.steps)[0][1] == []

@@ -33,6 +33,8 @@ _NEIGHBOURS = 30
 #: Terms that the index has as a matrix too, at most; queries that are multiplied with it at once; what rounding can make of
 #: products of vectors of length 1 over so many terms in 32 bits, with room to spare, and what a further term adds to that.
 _COMMON, _BATCH, _SLACK, _ROUNDING = 512, 128, 1e-4, 2.4e-7
+#: Words whose places a worker keeps; this bounds memory only.
+_KNOWN = 200_000
 #: Examples whose vectors the driver weighs at once.
 _PART = 500
 #: Examples left by bounds are scored on their own if they are at most one in so many.
@@ -291,9 +293,9 @@ class ToxicityModel:
         return self._sent
 
     @cached_property
-    def known(self) -> Memo:
-        """`numbers_kept` of the words that this worker met, whichever task they came in."""
-        return Memo(self.numbers_kept, 200_000)
+    def known(self) -> dict[str, tuple[int, ...]]:
+        """`placed` of the words that this worker met, whichever task they came in; emptied at _KNOWN of them."""
+        return {}
 
     def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words and the telling beginnings."""
@@ -310,19 +312,58 @@ class ToxicityModel:
             return ((_hash(word) & -2) - _HALF,)
         return tuple([n for n in numbers_of(word) if not n & 1 or n in telling])
 
-    def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int] | None = None) -> list[tuple[float, list[int]]]:
-        """Votes of the nearest examples of texts with terms, and up to three of them; `own` are the labels if the texts are examples themselves."""
+    def placed(self, words: Iterable[str]) -> list[tuple[int, ...]]:
+        """Where the terms have each word, -1 if no example has it, and its telling beginnings."""
+        known, unseen = self.known, (-1,)
+        new = [w for w in words if w not in known]
+        if new:
+            if len(known) + len(new) > _KNOWN:
+                known.clear()
+                new = list(words)
+            numbers = list(map(self.numbers_kept, new))
+            flat = np.fromiter(chain.from_iterable(numbers), np.int64)
+            at = np.searchsorted(self.terms, flat)
+            at[self.terms.take(at, mode="clip") != flat if len(self.terms) else slice(None)] = -1
+            places = iter(at.tolist())
+            for word, some in zip(new, numbers, strict=True):
+                first = next(places)
+                known[word] = unseen if first < 0 and len(some) == 1 else (first, *[p for _, p in zip(some[1:], places) if p >= 0])
+        return [known[w] for w in words]
+
+    def asked(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """The vector of a text: places of terms, rising, and weights; None for a text without words."""
+        words = Counter(words_of(text))
+        if not words:
+            return None
+        places = self.placed(words)
+        sizes = list(map(len, places))
+        at = np.fromiter(chain.from_iterable(places), np.int64, sum(sizes))
+        order = np.argsort(at)
+        at, counts = at[order], np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)[order]
+        unseen = np.searchsorted(at, 0)
+        new = (1 + np.log(counts[:unseen])) * self.unknown
+        at, counts = at[unseen:], counts[unseen:]
+        first = np.flatnonzero(np.concatenate([at[:1] == at[:1], at[1:] != at[:-1]]))
+        at, counts = at[first], np.add.reduceat(counts, first) if len(first) else counts
+        weights = (1 + np.log(counts)) * self.factor[at]
+        weights = weights / np.sqrt(weights @ weights + new @ new or 1.0)
+        used = weights > 0
+        return at[used], weights[used]
+
+    def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int]) -> list[tuple[float, list[int]]]:
+        """`votes_near` of examples with terms, by term numbers and counts, without the votes of their own labels, `own`."""
         queries, less = [], []
         for terms, counts in found:
             terms, counts = self.kept(terms, counts)
-            at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-            known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-            tf = 1 + np.log(counts)
-            weights = tf * np.where(known, self.factor[at] if len(self.terms) else 0.0, np.where(terms & 1, 0.0, self.unknown))
+            at = np.searchsorted(self.terms, terms)
+            weights = (1 + np.log(counts)) * self.factor[at]
             weights = weights / np.sqrt(weights @ weights)
-            known &= weights > 0
-            queries.append((at[known], weights[known]))
-            less.append(None if own is None else self.place[_digest(terms, counts)])
+            queries.append((at[weights > 0], weights[weights > 0]))
+            less.append(self.place[_digest(terms, counts)])
+        return self.votes_near(queries, less, own)
+
+    def votes_near(self, queries: list[tuple[np.ndarray, np.ndarray]], less: list[int | None], own: list[int] | None = None) -> list[tuple[float, list[int]]]:
+        """Votes of the nearest examples of vectors, and up to three of them; an example in `less` has a vote of the label in `own` less."""
         out, (all_votes, all_toxic) = [], self._counts
         for start in range(0, len(queries), _BATCH):
             part = slice(start, start + _BATCH)
@@ -338,12 +379,14 @@ class ToxicityModel:
                 out.append((bad / weight, evidence[:3]))
         return out
 
-    def scores(self, found: list[tuple[np.ndarray, np.ndarray]], steps: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, list[int]]]:
+    def scores(self, texts: list[str], steps: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, list[int]]]:
         """Chance of label 1 for every text, calibrated by `steps`, and up to three nearest examples as evidence."""
-        raw = iter(self.raw([f for f in found if len(f[0])]))
+        vectors = [self.asked(text) for text in texts]
+        queries = [v for v in vectors if v is not None]
+        raw = iter(self.votes_near(queries, [None] * len(queries)))
         out = []
-        for terms, _ in found:
-            vote, evidence = next(raw) if len(terms) else (None, [])
+        for vector in vectors:
+            vote, evidence = (None, []) if vector is None else next(raw)
             out.append((float(self.without_terms) if vote is None else float(np.clip(np.interp(vote, *steps), 0.0, 1.0)), evidence))
         return out
 
@@ -428,13 +471,13 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known, scored = model.known, {}
+        scored = {}
         for rows, strings in slices(batches):
             if len(scored) >= 200_000:
                 scored.clear()
             digests = [blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() for text in strings]
             new = {d: text for d, text in zip(digests, strings, strict=True) if d not in scored}
-            scored.update(zip(new, model.scores([counts_of(text, known) for text in new.values()], steps), strict=True))
+            scored.update(zip(new, model.scores(list(new.values()), steps), strict=True))
             found = [scored[d] for d in digests]
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], [*rows.schema.names, "score", "evidence"]
