@@ -142,3 +142,38 @@ def test_asked_vectors_equal_those_by_numbers(monkeypatch):
         assert len(model.known) <= max(6, len(set(toxicity.words_of(text))))
     empty = toxicity.ToxicityModel([], 0, 0, np.zeros(0, np.int64))
     assert empty.asked("some words")[0].tolist() == [] and empty.scores(["some words", ""], empty.steps)[0][1] == []
+
+
+def test_texts_asked_together_equal_texts_asked_alone(monkeypatch):
+    """Words of a batch are numbered, placed and weighed together, also where the numbers are given up in between."""
+    texts = ["Idiots — idiots und Ärzte", "", "idiotic view, idiotic people", "__ 　", "good ñandú 東京 people", "a fine day", "Idiots — idiots und Ärzte"]
+    rows = [(i, int("idiot" in t.lower()), *toxicity.counts_of(t, Memo(toxicity.numbers_of, 10))) for i, t in enumerate(texts)]
+    telling = np.array(sorted(n for n in toxicity.numbers_of("idiotic") if n & 1), np.int64)
+    model = toxicity.ToxicityModel(rows, len(rows), 3, telling)
+    alone = [model.asked(t) for t in texts]
+    for most in (200_000, 4):
+        monkeypatch.setattr(toxicity, "_KNOWN", most)
+        for batch in (texts, texts[2:5], texts):
+            for text, found in zip(batch, model.all_asked(batch), strict=True):
+                one = alone[texts.index(text)]
+                assert (one is None) == (found is None) == (not toxicity.words_of(text))
+                assert one is None or (one[0].tolist() == found[0].tolist() and np.allclose(one[1], found[1], rtol=1e-12))
+    beginnings = [toxicity.beginning("idiotics"[:n]) for n in (4, 5, 6, 7, 8)]
+    assert toxicity.numbers_of("idioticss")[1:] == beginnings
+
+
+def test_driver_gets_only_telling_beginnings(spark, monkeypatch):
+    """The other beginnings, most of the numbers of an example, are left out before examples are sent to the driver."""
+    docs = spark.createDataFrame([(i, f"wonderful words number{i % 5} about gardens " + ("insulting " * 2 if i % 3 == 0 else "flowering")) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    got, made = [], toxicity.ToxicityModel.__init__
+
+    def kept(self, examples, total, toxic, telling):
+        examples = list(examples)
+        got.append((np.concatenate([terms for _, _, terms, _ in examples]), telling))
+        made(self, examples, total, toxic, telling)
+
+    monkeypatch.setattr(toxicity.ToxicityModel, "__init__", kept)
+    toxicity.fit(docs, labels)
+    (terms, telling), = got
+    assert len(telling) and set(terms[terms & 1 == 1].tolist()) == set(telling.tolist())

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cached_property
+from functools import cache, cached_property
 from hashlib import blake2b
 from itertools import chain
 
@@ -27,6 +28,7 @@ _PREFIXES = range(4, 9)
 _WORD = re.compile(r"[^\W_]+")
 #: What `_WORD` leaves out, as spaces, for texts of ASCII alone.
 _SPACED = "".join(chr(i) if chr(i).isalnum() else " " for i in range(128))
+_LOW = np.int64(0xFFFFFFFF)
 _HALF, _STEM = 1 << 63, 0xFFFFFF << 40
 _BLOCK = 64
 _NEIGHBOURS = 30
@@ -45,6 +47,12 @@ def _hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
+def beginning(letters: str) -> int:
+    """The number of a beginning of 4 to 8 letters."""
+    first = _hash(letters[: _PREFIXES[0]])
+    return ((first | 1) if len(letters) == _PREFIXES[0] else (first & _STEM | _hash(letters) & ~_STEM | 1)) - _HALF
+
+
 def numbers_of(word: str, stems: frozenset[int] | None = None) -> list[int]:
     """Numbers of a word in lower case, and of its beginnings of 4 to 8 letters, which stand for them in vectors.
 
@@ -60,10 +68,19 @@ def numbers_of(word: str, stems: frozenset[int] | None = None) -> list[int]:
     return out
 
 
+@cache
+def _in_words() -> np.ndarray:
+    """Whether `_WORD` takes a code point."""
+    return np.fromiter(map(str.isalnum, map(chr, range(0x110000))), bool, 0x110000)
+
+
 def words_of(text: str) -> list[str]:
-    """The runs of letters and digits of a text in lower case."""
+    """The runs of letters and digits of a text in lower case, as `_WORD` finds them."""
     lower = text.lower()
-    return lower.translate(_SPACED).split() if lower.isascii() else _WORD.findall(lower)
+    if lower.isascii():
+        return lower.translate(_SPACED).split()
+    points = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(_in_words().take(points), points, np.uint32(32)).tobytes().decode("utf-32-le", "surrogatepass").split()
 
 
 def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +95,33 @@ def counts_of(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
     return numbers[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+class _Words(dict):
+    """Words numbered as they come; those that are new stand in `new` until their places are known (`extend`)."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.sizes, self.starts, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+    def numbered(self, words: list[list[str]]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, sum(map(len, words)))
+
+    def extend(self, sizes: np.ndarray, places: np.ndarray) -> None:
+        """Take the number of places of each new word, and all their places."""
+        self.starts = np.concatenate([self.starts, len(self.places) + np.cumsum(sizes) - sizes])
+        self.sizes, self.places = np.concatenate([self.sizes, sizes]), np.concatenate([self.places, places])
+        self.new = []
+
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
+
+
 class BlockMaxIndex:
     """Postings of weighted examples, in blocks of neighbouring ids; the commonest terms have their largest weight per block."""
 
@@ -110,6 +154,7 @@ class BlockMaxIndex:
         self.largest = np.zeros((len(frequent), self.blocks), np.float32)
         self.dense = np.zeros((self.n, len(frequent)), np.float32)
         self.blank, self.asked = np.zeros(n_terms), np.zeros(n_terms, bool)
+        self.room = np.empty((0, 0), np.float32), np.empty((0, 0), np.float32)
         for k, t in enumerate(frequent):
             ids, weights = postings[self.cuts[t] : self.cuts[t + 1], 0], postings[self.cuts[t] : self.cuts[t + 1], 1].copy().view(np.float32)
             np.maximum.at(self.largest[k], ids // _BLOCK, weights)
@@ -130,7 +175,7 @@ class BlockMaxIndex:
         need = int(enough) + 1
         less = less or [None] * len(queries)
         which: list[np.ndarray | None] = [None] * len(queries)
-        scores = np.zeros((len(queries), self.blocks * _BLOCK), np.float32)
+        scores, product = self._held(len(queries))
         common = np.zeros((len(queries), self.dense.shape[1]), np.float32)
         slack = [_SLACK + _ROUNDING * len(terms) for terms, _ in queries]
         for q, (terms, weights) in enumerate(queries):
@@ -147,20 +192,28 @@ class BlockMaxIndex:
                         which[q] = found
         open_ = [q for q in range(len(queries)) if which[q] is None]
         if open_ and common.shape[1]:
-            for q, added in zip(open_, common[open_] @ self.dense.T, strict=True):
+            for q, added in zip(open_, np.matmul(common[open_], self.dense.T, out=product[: len(open_)]), strict=True):
                 scores[q, : self.n] += added
         for q in open_:
             which[q] = self._found(scores[q], need, slack[q])
         return [self._best(*query, found, votes, enough, i) for query, found, i in zip(queries, which, less, strict=True)]
 
+    def _held(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of `n` queries, all 0, and room for the product of the common terms; both are used again by the next batch."""
+        if len(self.room[0]) < n:
+            self.room = np.empty((n, self.blocks * _BLOCK), np.float32), np.empty((n, self.n), np.float32)
+        self.room[0][:n] = 0.0
+        return self.room[0][:n], self.room[1]
+
     def _add(self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
         """Add to every example's score what the postings of these terms give."""
         start, end = self.cuts[terms], self.cuts[terms + 1]
         if len(terms):
-            found = np.concatenate([self.postings[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]).view(np.int32)
+            found = np.concatenate([self.postings[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
             added = np.repeat(weights.astype(np.float32), end - start)
             added *= found.view(np.float32)[1::2]
-            np.add.at(score, found[::2].astype(np.intp), added)
+            found &= _LOW
+            np.add.at(score, found, added)
 
     def _floor(self, score: np.ndarray, need: int) -> float:
         """A score that `need` examples reach: the largest of that rank, or among the largest of each of many groups."""
@@ -205,6 +258,15 @@ class BlockMaxIndex:
         return best
 
 
+def _kept(terms: np.ndarray, counts: np.ndarray, telling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words and the telling beginnings."""
+    keep = terms & 1 == 0
+    if len(telling):  # rising, like the terms
+        at = np.minimum(np.searchsorted(telling, terms), len(telling) - 1)
+        keep |= telling[at] == terms
+    return (terms, counts.astype(np.int32, copy=False)) if keep.all() else (terms[keep], counts[keep].astype(np.int32))
+
+
 def _digest(terms: np.ndarray, counts: np.ndarray) -> bytes:
     return blake2b(terms.tobytes() + counts.astype(np.int32).tobytes(), digest_size=16).digest()
 
@@ -227,11 +289,18 @@ class ToxicityModel:
         self.unknown = np.log(1 + total) + 1
         self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
         grouped: dict[bytes, list] = {}
+        # Two growing buffers instead of two small arrays for each example, whose memory would not be given back.
+        all_terms, all_counts = array("q"), array("i")
         for doc, label, terms, counts in examples:
             terms, counts = self.kept(terms, counts)
-            g = grouped.setdefault(_digest(terms, counts), [0, 0, doc, terms, counts])
+            digest = _digest(terms, counts)
+            if digest not in grouped:
+                grouped[digest] = [0, 0, doc, len(all_terms), len(terms)]
+                all_terms.frombytes(terms.tobytes())
+                all_counts.frombytes(counts.tobytes())
+            g = grouped[digest]
             g[0], g[1], g[2] = g[0] + 1, g[1] + label, min(g[2], doc)
-        seen = [(*g, digest) for digest, g in grouped.items() if len(g[3])]
+        seen = [(*g, digest) for digest, g in grouped.items() if g[4]]
         none = np.zeros(0, np.int64)
         empty = grouped.get(_digest(none, none), [0, 0])
         self.without_terms = (empty[1] + self.base) / (empty[0] + 1)
@@ -240,39 +309,48 @@ class ToxicityModel:
         self.place = {g[5]: i for i, g in enumerate(seen)}
         # Some rows at a time: only the terms, their places and the weights are ever held for all of them.
         parts = [slice(a, a + _PART) for a in range(0, len(seen), _PART)]
-        rows, tallies = [[g[3] for g in seen[part]] for part in parts], [np.concatenate([g[4] for g in seen[part]]) for part in parts]
-        per_row = [np.array(list(map(len, some))) for some in rows]
+        starts, per_row = np.array([g[3] for g in seen], np.int64), [np.array([g[4] for g in seen[part]], np.int64) for part in parts]
         del grouped, seen
-        self.terms = np.unique(np.concatenate([np.unique(np.concatenate(some)) for some in rows] or [none]))
+
+        def rows(flat: np.ndarray, part: slice, sizes: np.ndarray) -> np.ndarray:
+            return np.concatenate([flat[a : a + n] for a, n in zip(starts[part].tolist(), sizes.tolist(), strict=True)])
+
+        flat = np.frombuffer(all_terms, np.int64) if all_terms else none
+        self.terms = np.unique(np.concatenate([np.unique(rows(flat, part, sizes)) for part, sizes in zip(parts, per_row, strict=True)] or [none]))
         n, bad = np.zeros(len(self.terms)), np.zeros(len(self.terms))
-        columns = []
+        columns, at = np.zeros(len(flat), np.int32), 0
         for part, sizes in zip(parts, per_row, strict=True):
-            column = np.searchsorted(self.terms, np.concatenate(rows.pop(0)))
+            column = np.searchsorted(self.terms, rows(flat, part, sizes))
             n += np.bincount(column, np.repeat(self.votes[part], sizes), len(n))
             bad += np.bincount(column, np.repeat(self.toxic[part], sizes), len(bad))
-            columns.append(column.astype(np.int32))
+            columns[at : at + len(column)], at = column, at + len(column)
+        del flat, all_terms
         share = n / max(total, 1)
         error = np.sqrt(share * (1 - share) * (1 / max(toxic, 1) + 1 / max(clean, 1)))
         z = np.divide(bad / max(toxic, 1) - (n - bad) / max(clean, 1), error, out=np.zeros(len(n)), where=error > 0)
         self.factor = (np.log((1 + total) / (1 + n)) + 1) * np.where((z >= 6) & (n >= 5), z, np.where(self.terms & 1, 0.0, 1.0))
-        lengths, kept, weighed = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
-        for sizes in per_row:
-            column, counts = columns.pop(0), tallies.pop(0)
+        n_used = int(sum((self.factor[columns[a : a + 1_000_000]] > 0).sum() for a in range(0, len(columns), 1_000_000)))
+        places, weighed, lengths = np.zeros(n_used, np.int32), np.zeros(n_used, np.float32), [np.zeros(1, np.int64)]
+        flat = np.frombuffer(all_counts, np.int32) if all_counts else none
+        read = put = 0
+        for part, sizes in zip(parts, per_row, strict=True):
+            counts = rows(flat, part, sizes)
+            column, read = columns[read : read + len(counts)], read + len(counts)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             weights = (1 + np.log(counts)) * self.factor[column]
             weights /= np.sqrt(np.bincount(owner, weights * weights, len(sizes)))[owner]
             used = weights > 0
             lengths.append(np.bincount(owner[used], minlength=len(sizes)))
-            kept.append(column[used])
-            weighed.append(weights[used].astype(np.float32))
-        self._vectors = np.cumsum(np.concatenate(lengths)), np.concatenate(kept), np.concatenate(weighed)
+            end = put + int(used.sum())
+            places[put:end], weighed[put:end], put = column[used], weights[used], end
+        self._vectors = np.cumsum(np.concatenate(lengths)), places[:put], weighed[:put]
 
     @cached_property
-    def _beginnings(self) -> tuple[frozenset[int], Memo]:
-        """The telling beginnings, and whether four letters are the stem of one."""
+    def _beginnings(self) -> tuple[Memo, Memo]:
+        """Whether four letters are the stem of a telling beginning; the number of a beginning, None if it does not tell."""
         telling = self.telling.tolist()
-        stems = frozenset(n + _HALF & _STEM for n in telling)
-        return frozenset(telling), Memo(lambda letters: _hash(letters) & _STEM in stems, 50_000)
+        stems, numbers = frozenset(n + _HALF & _STEM for n in telling), frozenset(telling)
+        return Memo(lambda letters: _hash(letters) & _STEM in stems, 50_000), Memo(lambda letters: n if (n := beginning(letters)) in numbers else None, 50_000)
 
     @cached_property
     def _counts(self) -> tuple[list[float], list[float]]:
@@ -293,62 +371,67 @@ class ToxicityModel:
         return self._sent
 
     @cached_property
-    def known(self) -> dict[str, tuple[int, ...]]:
-        """`placed` of the words that this worker met, whichever task they came in; emptied at _KNOWN of them."""
-        return {}
+    def known(self) -> _Words:
+        """Places of the words that this worker met, whichever task they came in; emptied at _KNOWN of them."""
+        return _Words()
 
     def kept(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The words and the telling beginnings."""
-        keep = terms & 1 == 0
-        if len(self.telling):  # rising, like the terms
-            at = np.minimum(np.searchsorted(self.telling, terms), len(self.telling) - 1)
-            keep |= self.telling[at] == terms
-        return terms[keep], counts[keep].astype(np.int32)
-
-    def numbers_kept(self, word: str) -> tuple[int, ...]:
-        """`numbers_of`, the words and the telling beginnings only."""
-        telling, told = self._beginnings
-        if len(word) <= _PREFIXES[0] or not told[word[: _PREFIXES[0]]]:
-            return ((_hash(word) & -2) - _HALF,)
-        return tuple([n for n in numbers_of(word) if not n & 1 or n in telling])
-
-    def placed(self, words: Iterable[str]) -> list[tuple[int, ...]]:
-        """Where the terms have each word, -1 if no example has it, and its telling beginnings."""
-        known, unseen = self.known, (-1,)
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > _KNOWN:
-                known.clear()
-                new = list(words)
-            numbers = list(map(self.numbers_kept, new))
-            flat = np.fromiter(chain.from_iterable(numbers), np.int64)
-            at = np.searchsorted(self.terms, flat)
-            at[self.terms.take(at, mode="clip") != flat if len(self.terms) else slice(None)] = -1
-            places = iter(at.tolist())
-            for word, some in zip(new, numbers, strict=True):
-                first = next(places)
-                known[word] = unseen if first < 0 and len(some) == 1 else (first, *[p for _, p in zip(some[1:], places) if p >= 0])
-        return [known[w] for w in words]
+        return _kept(terms, counts, self.telling)
+
+    def _place(self, known: _Words) -> None:
+        """Where the terms have each new word, -1 if no example has it, and its telling beginnings."""
+        told, tells = self._beginnings
+        numbers = np.fromiter(map(_hash, known.new), np.uint64, len(known.new))
+        numbers = ((numbers & np.uint64(_HALF * 2 - 2)) ^ np.uint64(_HALF)).view(np.int64)
+        at, sizes = self._at(numbers), np.ones(len(numbers), np.int64)
+        more = [i for i, word in enumerate(known.new) if len(word) > _PREFIXES[0] and told[word[: _PREFIXES[0]]]]
+        if more:
+            begun = [[t for n in _PREFIXES if n < len(word) and (t := tells[word[:n]]) is not None] for word in map(known.new.__getitem__, more)]
+            found = self._at(np.fromiter(chain.from_iterable(begun), np.int64))
+            owner = np.repeat(more, list(map(len, begun)))[found >= 0]
+            at = np.insert(at, owner + 1, found[found >= 0])
+            sizes += np.bincount(owner, minlength=len(sizes))
+        known.extend(sizes, at)
+
+    def _at(self, numbers: np.ndarray) -> np.ndarray:
+        """Where the terms have numbers, -1 for those they lack."""
+        at = np.searchsorted(self.terms, numbers)
+        at[self.terms.take(at, mode="clip") != numbers if len(self.terms) else slice(None)] = -1
+        return at
 
     def asked(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """The vector of a text: places of terms, rising, and weights; None for a text without words."""
-        words = Counter(words_of(text))
-        if not words:
-            return None
-        places = self.placed(words)
-        sizes = list(map(len, places))
-        at = np.fromiter(chain.from_iterable(places), np.int64, sum(sizes))
-        order = np.argsort(at)
-        at, counts = at[order], np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)[order]
-        unseen = np.searchsorted(at, 0)
-        new = (1 + np.log(counts[:unseen])) * self.unknown
-        at, counts = at[unseen:], counts[unseen:]
-        first = np.flatnonzero(np.concatenate([at[:1] == at[:1], at[1:] != at[:-1]]))
-        at, counts = at[first], np.add.reduceat(counts, first) if len(first) else counts
-        weights = (1 + np.log(counts)) * self.factor[at]
-        weights = weights / np.sqrt(weights @ weights + new @ new or 1.0)
-        used = weights > 0
-        return at[used], weights[used]
+        return self.all_asked([text])[0]
+
+    def all_asked(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """`asked` of texts, all counted, placed and weighed together."""
+        words, known = list(map(words_of, texts)), self.known
+        met = len(known)
+        numbers = known.numbered(words)
+        if met and len(known) > _KNOWN:
+            known.forget()
+            numbers = known.numbered(words)
+        if known.new:
+            self._place(known)
+        owner = np.repeat(np.arange(len(texts)), list(map(len, words)))
+        keys, counts = np.unique(owner * max(len(known), 1) + numbers, return_counts=True)
+        owner, numbers = np.divmod(keys, max(len(known), 1))
+        sizes = known.sizes[numbers]
+        nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = known.places[np.repeat(known.starts[numbers], sizes) + nth]
+        owner, counts = np.repeat(owner, sizes), np.repeat(counts, sizes)
+        keys = owner * (len(self.terms) + 1) + at
+        order = np.argsort(keys)
+        keys, at, owner, counts = keys[order], at[order], owner[order], counts[order]
+        first = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], (keys[1:] != keys[:-1]) | (at[1:] < 0)]))
+        at, owner, counts = at[first], owner[first], np.add.reduceat(counts, first) if len(first) else counts
+        weights = (1 + np.log(counts)) * np.where(at < 0, self.unknown, self.factor.take(at, mode="clip") if len(self.factor) else 0.0)
+        lengths = np.sqrt(np.bincount(owner, weights * weights, len(texts)))
+        lengths[lengths == 0] = 1.0
+        used = np.flatnonzero((at >= 0) & (weights > 0))
+        at, weights = at[used], (weights / lengths[owner])[used]
+        ends = np.searchsorted(owner[used], np.arange(len(texts) + 1)).tolist()
+        return [(at[a:b], weights[a:b]) if some else None for some, a, b in zip(words, ends, ends[1:], strict=False)]
 
     def raw(self, found: list[tuple[np.ndarray, np.ndarray]], own: list[int]) -> list[tuple[float, list[int]]]:
         """`votes_near` of examples with terms, by term numbers and counts, without the votes of their own labels, `own`."""
@@ -381,7 +464,7 @@ class ToxicityModel:
 
     def scores(self, texts: list[str], steps: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, list[int]]]:
         """Chance of label 1 for every text, calibrated by `steps`, and up to three nearest examples as evidence."""
-        vectors = [self.asked(text) for text in texts]
+        vectors = [v for start in range(0, len(texts), _BATCH) for v in self.all_asked(texts[start : start + _BATCH])]
         queries = [v for v in vectors if v is not None]
         raw = iter(self.votes_near(queries, [None] * len(queries)))
         out = []
@@ -439,8 +522,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     share, clean = F.col("n") / total, total - toxic
     error = F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
     telling = by_term.where((F.col("bad") / toxic - (F.col("n") - F.col("bad")) / clean) / error >= 6).select("term").collect()
+    telling = np.array(sorted(r["term"] for r in telling), np.int64)
+
+    def lessened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_kept(np.frombuffer(t, np.int64), np.frombuffer(n, np.int32), telling) for t, n in zip(*[batch.column(i).to_pylist() for i in (2, 3)], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([n.tobytes() for _, n in found], pa.binary())], batch.schema.names
+            )
+
+    # Beginnings that do not tell, most of the numbers, stay with the executors.
+    vectors = written(vectors.mapInArrow(lessened, vectors.schema), "kept")
     rows = ((r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.int64), np.frombuffer(r["counts"], np.int32)) for r in vectors.toLocalIterator())
-    model = ToxicityModel(rows, total, toxic, np.array(sorted(r["term"] for r in telling), np.int64))
+    model = ToxicityModel(rows, total, toxic, telling)
     if not len(model.votes):
         return model
 
