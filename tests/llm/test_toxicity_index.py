@@ -177,3 +177,44 @@ def test_driver_gets_only_telling_beginnings(spark, monkeypatch):
     toxicity.fit(docs, labels)
     (terms, telling), = got
     assert len(telling) and set(terms[terms & 1 == 1].tolist()) == set(telling.tolist())
+
+
+def test_texts_reach_workers_in_small_batches(spark):
+    """By bytes, not by 10,000 rows; a text above the limit goes alone, and a session's own limit stays."""
+    import pyarrow as pa
+
+    from threadlens.llm import common
+
+    docs = spark.range(3000, numPartitions=1).selectExpr("id as doc_id", "repeat('ab ', if(id = 5, 2000000, 1500)) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    spark.conf.unset(common._BATCH_BYTES)
+    try:
+        toxicity.fit(docs.limit(0), labels.limit(0))
+        found = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in found) == 3000 and sorted(r["size"] for r in found)[-2] < 8_000_000 and max(r["size"] for r in found) < 11_000_000
+        spark.conf.set(common._BATCH_BYTES, "1m")
+        toxicity.fit(docs.limit(0), labels.limit(0))
+        assert spark.conf.get(common._BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.unset(common._BATCH_BYTES)
+
+
+def test_resting_index_gives_the_same(monkeypatch):
+    """What a waiting worker gives up is made again; products in parts and batches above _BATCH change no result."""
+    vectors = _vectors(700, 300, 1)
+    index = toxicity.BlockMaxIndex(_rows(vectors), 300)
+    sparse = [(np.flatnonzero(q), q[np.flatnonzero(q)]) for q in vectors[:12]]
+    found = index.closest(sparse, np.ones(700), 10)
+    assert {"dense", "_room"} <= set(vars(index))
+    index.rest()
+    assert not {"dense", "_room"} & set(vars(index))
+    monkeypatch.setattr(toxicity, "_WIDE", 100)
+    assert index.closest(sparse, np.ones(700), 10) == found
+    monkeypatch.setattr(toxicity, "_BATCH", 5)
+    index.rest()
+    assert index.closest(sparse, np.ones(700), 10) == found == [x for q in sparse for x in index.closest([q], np.ones(700), 10)]

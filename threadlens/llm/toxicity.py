@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm.chunks import Memo, slices
-from threadlens.llm.common import fold, texts
+from threadlens.llm.common import fold, small_batches, texts
 from threadlens.session import written
 
 #: Labelled rows that the classifier is fitted on, at most; taken in hash order of the id.
@@ -37,6 +37,8 @@ _NEIGHBOURS = 30
 _COMMON, _BATCH, _SLACK, _ROUNDING = 512, 128, 1e-4, 2.4e-7
 #: Words whose places a worker keeps; this bounds memory only.
 _KNOWN = 200_000
+#: Examples whose common terms are multiplied at once.
+_WIDE = 4096
 #: Examples whose vectors the driver weighs at once.
 _PART = 500
 #: Examples left by bounds are scored on their own if they are at most one in so many.
@@ -151,14 +153,36 @@ class BlockMaxIndex:
         frequent = frequent[np.argsort(-sizes[frequent], kind="stable")[:_COMMON]]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
+        self.frequent = frequent
         self.largest = np.zeros((len(frequent), self.blocks), np.float32)
-        self.dense = np.zeros((self.n, len(frequent)), np.float32)
         self.blank, self.asked = np.zeros(n_terms), np.zeros(n_terms, bool)
-        self.room = np.empty((0, 0), np.float32), np.empty((0, 0), np.float32)
-        for k, t in enumerate(frequent):
-            ids, weights = postings[self.cuts[t] : self.cuts[t + 1], 0], postings[self.cuts[t] : self.cuts[t + 1], 1].copy().view(np.float32)
+        for k in range(len(frequent)):
+            ids, weights = self._list(k)
             np.maximum.at(self.largest[k], ids // _BLOCK, weights)
-            self.dense[ids, k] = weights
+
+    def _list(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Examples and weights of the postings of a common term."""
+        t = self.frequent[k]
+        pairs = self.postings[self.cuts[t] : self.cuts[t + 1]].view(np.int32)
+        return pairs[::2], pairs[1::2].copy().view(np.float32)
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """The common terms' weights as a matrix."""
+        dense = np.zeros((self.n, len(self.frequent)), np.float32)
+        for k in range(len(self.frequent)):
+            ids, weights = self._list(k)
+            dense[ids, k] = weights
+        return dense
+
+    @cached_property
+    def _room(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.empty((_BATCH, self.blocks * _BLOCK), np.float32), np.empty((_BATCH, _WIDE), np.float32)
+
+    def rest(self) -> None:
+        """Give up what is quickly made again, so that a worker that waits holds less."""
+        for name in ("dense", "_room"):
+            self.__dict__.pop(name, None)
 
     def nearest(self, query: list[tuple[int, float]], votes: np.ndarray, enough: float) -> list[tuple[float, int]]:
         """(cosine, example) from the nearest on until their votes reach `enough`; ties by example."""
@@ -176,7 +200,7 @@ class BlockMaxIndex:
         less = less or [None] * len(queries)
         which: list[np.ndarray | None] = [None] * len(queries)
         scores, product = self._held(len(queries))
-        common = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        common = np.zeros((len(queries), len(self.frequent)), np.float32)
         slack = [_SLACK + _ROUNDING * len(terms) for terms, _ in queries]
         for q, (terms, weights) in enumerate(queries):
             column = self.column[terms]
@@ -192,18 +216,22 @@ class BlockMaxIndex:
                         which[q] = found
         open_ = [q for q in range(len(queries)) if which[q] is None]
         if open_ and common.shape[1]:
-            for q, added in zip(open_, np.matmul(common[open_], self.dense.T, out=product[: len(open_)]), strict=True):
-                scores[q, : self.n] += added
+            asked = common[open_]
+            for a in range(0, self.n, _WIDE):
+                some = self.dense[a : a + _WIDE]
+                for q, added in zip(open_, np.matmul(asked, some.T, out=product[: len(open_), : len(some)]), strict=True):
+                    scores[q, a : a + len(some)] += added
         for q in open_:
             which[q] = self._found(scores[q], need, slack[q])
         return [self._best(*query, found, votes, enough, i) for query, found, i in zip(queries, which, less, strict=True)]
 
     def _held(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of `n` queries, all 0, and room for the product of the common terms; both are used again by the next batch."""
-        if len(self.room[0]) < n:
-            self.room = np.empty((n, self.blocks * _BLOCK), np.float32), np.empty((n, self.n), np.float32)
-        self.room[0][:n] = 0.0
-        return self.room[0][:n], self.room[1]
+        """Scores of `n` queries, all 0, and room for products of common terms; up to _BATCH queries use the same memory again."""
+        if n > _BATCH:
+            return np.zeros((n, self.blocks * _BLOCK), np.float32), np.empty((n, _WIDE), np.float32)
+        scores, product = self._room
+        scores[:n] = 0.0
+        return scores[:n], product
 
     def _add(self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
         """Add to every example's score what the postings of these terms give."""
@@ -491,6 +519,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
 
     A document with two labels counts as toxic if one says so. Each example's vote without its own label calibrates scores.
     """
+    small_batches(docs.sparkSession)
     chosen = written(
         labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 0)
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples), "chosen"
@@ -566,6 +595,12 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         scored = {}
+        try:
+            yield from scored_rows(model, scored, batches)
+        finally:
+            model.index.rest()
+
+    def scored_rows(model: ToxicityModel, scored: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, strings in slices(batches):
             if len(scored) >= 200_000:
                 scored.clear()
