@@ -218,3 +218,14 @@ def test_resting_index_gives_the_same(monkeypatch):
     monkeypatch.setattr(toxicity, "_BATCH", 5)
     index.rest()
     assert index.closest(sparse, np.ones(700), 10) == found == [x for q in sparse for x in index.closest([q], np.ones(700), 10)]
+
+
+def test_resting_model_scores_the_same():
+    texts = ["idiotic people", "good people here", "idiotic view", "good day here", "a fine day"] * 3
+    rows = [(i, int("idiot" in t), *toxicity.counts_of(t, Memo(toxicity.numbers_of, 10))) for i, t in enumerate(texts)]
+    model = toxicity.ToxicityModel(rows, len(rows), 6, np.zeros(0, np.int64))
+    found = model.scores(texts, model.steps)
+    for keep in (True, False):
+        model.rest(keep)
+        assert ("index" in vars(model)) == ("known" in vars(model)) == keep
+        assert model.scores(texts, model.steps) == found

@@ -389,6 +389,14 @@ class ToxicityModel:
     def index(self) -> BlockMaxIndex:
         return BlockMaxIndex.of(*self._vectors, len(self.terms))
 
+    def rest(self, keep_index: bool) -> None:
+        """Let a worker that waits hold less."""
+        if keep_index:
+            self.index.rest()
+        else:
+            self.__dict__.pop("index", None)
+            self.__dict__.pop("known", None)
+
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("index", "known", "_beginnings", "_counts", "_sent")}
 
@@ -581,11 +589,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     return model
 
 
-def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
+def with_scores(df: DataFrame, model: ToxicityModel, keep_index: bool = True) -> DataFrame:
     """`df` with score and evidence (ids of the nearest labelled examples); columns of these names are replaced.
 
     Every whole text is compared; equal texts are looked up once in a worker. A null or empty text, like any without words,
-    gets the share of toxic ones among examples without words. Rows stay where they lie.
+    gets the share of toxic ones among examples without words. Rows stay where they lie. Without `keep_index`, every task
+    builds the index anew (about a second) and workers give it up, for steps that more work on the same executors follows.
     """
     kept = df.drop("score", "evidence")
     fields = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.LongType()))])
@@ -598,7 +607,7 @@ def with_scores(df: DataFrame, model: ToxicityModel) -> DataFrame:
         try:
             yield from scored_rows(model, scored, batches)
         finally:
-            model.index.rest()
+            model.rest(keep_index)
 
     def scored_rows(model: ToxicityModel, scored: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, strings in slices(batches):
@@ -624,5 +633,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """The documents that score below `limit`, with their own columns."""
     marked = docs.withColumnsRenamed({c: f"_own_{c}" for c in ("score", "evidence") if c in docs.columns})
-    kept = with_scores(marked, fit(docs, labels)).where(F.col("score") < limit).drop("score", "evidence")
+    kept = with_scores(marked, fit(docs, labels), keep_index=False).where(F.col("score") < limit).drop("score", "evidence")
     return kept.withColumnsRenamed({f"_own_{c}": c for c in ("score", "evidence") if c in docs.columns}).select(docs.columns)
