@@ -16,8 +16,8 @@ from threadlens.session import written
 
 WORDS, SIMILARITY = 5, 0.8
 _SLOTS, _ROWS = 128, 4
-#: Bands of up to so many texts are compared in full in the end.
-SMALL_BAND = 20
+#: Cells of distance to a head while distance and head's size together grow by a factor e.
+CELLS = 6
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,13 +129,18 @@ def bags(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.mapInArrow(work, "node binary, bag array<bigint>").dropDuplicates(["node"]).withColumn("size", F.size("bag"))
 
 
-def _similarity(pairs: DataFrame, bag: DataFrame) -> DataFrame:
-    """`pairs` (a, b) with the weighted Jaccard similarity of their multisets."""
-    left, right = (bag.select(F.col("node").alias(c), F.col("bag").alias(f"bag_{c}")) for c in "ab")
-    both = F.size(F.array_intersect("bag_a", "bag_b"))
-    return pairs.join(left, "a").join(right, "b").withColumn("common", both).withColumn(
-        "similarity", F.col("common") / (F.size("bag_a") + F.size("bag_b") - F.col("common"))
-    ).drop("bag_a", "bag_b", "common")
+def _differences(pairs: DataFrame, bag: DataFrame) -> DataFrame:
+    """`pairs` (head, node) with both sizes, what the two multisets do not share, and their weighted Jaccard similarity."""
+    sides = (bag.select(F.col("node").alias(c), F.col("size").alias(s), F.col("bag").alias(f"bag_{c}")) for c, s in (("head", "head_size"), ("node", "size")))
+    both = pairs.join(next(sides), "head").join(next(sides), "node")
+    diff = both.withColumn("diff", F.concat(F.array_except("bag_node", "bag_head"), F.array_except("bag_head", "bag_node"))).drop("bag_node", "bag_head")
+    return diff.withColumn("apart", F.size("diff")).withColumn("similarity", _jaccard(F.col("size") + F.col("head_size"), F.col("apart")))
+
+
+def _jaccard(sizes: Column, apart: Column) -> Column:
+    """Weighted Jaccard similarity from the sum of two sizes and the number of items that are not shared."""
+    common = (sizes - apart) / 2
+    return common / (sizes - common)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -157,8 +162,8 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
 
     Each band's head is the text whose bands hold the most texts, so the centre of a group of edited copies. It is compared
     with the band's other texts; texts linked to one head are in one class and need no comparison. Texts of different
-    classes are compared in full in bands of up to SMALL_BAND texts, and by what tells them from the head in larger ones
-    (`_across`), which loses no link either. Pairs of one class are left out, so not all links inside a class are listed.
+    classes under one head are compared by what tells them from it (`_across`), which loses no link, in bands of any size.
+    Pairs of one class are left out, so not all links inside a class are listed.
     """
     nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.explode("bands").alias("band"))
@@ -166,86 +171,84 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
     shared = written(keyed.join(sizes, "band").select("band", "n", "node"), "bands")
     central = shared.groupBy("node").agg(F.sum("n").alias("central"))
     heads = shared.join(central, "node").groupBy("band").agg(F.max(F.struct("central", "node")).alias("h")).select("band", F.col("h.node").alias("head"))
-    members = written(shared.join(heads, "band"), "members")
-    pairs = written(members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    bag = written(bags(docs, members.select("node").distinct()), "bags")
-    first = written(_similarity(pairs, bag), "links")
-    links = first.where(F.col("similarity") >= similarity).select("a", "b", "similarity")
+    pairs = written(shared.join(heads, "band").where("node <> head").select("head", "node").distinct(), "pairs")
+    bag = written(bags(docs, shared.select("node").distinct()), "bags")
+    first = written(_differences(pairs, bag), "differences")
+    links = first.where(F.col("similarity") >= similarity).select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"), "similarity")
     roots = written(components(links), "roots")
-    gap = 1 - similarity + 1e-9
-    distant = (
-        members.where(F.col("n") <= SMALL_BAND).join(first.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left").join(bag.select("node", "size"), "node")
-        .select("band", F.struct((1 - F.coalesce("similarity", F.lit(1.0))).alias("d"), "node", "size").alias("x"))
-    )
-    rest = _open_bands(distant, roots)
-    other = rest.select("band", F.col("x").alias("y"), F.col("root").alias("other_root"))
-    x, y = F.col("x"), F.col("y")
-    cross = rest.join(other, "band").where((x["node"] < y["node"]) & (F.col("root") != F.col("other_root")) & _within(x, y, similarity, gap))
-    small = _similarity(written(_ordered(cross.select(x["node"].alias("a"), y["node"].alias("b"))), "pairs"), bag)
-    wide = members.where(F.col("n") > SMALL_BAND).select("head", "node").distinct()
-    found = small.select("a", "b", "similarity").unionByName(_across(wide, roots, bag, similarity)).where(F.col("similarity") >= similarity)
-    return written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").unionByName(found).distinct(), "links")
-
-
-def _across(wide: DataFrame, roots: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b, similarity) of texts of different classes under one head; has all of `similarity` or more.
-
-    `wide` has head and node. A text is kept as what it and its head do not share, its difference. Texts x and y are alike
-    enough if at most r = (1 - s) / (1 + s) of their items together are not shared. If x is not linked to the head, so if
-    its difference is larger than r times their items, it follows that x and y have in common more than s / (1 + s) of y's
-    difference, and at least (difference of x - r * items of x and head) / (1 + r) of x's. So with differences ordered
-    from rare items to common ones, the beginnings that leave out less than that must share an item: pairs meet on these.
-    Two texts linked to the head are of one class, so one text of each pair is not linked to it.
+    return written(links.unionByName(_across(first, roots, similarity)).distinct(), "links")
+
+
+def _across(first: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b, similarity) between texts of different classes under one head; has all of `similarity` or more.
+
+    Texts x and y are alike enough if at most r = (1 - s) / (1 + s) of their items together are not shared. What is not
+    shared is what only one of their differences from the head has, so the differences have at least
+    o = (apart_x + apart_y - r * (size_x + size_y)) / 2 items in common. If one of the two is not linked to the head, o is
+    positive (two texts linked to it are of one class). So with differences ordered from rare items to common ones, the
+    first common item is among the first apart - o + 1 of each: a text needs few items to meet one about as far from the
+    head as itself, and differences of a head meet by cells of distance (`_partners`), each on as many items as its cell needs.
     """
-    r, share = (1 - similarity) / (1 + similarity), similarity / (1 + similarity)
-    rooted = wide.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("head")
-    heads = bag.select(F.col("node").alias("head"), F.col("bag").alias("head_bag"))
-    diffs = written(
-        rooted.join(mixed, "head").join(bag, "node").join(heads, "head")
-        .withColumn("diff", F.concat(F.array_except("bag", "head_bag"), F.array_except("head_bag", "bag"))).withColumn("apart", F.size("diff"))
-        .withColumn("over", F.col("apart") - r * (F.col("size") + F.size("head_bag"))).drop("bag", "head_bag"),
-        "differences",
-    )
-    items = diffs.select("head", "node", F.explode("diff").alias("item"))
-    common = items.groupBy("head", "item").agg(F.count("*").alias("n")).where("n > 1")
-    kept = items.join(common, ["head", "item"]).groupBy("head", "node").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("kept"))
-    alone = F.col("apart") - F.size("kept")  # items of no other text come first and meet nothing
-    short = F.col("apart") - F.floor(share * F.col("apart") - 1e-9) - alone
-    long = F.when(F.col("over") > 1e-9, F.least(F.col("apart"), F.col("apart") - F.ceil(F.col("over") / (1 + r) - 1e-9) + 1) - alone).otherwise(0)
-    begun = diffs.drop("diff").join(kept, ["head", "node"]).withColumn("short", short).withColumn("kept", F.slice("kept", F.lit(1), F.greatest(short, long, F.lit(0)).cast("int")))
-    keys = written(begun.select("head", "node", "root", "size", "apart", "over", "short", F.posexplode("kept").alias("at", "k")).select(
-        "head", F.col("k.item").alias("item"), F.struct("node", "root", "size", "apart", (F.col("over") <= 1e-9).alias("linked"), (F.col("at") < F.col("short")).alias("early")).alias("x")
+    r = (1 - similarity) / (1 + similarity)
+    members = _partners(first, roots, similarity)
+    items = members.select("head", "node", "linked", F.explode("diff").alias("item"))
+    counts = items.groupBy("head", "item").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked")).where("n > 1 and not all_linked").drop("all_linked")
+    kept = items.join(counts, ["head", "item"]).groupBy("head", "node").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("kept"))
+    alone = F.col("apart") - F.size("kept")  # items that no pair of different classes shares come first and meet nothing
+    taken = F.slice("kept", F.lit(1), F.greatest(F.col("p.places") - alone, F.lit(0)).cast("int"))
+    begun = members.drop("diff").join(kept, ["head", "node"]).withColumn("alone", alone).withColumn("p", F.explode("partners")).withColumn("taken", taken)
+    keys = written(begun.select("head", "node", "root", "size", "apart", "linked", "cell", "alone", "p", F.posexplode("taken").alias("at", "k")).select(
+        "head", F.col("k.item").alias("item"), "linked", "cell", F.col("p.linked").alias("to_linked"), F.col("p.cell").alias("to_cell"),
+        F.struct("node", "root", "size", "apart", (F.col("at") + F.col("alone")).alias("place")).alias("x"),
     ), "beginnings")
+    far = keys.where("not linked and (to_linked or to_cell <= cell)").select("head", "item", "cell", "to_cell", "to_linked", "x")
+    near = keys.where("linked or (not to_linked and to_cell >= cell)").select("head", "item", F.col("to_cell").alias("cell"), F.col("cell").alias("to_cell"), F.col("linked").alias("to_linked"), F.col("x").alias("y"))
     x, y = F.col("x"), F.col("y")
+    unlike = r * (x["size"] + y["size"]) + 1e-6
     meets = (
-        (x["root"] != y["root"]) & (y["linked"] | (x["early"] & (x["node"] < y["node"])))
-        & (F.abs(x["apart"] - y["apart"]) <= r * (x["size"] + y["size"]) + 1e-9) & (F.least(x["size"], y["size"]) >= similarity * F.greatest(x["size"], y["size"]))
+        (x["root"] != y["root"]) & (F.col("to_linked") | (F.col("cell") != F.col("to_cell")) | (x["node"] < y["node"]))
+        & (2 * x["place"] + y["apart"] - x["apart"] <= unlike) & (2 * y["place"] + x["apart"] - y["apart"] <= unlike)
+        & (F.least(x["size"], y["size"]) >= similarity * F.greatest(x["size"], y["size"]))
     )
-    met = keys.where("not x.linked").join(keys.where("x.early").withColumnRenamed("x", "y"), ["head", "item"]).where(meets)
+    met = far.join(near, ["head", "item", "cell", "to_cell", "to_linked"]).where(meets)
     pairs = written(met.groupBy(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).agg(F.min("head").alias("head")), "pairs")
-    left, right = (diffs.select("head", F.col("node").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("size", "apart", "diff")]) for c in "ab")
-    both = F.size(F.array_intersect("diff_a", "diff_b"))
-    shared = (F.col("size_a") + F.col("size_b") - F.col("apart_a") - F.col("apart_b")) / 2 + both
-    return pairs.join(left, ["head", "a"]).join(right, ["head", "b"]).withColumn("shared", shared).select(
-        "a", "b", (F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("similarity")
-    )
+    left, right = (members.select("head", F.col("node").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("size", "apart", "diff")]) for c in "ab")
+    apart = F.col("apart_a") + F.col("apart_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    found = pairs.join(left, ["head", "a"]).join(right, ["head", "b"]).select("a", "b", _jaccard(F.col("size_a") + F.col("size_b"), apart).alias("similarity"))
+    return found.where(F.col("similarity") >= similarity)
+
 
+def _partners(first: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """The rows of `first` that may be linked to another text of their head's and of another class, with class, cell and partners.
 
-def _within(x: Column, y: Column, similarity: float, gap: float) -> Column:
-    """Whether the distances of two texts to their first head, and their sizes, allow `similarity`."""
-    return (F.abs(x["d"] - y["d"]) <= gap) & (F.least(x["size"], y["size"]) >= similarity * F.greatest(x["size"], y["size"]))
+    A cell holds the texts of a head that are about as far from it, those linked to it apart from the others. `partners` are
+    the cells whose distances and sizes allow `similarity`, with the number of first items to meet them on.
+    """
+    r = (1 - similarity) / (1 + similarity)
+    rooted = (
+        first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("linked", F.col("similarity") >= similarity)
+        .withColumn("cell", F.floor(CELLS * F.log1p(F.col("apart") / F.col("head_size"))).cast("int")).drop("similarity", "head_size")
+    )
+    cells = rooted.groupBy("head", "linked", "cell").agg(
+        F.count("*").alias("n"), F.min("apart").alias("nearest"), F.max("apart").alias("farthest"), F.min("size").alias("least"), F.max("size").alias("most"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    )
+    mixed = cells.groupBy("head").agg(F.collect_list(F.struct("linked", "cell", "n", "nearest", "farthest", "least", "most")).alias("cells"), F.min("low").alias("low"), F.max("high").alias("high"))
+    size, apart = F.col("size"), F.col("apart")
 
+    def reach(c: Column) -> Column:
+        return r * (size + F.least(size / similarity, c["most"])) + 1e-6
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def allows(c: Column) -> Column:
+        other = ~(F.col("linked") & c["linked"]) & ((c["linked"] != F.col("linked")) | (c["cell"] != F.col("cell")) | (c["n"] > 1))
+        return other & (c["nearest"] - apart <= reach(c)) & (apart - c["farthest"] <= reach(c)) & (c["most"] >= similarity * size) & (size >= similarity * c["least"])
 
+    def partner(c: Column) -> Column:
+        places = F.floor((apart - F.greatest(c["nearest"], apart - reach(c)) + reach(c)) / 2) + 1
+        return F.struct(c["linked"].alias("linked"), c["cell"].alias("cell"), places.alias("places"))
 
-def _open_bands(distant: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of bands that hold texts of more than one class, with the class (root)."""
-    known = distant.join(roots.withColumnRenamed("node", "_node"), F.col("x.node") == F.col("_node"), "left").select("band", "x", F.coalesce("root", "x.node").alias("root"))
-    mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    return written(known.join(mixed, "band"), "open_bands")
+    known = rooted.join(written(mixed.where("low <> high").drop("low", "high"), "cells"), "head")
+    return written(known.withColumn("partners", F.transform(F.filter("cells", allows), partner)).drop("cells").where(F.size("partners") > 0), "partners")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
