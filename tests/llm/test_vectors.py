@@ -134,6 +134,36 @@ def test_negatives_of_odd_vectors(spark, monkeypatch, sizes):
     assert negatives_of(hard_negatives.mine_negatives(spark.createDataFrame(rows, SCHEMA))) == brute_negatives(rows)
 
 
+@pytest.fixture
+def without_broadcasts(spark):
+    """Every broadcast fails: the table of a join has a page of 1 MB at least."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "2k")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+@pytest.mark.parametrize("held", [1, 128])
+def test_negatives_go_by_shuffles_only(spark, monkeypatch, without_broadcasts, held):
+    """No side passes through the driver, with many packs, and with anchors held by several tasks too."""
+    monkeypatch.setattr(hard_negatives, "PACK_ROWS", 16)
+    monkeypatch.setattr(hard_negatives, "PACK_ANCHORS", 2)
+    monkeypatch.setattr(hard_negatives, "KEPT_PACKS", held)
+    rows = odd_rows() + [(10_000 + i, x, lab, *rest) for i, x, lab, *rest in odd_rows(2) if i is not None]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = negatives_of(hard_negatives.mine_negatives(df))
+    assert got == brute_negatives(rows) and len({r[0] for r in got}) > 10
+
+
+def test_the_grid_has_tasks_for_all_cores_and_bounds_what_a_task_holds():
+    pack, most = hard_negatives.PACK_ANCHORS, hard_negatives.PACK_ANCHORS * hard_negatives.KEPT_PACKS
+    assert hard_negatives.grid(1, 0, 6) == (1, 1)
+    assert hard_negatives.grid(10**6, pack, 6) == (12, 1)
+    for rows in (10**5, 10**6, 10**7, 10**8):
+        for cores in (1, 6, 1000):
+            tiles, groups = hard_negatives.grid(rows, rows // 100, cores)
+            assert rows // 100 <= groups * most and (tiles * groups >= 2 * cores or tiles * 2 * hard_negatives.PACK_ROWS >= rows)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_intervals_hold_and_are_narrow(seed):
     rng = np.random.default_rng(seed)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.llm.vectors import integers, matrix, whole
@@ -16,8 +16,11 @@ from threadlens.session import written
 
 PACK_ROWS, PACK_ANCHORS = 4096, 256
 BITS_EACH, PLANES = 8, 6
-#: Packs of anchors whose best rows one task keeps; those of further packs are given out early, which costs rows only.
-KEPT_PACKS = 1024
+#: About so many packs of anchors are held by one task, with their best rows; further anchors go to further tasks.
+KEPT_PACKS = 128
+#: Tasks for each core, packs in a tile at least (a task's first packs are scored with few scores to go by), and how many
+#: tiles of rows cost as much to shuffle, by what their tasks give out, as one more copy of the rows.
+TASKS_PER_CORE, TILE_PACKS, TILES_PER_COPY = 2, 2, 29
 _LAST, _LOW, _HIGH = np.iinfo(np.int64).max, -(2**62), 2**62
 
 
@@ -163,20 +166,32 @@ class Best:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["anchor", "slot", "score", "other"])
 
 
-_PACK = "row array<long>, ids array<long>, label array<int>, points array<array<int>>"
+_COLUMNS = ["row", "ids", "label", "points"]
 
 
-def _packs(rows: DataFrame, columns: list[str], schema: str, per_pack: int) -> DataFrame:
-    """One row for each run of about `per_pack` rows, with a list for each column; `pack` numbers them from 0."""
-    count = max(1, -(-rows.count() // per_pack))
+def grid(rows: int, anchors: int, cores: int) -> tuple[int, int]:
+    """In how many tiles of rows and groups of anchors tables are cut, so that each pair of them is a task's work."""
+    wanted = TASKS_PER_CORE * cores
+    groups = max(1, -(-anchors // (KEPT_PACKS * PACK_ANCHORS)), math.isqrt(wanted // TILES_PER_COPY))
+    return max(1, min(-(-wanted // groups), -(-rows // (TILE_PACKS * PACK_ROWS)))), groups
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if size := sum(p.num_rows for p in parts):
-            lists = [pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), pa.concat_arrays([p.column(c) for p in parts])) for c in columns]
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), *lists], ["pack", *columns])
 
-    return rows.select(*columns).repartition(count).mapInArrow(work, f"pack int, {schema}")
+def _share(count: int) -> Column:
+    """A number below `count` for each row."""
+    return F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
+
+
+def _each(count: int) -> Column:
+    """All numbers below `count`, in a row of their own each."""
+    return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+
+def _packs(batch: pa.RecordBatch, most: int, dims: int) -> Iterator[tuple[Pack, pa.RecordBatch]]:
+    """Parts of about equal size of a batch, each with at most so many rows."""
+    size = max(1, -(-batch.num_rows // max(1, -(-batch.num_rows // most))))
+    for start in range(0, batch.num_rows, size):
+        part = batch.slice(start, size)
+        yield Pack.of(*(part.column(c) for c in _COLUMNS), dims), part
 
 
 def _first(found: DataFrame, n: int) -> DataFrame:
@@ -198,56 +213,51 @@ def mine_negatives(
     other labels with share[0] * positive <= share[1] * score <= share[1] * positive are returned. Repeated rows count as
     rows of their own. Empty tables give an empty result. Only the three named columns are read.
 
-    Rows are dealt into packs with their one-bit codes; each pack of anchors meets each pack of rows once for the
-    positives and once for the negatives, and tasks give out only their first rows. Codes cover the first `dims`
-    components; the lengths of what lies behind widen the interval.
+    Tiles of rows meet groups of anchors in a task each, once for the positives and once for the negatives: the anchors
+    come first and are held, the rows run past them in packs with their one-bit codes, and tasks give out only their
+    first rows. All of this goes by shuffles, the driver holds counts only. Codes cover the first `dims` components; the
+    lengths of what lies behind widen the interval.
     """
     turn = rotation(dims, BITS_EACH * dims)
     kept = vectors.where(F.col(label).isNotNull() & whole(vector)).select(
         F.col(key).cast("long").alias("ids"), F.col(label).cast("int").alias("label"), integers(vector).alias("points"))
     numbered = written(kept.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    packs = written(_packs(numbered, ["row", "ids", "label", "points"], _PACK, PACK_ROWS), "packs")
-    top = packs.agg(F.max("pack")).first()[0]
     anchors = numbered.where(F.col("ids") % every == 0)
+    total, asking = numbered.agg(F.count("*"), F.count_if(F.col("ids") % every == 0)).first()
+    tiles, groups = grid(total, asking, vectors.sparkSession.sparkContext.defaultParallelism)
 
     def meetings(asked: DataFrame, same: bool, n: int) -> DataFrame:
-        """Every pack of anchors with every pack of rows: anchor, slot, score, other of the best rows."""
+        """Every anchor with every row: anchor, slot, score, other of the best rows of each tile."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kept: dict[int, Best] = {}
-            at, pack, codes = None, None, None
+            kept: list[Best] = []
             for batch in batches:
-                for i in range(batch.num_rows):
-                    cell = {name: batch.column(name)[i] for name in batch.schema.names}
-                    if cell["pack"].as_py() != at:
-                        at = cell["pack"].as_py()
-                        pack = Pack.of(*(cell[c].values for c in ("row", "ids", "label", "points")), dims)
-                        codes = Codes.of(pack.heads, turn)
-                    group = cell["group"].as_py()
-                    if group not in kept:
-                        if len(kept) >= KEPT_PACKS:
-                            yield kept.pop(next(iter(kept))).rows()
-                        windows = cell["a_windows"].values.flatten().to_numpy().reshape(len(cell["a_row"].values), -1, 2)
-                        kept[group] = Best(Pack.of(*(cell[c].values for c in ("a_row", "a_ids", "a_label", "a_points")), dims), windows, n)
-                    kept[group].meet(pack, codes, turn, same)
-            for best in kept.values():
+                first = batch.num_rows - int(np.count_nonzero(batch.column("met")))  # anchors come before the rows they meet
+                for asking, part in _packs(batch.slice(0, first), PACK_ANCHORS, dims):
+                    windows = part.column("windows").flatten().to_numpy().reshape(part.num_rows, -1, 2)
+                    kept.append(Best(asking, windows, n))
+                for pack, _ in _packs(batch.slice(first), PACK_ROWS, dims) if kept else ():
+                    codes = Codes.of(pack.heads, turn)
+                    for best in kept:
+                        best.meet(pack, codes, turn, same)
+            for best in kept:
                 yield best.rows()
 
-        groups = _packs(asked, ["row", "ids", "label", "points", "windows"], f"{_PACK}, windows array<array<long>>", PACK_ANCHORS)
-        renamed = groups.select(F.col("pack").alias("group"), *[F.col(c).alias(f"a_{c}") for c in ("row", "ids", "label", "points", "windows")])
-        cells = packs.join(renamed.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(top)))), "pack")
-        return _first(cells.mapInArrow(work, "anchor long, slot int, score long, other long"), n)
+        held = asked.select(F.lit(0).alias("met"), *_COLUMNS, "windows", _share(groups).alias("group"), _each(tiles).alias("tile"))
+        met = numbered.select(F.lit(1).alias("met"), *_COLUMNS, F.lit(None).cast("array<long>").alias("windows"), _each(groups).alias("group"), _share(tiles).alias("tile"))
+        cells = held.union(met).repartitionById(tiles * groups, F.col("tile") * groups + F.col("group")).sortWithinPartitions("met")
+        return _first(cells.drop("group", "tile").mapInArrow(work, "anchor long, slot int, score long, other long"), n)
 
-    if top is None:
+    if not total:
         return numbered.selectExpr("ids anchor_id", "ids positive_id", "0 rank", "ids negative_id", "ids positive_score", "ids negative_score")
     near = meetings(anchors.withColumn("windows", F.array(F.lit(_LOW).cast("long"), F.lit(_HIGH).cast("long"))), True, positives)
     chosen = near.groupBy(F.col("anchor").alias("row")).agg(F.sort_array(F.collect_list(F.struct("place", "score", "other"))).alias("near"))
-    asked = written(anchors.join(written(chosen, "positives"), "row"), "anchors")
+    asked = written(anchors.join(written(chosen, "positives").hint("merge"), "row"), "anchors")
     none = f"array({_HIGH}L, {_LOW}L)"
     window = f"array((p.score * {share[0]} + if(p.score > 0, {share[1] - 1}, 0)) div {share[1]}, p.score)"  # the least whole score, and the most
     filled = f"concat(transform(near, p -> {window}), array_repeat({none}, {positives} - size(near)))"
     far = meetings(asked.withColumn("windows", F.expr(f"flatten({filled})")), False, negatives)
     positive = F.get("near", F.col("slot"))
-    return far.join(asked.select(F.col("row").alias("anchor"), "ids", "near"), "anchor").select(
+    return far.join(asked.select(F.col("row").alias("anchor"), "ids", "near").hint("merge"), "anchor").select(
         F.col("ids").alias("anchor_id"), positive["other"].alias("positive_id"), F.col("place").cast("int").alias("rank"),
         F.col("other").alias("negative_id"), positive["score"].alias("positive_score"), F.col("score").alias("negative_score"))
